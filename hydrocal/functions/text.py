@@ -21,7 +21,7 @@ def strip_tags(html: Column) -> Column:
     for ent, ch in HTML_ENTITIES:
         txt = F.regexp_replace(txt, ent, ch)
     txt = F.regexp_replace(txt, "&amp;", "&")
-    return F.trim(txt, " \t\n\r\f")
+    return F.trim(txt, F.lit(" \t\n\r\f"))
 
 
 def base_name(path: Column) -> Column:

@@ -49,10 +49,10 @@ def flag_dry(daily: DataFrame) -> DataFrame:
         & (F.coalesce(F.col("comment"), F.lit("")) == "")
         & ~has_placeholder_prefix(F.col("comment"))
     )
-    out = daily.withColumn("comment", F.when(dry, F.lit(DRY_COMMENT)).otherwise(F.col("comment")))
+    updates = {"comment": F.when(dry, F.lit(DRY_COMMENT)).otherwise(F.col("comment"))}
     if "flag" in daily.columns:
-        out = out.withColumn("flag", F.when(dry, F.lit("dry")).otherwise(F.col("flag")))
-    return out
+        updates["flag"] = F.when(dry, F.lit("dry")).otherwise(F.col("flag"))
+    return daily.withColumns(updates)
 
 
 def adjust_depth(
