@@ -31,11 +31,13 @@ def tag_stages(raw: DataFrame) -> DataFrame:
     """Parse a raw text reading and tag it with its stage.
 
     Input columns: site, date_text, time_text, level_text, baro_text, comment, src_file.
-    Adds ts (TIMESTAMP_NTZ), level_ft, baro_hpa (DOUBLE, NULL when invalid) and stage (INT).
+    Adds ts (TIMESTAMP_NTZ), level_ft, baro_hpa (DOUBLE, NULL when invalid) and stage (INT);
+    ``malformed`` (row had more fields than its header) is carried, FALSE when absent.
     """
     ts = parse_date_time(F.col("date_text"), F.col("time_text"))
     level = to_number(F.col("level_text"))
     baro = to_number(F.col("baro_text"))
+    malformed = F.col("malformed") if "malformed" in raw.columns else F.lit(False)
     out = raw.select(
         "site",
         ts.alias("ts"),
@@ -43,6 +45,7 @@ def tag_stages(raw: DataFrame) -> DataFrame:
         baro.alias("baro_hpa"),
         F.col("comment"),
         "src_file",
+        malformed.alias("malformed"),
     )
     stage = (
         F.when(F.col("ts").isNull(), F.lit(STAGE_BAD_DATETIME))

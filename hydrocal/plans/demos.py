@@ -265,7 +265,8 @@ def q_quality_counts(spark, sf):
 
 def q_file_outcomes(spark, sf):
     """C4 outcome per file: furthest stage, counts and placeholder reason."""
-    return _validation(spark, sf).file_outcomes
+    out = _validation(spark, sf).file_outcomes
+    return out.select("src_file", "site", "max_stage", "n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept", "reason")
 
 
 def q_site_status(spark, sf):

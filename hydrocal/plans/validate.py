@@ -76,15 +76,27 @@ def file_day_summary(tagged: DataFrame) -> DataFrame:
         )
     )
     return tagged.groupBy("src_file", "site", F.to_date("ts").alias("day")).agg(
-        F.max("stage").alias("max_stage"), *stage_counts(), first.alias("first")
+        F.max("stage").alias("max_stage"),
+        *stage_counts(),
+        F.count_if(F.col("malformed")).alias("n_malformed"),
+        first.alias("first"),
     )
 
 
 def file_outcomes(summary: DataFrame) -> DataFrame:
-    """Step 3: furthest stage per file and its placeholder reason (NULL when the file has data)."""
+    """Step 3: furthest stage per file and its placeholder reason (NULL when the file has data).
+
+    A file with a malformed row (more fields than its header) is unreadable as a whole: it is
+    ``rejected``, yields no rows and gets no placeholder (S6, Q8).
+    """
     sums = [F.sum(c).alias(c) for c in ("n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept")]
-    out = summary.groupBy("src_file", "site").agg(F.max("max_stage").alias("max_stage"), *sums)
-    return out.withColumn("reason", stage_reason(F.col("max_stage")))
+    out = summary.groupBy("src_file", "site").agg(
+        F.max("max_stage").alias("max_stage"), *sums, F.sum("n_malformed").alias("n_malformed")
+    )
+    rejected = F.col("n_malformed") > 0
+    return out.withColumn("rejected", rejected).withColumn(
+        "reason", F.when(~rejected, stage_reason(F.col("max_stage")))
+    )
 
 
 def listing_placeholders(files: DataFrame, outcomes: DataFrame, run_ts) -> DataFrame:
@@ -143,7 +155,11 @@ def validate(
     if expected_sites is not None:
         ph.append(missing_site_placeholders(expected_sites, processed, run_ts))
 
-    firsts = summary.where(F.col("first").isNotNull()).select(
+    kept_summary = summary
+    if "malformed" in raw.columns:
+        bad_files = outcomes.where(F.col("rejected")).select("src_file")
+        kept_summary = summary.join(bad_files, "src_file", "left_anti")
+    firsts = kept_summary.where(F.col("first").isNotNull()).select(
         "site",
         F.col("first.ts").alias("ts"),
         F.col("first.level_ft").alias("level_ft"),
