@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hydrocal.schemas import NA_TOKENS
 
 # Java-style float suffixes that ``CAST AS DOUBLE`` accepts but the export validator rejects.
 _FLOAT_SUFFIX = r"(?i)[0-9.][df]\s*$"
@@ -14,14 +13,14 @@ _FLOAT_SUFFIX = r"(?i)[0-9.][df]\s*$"
 def to_number(text: Column) -> Column:
     """text -> DOUBLE, errors and NaN -> NULL, +-Infinity kept.
 
-    NaN is mapped to NULL straight away: Spark orders NaN above every number, so ``NaN >= 0`` would
-    be true, while the validated semantics treat NaN as missing.
+    Every missing-value token of the exports either fails the cast or reads as NaN, so both end as
+    NULL. NaN is mapped to NULL straight away: Spark orders NaN above every number, so ``NaN >= 0``
+    would be true, while the validated semantics treat NaN as missing. The text is referenced
+    twice only, which keeps pushed-down filters small.
     """
     trimmed = F.trim(text)
-    num = F.when(
-        ~trimmed.isin(NA_TOKENS) & ~trimmed.rlike(_FLOAT_SUFFIX), trimmed.try_cast("double")
-    )
-    return F.when(~F.isnan(num), num)
+    num = F.when(~trimmed.rlike(_FLOAT_SUFFIX), trimmed.try_cast("double"))
+    return F.nanvl(num, F.lit(None).cast("double"))
 
 
 def round2(x: Column) -> Column:

@@ -11,37 +11,26 @@ from pyspark.sql import functions as F
 
 from hydrocal.schemas import REPORT_TS_FORMAT
 
-# Strict day-first "%d/%m/%Y %H:%M:%S": day and month may be one or two digits, the year has exactly
-# four, any run of whitespace separates date and time, seconds stop at 59, no trailing text.
-_DAY_FIRST = (
-    r"^(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])/(1[0-2]|0[1-9]|[1-9])/([0-9]{4})\s+"
+# Strict day-first "%d/%m/%Y %H:%M:%S": day and month may be one or two digits (a one-digit day may
+# carry a leading space), the year has four digits within the range of nanosecond timestamps
+# (1678-2261), any run of whitespace separates date and time, seconds stop at 59, no trailing text.
+DAY_FIRST = (
+    r"^(?: (?=[1-9]/))?(3[01]|[12][0-9]|0[1-9]|[1-9])/(1[0-2]|0[1-9]|[1-9])/"
+    r"(167[89]|16[89][0-9]|1[7-9][0-9]{2}|20[0-9]{2}|21[0-9]{2}|22[0-5][0-9]|226[01])\s+"
     r"(2[0-3]|[01][0-9]|[0-9]):([0-5][0-9]|[0-9]):([0-5][0-9]|[0-9])$"
 )
-# Representable range of the nanosecond timestamps the exports were validated against.
-_MIN_TS = "1677-09-22 00:00:00"
-_MAX_TS = "2262-04-11 00:00:00"
-
-
-def _part(s: Column, idx: int) -> Column:
-    return F.regexp_extract(s, _DAY_FIRST, idx)
+_ISO = "$3-$2-$1 $4:$5:$6"
 
 
 def parse_day_first(text: Column) -> Column:
     """parse ``d/m/yyyy H:M:S`` text to TIMESTAMP_NTZ; anything invalid becomes NULL.
 
-    Impossible calendar dates (31/02) give NULL through ``try_make_timestamp_ntz``.
+    The text is checked once and rewritten once to ``yyyy-m-d H:M:S``; ``try_cast`` to
+    TIMESTAMP_NTZ then rejects impossible calendar dates (31/02). The text is referenced only twice,
+    so the expression stays small when Catalyst substitutes it into pushed-down filters.
     """
-    ok = text.rlike(_DAY_FIRST)
-    ts = F.try_make_timestamp_ntz(
-        years=_part(text, 3).try_cast("int"),
-        months=_part(text, 2).try_cast("int"),
-        days=F.trim(_part(text, 1)).try_cast("int"),
-        hours=_part(text, 4).try_cast("int"),
-        mins=_part(text, 5).try_cast("int"),
-        secs=_part(text, 6).try_cast("decimal(16,6)"),
-    )
-    in_range = (ts >= F.lit(_MIN_TS).cast("timestamp_ntz")) & (ts < F.lit(_MAX_TS).cast("timestamp_ntz"))
-    return F.when(ok & in_range, ts)
+    iso = F.regexp_replace(text, DAY_FIRST, _ISO)
+    return F.when(text.rlike(DAY_FIRST), iso.try_cast("timestamp_ntz"))
 
 
 def date_time_text(date_col: Column, time_col: Column) -> Column:

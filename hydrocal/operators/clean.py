@@ -34,19 +34,21 @@ def tag_stages(raw: DataFrame) -> DataFrame:
     Adds ts (TIMESTAMP_NTZ), level_ft, baro_hpa (DOUBLE, NULL when invalid) and stage (INT);
     ``malformed`` (row had more fields than its header) is carried, FALSE when absent.
     """
-    ts = parse_date_time(F.col("date_text"), F.col("time_text"))
-    level = to_number(F.col("level_text"))
-    baro = to_number(F.col("baro_text"))
+    parsed = F.struct(
+        parse_date_time(F.col("date_text"), F.col("time_text")).alias("ts"),
+        to_number(F.col("level_text")).alias("level_ft"),
+        to_number(F.col("baro_text")).alias("baro_hpa"),
+    )
     malformed = F.col("malformed") if "malformed" in raw.columns else F.lit(False)
+    # Parsed once per row: a one-element inline is a plan barrier for filters on its outputs, so
+    # a later filter (on stage, ts, ...) is not rewritten into repeated parsing of the raw text.
     out = raw.select(
         "site",
-        ts.alias("ts"),
-        level.alias("level_ft"),
-        baro.alias("baro_hpa"),
         F.col("comment"),
         "src_file",
         malformed.alias("malformed"),
-    )
+        F.inline(F.array(parsed)),
+    ).select("site", "ts", "level_ft", "baro_hpa", "comment", "src_file", "malformed")
     stage = (
         F.when(F.col("ts").isNull(), F.lit(STAGE_BAD_DATETIME))
         .when(F.col("level_ft").isNull() | F.col("baro_hpa").isNull(), F.lit(STAGE_BAD_NUMERIC))

@@ -7,6 +7,7 @@ The SQL re-derives each answer from the base tables with DuckDB's own functions
 from __future__ import annotations
 
 from hydrocal.plans.demos import EVENTS_MONTH, EVENTS_RUN_TS, EVENTS_YEAR, ORDERS_RUN_TS, ORDERS_SINCE
+from hydrocal.functions.timeparse import DAY_FIRST
 from hydrocal.schemas import (
     DRY_COMMENT,
     FEET_TO_METRES,
@@ -20,10 +21,7 @@ from hydrocal.schemas import (
     SENSOR_FACTOR,
 )
 
-DAY_FIRST_RE = (
-    r"^(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])/(1[0-2]|0[1-9]|[1-9])/([0-9]{4})\s+"
-    r"(2[0-3]|[01][0-9]|[0-9]):([0-5][0-9]|[0-9]):([0-5][0-9]|[0-9])$"
-)
+DAY_FIRST_RE = DAY_FIRST.replace("(?: (?=[1-9]/))?", "")  # RE2 has no look-ahead: spaced day below
 
 
 def q(s: str) -> str:
@@ -34,16 +32,13 @@ def q(s: str) -> str:
 def parse_ts(expr: str) -> str:
     """Strict day-first parse of a text expression -> TIMESTAMP or NULL."""
     r = q(DAY_FIRST_RE)
-    part = lambda i: f"lpad(trim(regexp_extract({expr}, {r}, {i})), 2, '0')"
+    t = f"regexp_replace({expr}, '^ ([1-9]/)', '\\1')"
+    part = lambda i: f"lpad(regexp_extract({t}, {r}, {i}), 2, '0')"
     iso = (
-        f"regexp_extract({expr}, {r}, 3) || '-' || {part(2)} || '-' || {part(1)} || ' ' || "
+        f"regexp_extract({t}, {r}, 3) || '-' || {part(2)} || '-' || {part(1)} || ' ' || "
         f"{part(4)} || ':' || {part(5)} || ':' || {part(6)}"
     )
-    ts = f"TRY_CAST({iso} AS TIMESTAMP)"
-    return (
-        f"(CASE WHEN regexp_full_match(coalesce({expr}, ''), {r}) AND {ts} >= TIMESTAMP '1677-09-22 00:00:00' "
-        f"AND {ts} < TIMESTAMP '2262-04-11 00:00:00' THEN {ts} END)"
-    )
+    return f"(CASE WHEN regexp_full_match(coalesce({t}, ''), {r}) THEN TRY_CAST({iso} AS TIMESTAMP) END)"
 
 
 def parse_dt(date_expr: str, time_expr: str) -> str:

@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from hydrocal.session import table
 
 def K():
-    """The integer ``k`` of an event's ``props``."""
-    return F.get_json_object(F.col("props"), "$.k").cast("int")
+    """The integer ``k`` of an event's flat ``props`` object ``{"k": <int>}`` (a regex read: the
+    stand-ins reference it many times and a JSON parser per reference is ~10x slower)."""
+    return F.regexp_extract(F.col("props"), r'"k"\s*:\s*(-?[0-9]+)', 1).try_cast("int")
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
