@@ -45,7 +45,8 @@ def placeholders(site_reasons: DataFrame, run_ts, src_file: Column | None = None
 
 def missing_sites(expected: DataFrame, processed: DataFrame) -> DataFrame:
     """Expected sites without any file (left anti join on site)."""
-    return expected.select("site").distinct().join(processed.select("site"), "site", "left_anti")
+    seen = processed.select("site").distinct()  # partial aggregate before any shuffle
+    return expected.select("site").distinct().join(seen, "site", "left_anti")
 
 
 def missing_site_placeholders(expected: DataFrame, processed: DataFrame, run_ts) -> DataFrame:
@@ -68,18 +69,20 @@ def replace_stale(daily: DataFrame, run_ts, months: int = STALE_MONTHS) -> DataF
     """A site whose latest reading is strictly older than ``run_ts - months`` loses all its
     rows and gets one ``No telemetry data received for <Month YYYY>`` row instead.
 
-    Rows with a ``Placeholder:`` comment neither count nor get removed (P10). One window over
-    ``site`` (ordered so that the site's first counted row comes first) gives both the latest time
-    and the row that turns into the placeholder, so the plan does not branch. The table is already
-    one row per site-day, so a window partition holds at most one row per calendar day.
+    ``daily`` must hold at most one row per site and calendar day (the output of W2), as in the
+    validated flow; a window partition then holds at most one row per day, whatever the raw volume
+    of the site. Rows with a ``Placeholder:`` comment neither count nor get removed (P10). One
+    window over ``site`` (ordered so that the site's first counted row comes first) gives both the
+    latest time and the row that turns into the placeholder, so the plan does not branch and, on
+    input already hash-partitioned by site, adds no exchange.
     """
     run = ts_lit(run_ts)
-    prefixed = has_placeholder_prefix(F.col("comment"))
-    w = Window.partitionBy("site").orderBy(prefixed.asc(), F.col("ts").asc_nulls_last())
+    marked = daily.withColumn("_pref", has_placeholder_prefix(F.col("comment")))
+    w = Window.partitionBy("site").orderBy(F.col("_pref").asc(), F.col("ts").asc_nulls_last())
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    latest = F.max(F.when(~prefixed, F.col("ts"))).over(whole)
-    marked = daily.withColumn(
-        "_stale", F.coalesce(latest < months_before(run, months), F.lit(False)) & ~prefixed
+    latest = F.max(F.when(~F.col("_pref"), F.col("ts"))).over(whole)
+    marked = marked.withColumn(
+        "_stale", F.coalesce(latest < months_before(run, months), F.lit(False)) & ~F.col("_pref")
     ).withColumn("_rn", F.row_number().over(w))
     out = marked.where(~F.col("_stale") | (F.col("_rn") == 1))
     turn = F.col("_stale")
@@ -90,7 +93,7 @@ def replace_stale(daily: DataFrame, run_ts, months: int = STALE_MONTHS) -> DataF
     }
     if "flag" in daily.columns:
         replaced["flag"] = F.when(turn, F.lit("placeholder")).otherwise(F.col("flag"))
-    nulled = [c for c in daily.columns if c not in ("site", "ts", "comment", "flag")]
-    for c in nulled:
-        replaced[c] = F.when(~turn, F.col(c))
-    return out.withColumns(replaced).drop("_stale", "_rn")
+    for c in daily.columns:
+        if c not in ("site", "ts", "comment", "flag"):
+            replaced[c] = F.when(~turn, F.col(c))
+    return out.withColumns(replaced).drop("_pref", "_stale", "_rn")

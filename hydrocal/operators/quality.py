@@ -32,7 +32,7 @@ def site_status(final: DataFrame, failed_sites: DataFrame | None = None) -> Data
     status = F.when(F.col("n_flag_rows") > 0, F.lit("flagged")).otherwise(F.lit("data"))
     out = per_site.withColumn("status", status)
     if failed_sites is not None:
-        failed = failed_sites.select("site").distinct().join(final.select("site"), "site", "left_anti")
+        failed = failed_sites.select("site").distinct().join(final.select("site").distinct(), "site", "left_anti")
         out = out.unionByName(
             failed.select(
                 "site",

@@ -184,8 +184,10 @@ def q_latest_per_site(spark, sf):
 
 
 def q_stale_rows(spark, sf):
-    """Sites without orders in the two months before the run collapse to one placeholder."""
-    out = replace_stale(S.order_readings(spark, sf).withColumn("flag", F.lit(None).cast("string")), ORDERS_RUN_TS)
+    """W2 + C8: first order per customer-day; customers without orders in the two months before the
+    run collapse to one placeholder."""
+    daily = first_per_site_day(S.order_readings(spark, sf).withColumn("flag", F.lit(None).cast("string")))
+    out = replace_stale(daily, ORDERS_RUN_TS)
     return out.select("site", "ts", "level_ft", "comment", "src_file", "flag")
 
 

@@ -309,8 +309,10 @@ def _sql() -> dict[str, str]:
     out["latest_per_site"] = "SELECT CAST(o_custkey AS VARCHAR) AS site, max(o_orderdate) AS latest_ts FROM orders GROUP BY 1"
     stale_reason_or = reason(f"{q(REASON_STALE_PREFIX + ' ')} || strftime({run_or}, '%B %Y')", ORDERS_RUN_TS)
     out["stale_rows"] = (
-        "WITH r AS (SELECT CAST(o_custkey AS VARCHAR) AS site, o_orderdate AS ts, o_totalprice AS level_ft, "
+        "WITH r0 AS (SELECT CAST(o_custkey AS VARCHAR) AS site, o_orderdate AS ts, o_totalprice AS level_ft, "
         "'' AS comment, CAST(o_custkey AS VARCHAR) || '.csv' AS src_file FROM orders), "
+        "r AS (SELECT * FROM r0 QUALIFY row_number() OVER (PARTITION BY site, CAST(ts AS DATE) ORDER BY ts NULLS LAST, "
+        "src_file NULLS LAST, level_ft NULLS LAST, comment NULLS LAST) = 1), "
         f"stale AS (SELECT site FROM r GROUP BY site HAVING max(ts) < {run_or} - INTERVAL 2 MONTH) "
         "SELECT site, ts, level_ft, comment, src_file, CAST(NULL AS VARCHAR) AS flag FROM r "
         "WHERE site NOT IN (SELECT site FROM stale) "
