@@ -17,7 +17,7 @@ from hydrocal.operators.dedup import first_per_site_day
 from hydrocal.operators.depth import adjust_depth, convert_depth, flag_dry
 from hydrocal.operators.gaps import latest_per_site, missing_site_placeholders, replace_stale
 from hydrocal.operators.merge import merge_level_baro, union_by_name
-from hydrocal.operators.quality import quality_counts, rows_per_site, site_status
+from hydrocal.operators.quality import quality_counts, rows_per_site, run_summary, site_status
 from hydrocal.plans.validate import Validation, validate
 from hydrocal.session import table
 from hydrocal.sinks.reports import report_main, report_upload
@@ -217,6 +217,14 @@ def q_comment_split(spark, sf):
     return out.select("site", "ts", "depth_raw_m", "comment", "flag")
 
 
+def q_stream_first_per_site_day(spark, sf):
+    """§2.11: W2 as a Structured Streaming job (event-time day windows under a watermark, update
+    mode, foreachBatch to the shared checkpoint folder), settled into the batch answer."""
+    from hydrocal.streaming.daily import run_first_per_site_day
+
+    return run_first_per_site_day(spark, S.logger_readings_stream(spark, sf)).select(*READING_COLS)
+
+
 # --- U1 / U4 / S9 --------------------------------------------------------------------------------
 
 
@@ -278,9 +286,15 @@ def q_site_status(spark, sf):
     return site_status(v.final, failed)
 
 
+def q_run_summary(spark, sf):
+    """One row of site counts by status (names stay in the per-site table)."""
+    return run_summary(q_site_status(spark, sf))
+
+
 QUERIES = {
     "first_per_site_day": q_first_per_site_day,
     "first_per_day": q_first_per_day,
+    "stream_first_per_site_day": q_stream_first_per_site_day,
     "join_daily_baro": q_join_daily_baro,
     "baro_absent": q_baro_absent,
     "merge_level_baro": q_merge_level_baro,
@@ -307,4 +321,5 @@ QUERIES = {
     "quality_counts": q_quality_counts,
     "file_outcomes": q_file_outcomes,
     "site_status": q_site_status,
+    "run_summary": q_run_summary,
 }

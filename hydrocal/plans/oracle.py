@@ -245,6 +245,7 @@ def _sql() -> dict[str, str]:
     out: dict[str, str] = {}
 
     out["first_per_site_day"] = f"WITH {READINGS},{DAILY} SELECT site, ts, level_ft, baro_hpa, comment, src_file FROM daily"
+    out["stream_first_per_site_day"] = out["first_per_site_day"]
     out["first_per_day"] = f"WITH {WEATHER} SELECT day, bom_hpa FROM baro"
     out["join_daily_baro"] = (
         f"WITH {READINGS},{DAILY},{WEATHER} SELECT site, ts, level_ft, baro_hpa, bom_hpa "
@@ -393,6 +394,12 @@ def _sql() -> dict[str, str]:
         "UNION ALL SELECT DISTINCT site, 0, 0, 'failed' FROM outcomes WHERE max_stage < 4 "
         "AND site NOT IN (SELECT site FROM final)"
     )
+    out["run_summary"] = (
+        "WITH st AS (" + out["site_status"] + ") SELECT count(*) AS n_sites, "
+        "count(*) FILTER (WHERE status = 'data') AS n_data_sites, "
+        "count(*) FILTER (WHERE status = 'flagged') AS n_flagged_sites, "
+        "count(*) FILTER (WHERE status = 'failed') AS n_failed_sites FROM st"
+    )
     return out
 
 

@@ -50,6 +50,21 @@ def logger_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def logger_readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``logger_readings`` as a file stream over the events table."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    ev = stream.parquet(sf_dir.rstrip("/")).where(F.col("event_type") != "signup")
+    return ev.select(
+        F.col("user_id").cast("string").alias("site"),
+        F.col("ts"),
+        F.col("value").alias("level_ft"),
+        (F.lit(985.0) + F.lit(0.4) * K()).alias("baro_hpa"),
+        F.lit("").alias("comment"),
+        F.concat(F.col("user_id").cast("string"), F.lit(".csv")).alias("src_file"),
+    )
+
+
 def logger_raw(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
     """Raw text rows (site, date_text, time_text, level_text, baro_text, comment, src_file), plus
     ``event_id`` when ``keep_id``."""
