@@ -64,6 +64,7 @@ def attach_baro(daily: DataFrame, daily_baro: DataFrame) -> DataFrame:
 
     The daily series is bounded by the number of calendar days; it is broadcast after a size check.
     """
-    keyed = daily.withColumn("day", F.to_date("ts"))
-    out = checked_join(keyed, daily_baro.select("day", "bom_hpa"), "day", "left")
-    return out.drop("day")
+    right = daily_baro.select(F.col("day").alias("_day"), F.col("bom_hpa").alias("_bom"))
+    left = daily.drop("bom_hpa")
+    out = checked_join(left, right, F.to_date(left["ts"]) == right["_day"], "left")
+    return out.select(*left.columns, F.col("_bom").alias("bom_hpa"))

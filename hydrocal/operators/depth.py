@@ -22,19 +22,17 @@ def convert_depth(readings: DataFrame, site_cfg: DataFrame | None = None, level:
     ``depth_raw_m``. Adds ``conversion_type`` and ``unknown_conversion`` (type neither ``default``
     nor ``divide_by_100``: converted as feet, reported in the quality table)."""
     if site_cfg is None:
-        df = readings.withColumn("depth_conversion_type", F.lit(None).cast("string"))
+        df, ctype = readings, F.lit(CONVERSION_DEFAULT)
     else:
-        cfg = site_cfg.select("site", "depth_conversion_type")
-        df = checked_join(readings.drop("depth_conversion_type"), cfg, "site", "left")
-    ctype = F.coalesce(F.col("depth_conversion_type"), F.lit(CONVERSION_DEFAULT))
-    return (
-        df.withColumn("conversion_type", ctype)
-        .withColumn("depth_raw_m", raw_depth(F.col(level), F.col("conversion_type")))
-        .withColumn(
-            "unknown_conversion",
-            ~F.col("conversion_type").isin(CONVERSION_DEFAULT, CONVERSION_DIVIDE_BY_100),
-        )
-        .drop("depth_conversion_type")
+        cfg = site_cfg.select("site", F.col("depth_conversion_type").alias("_ctype"))
+        df = checked_join(readings, cfg, "site", "left")
+        ctype = F.coalesce(F.col("_ctype"), F.lit(CONVERSION_DEFAULT))
+    keep = [c for c in df.columns if c not in ("_ctype", "conversion_type", "depth_raw_m", "unknown_conversion")]
+    return df.select(
+        *keep,
+        ctype.alias("conversion_type"),
+        raw_depth(F.col(level), ctype).alias("depth_raw_m"),
+        (~ctype.isin(CONVERSION_DEFAULT, CONVERSION_DIVIDE_BY_100)).alias("unknown_conversion"),
     )
 
 

@@ -77,13 +77,13 @@ def replace_stale(daily: DataFrame, run_ts, months: int = STALE_MONTHS) -> DataF
     input already hash-partitioned by site, adds no exchange.
     """
     run = ts_lit(run_ts)
-    marked = daily.withColumn("_pref", has_placeholder_prefix(F.col("comment")))
+    pref = has_placeholder_prefix(F.col("comment"))
+    marked = daily.select("*", pref.alias("_pref"))
     w = Window.partitionBy("site").orderBy(F.col("_pref").asc(), F.col("ts").asc_nulls_last())
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     latest = F.max(F.when(~F.col("_pref"), F.col("ts"))).over(whole)
-    marked = marked.withColumn(
-        "_stale", F.coalesce(latest < months_before(run, months), F.lit(False)) & ~F.col("_pref")
-    ).withColumn("_rn", F.row_number().over(w))
+    stale = F.coalesce(latest < months_before(run, months), F.lit(False)) & ~F.col("_pref")
+    marked = marked.select("*", stale.alias("_stale"), F.row_number().over(w).alias("_rn"))
     out = marked.where(~F.col("_stale") | (F.col("_rn") == 1))
     turn = F.col("_stale")
     reason = F.concat(F.lit(REASON_STALE_PREFIX + " "), month_year(run))
@@ -93,7 +93,10 @@ def replace_stale(daily: DataFrame, run_ts, months: int = STALE_MONTHS) -> DataF
     }
     if "flag" in daily.columns:
         replaced["flag"] = F.when(turn, F.lit("placeholder")).otherwise(F.col("flag"))
+    cols = []
     for c in daily.columns:
-        if c not in ("site", "ts", "comment", "flag"):
-            replaced[c] = F.when(~turn, F.col(c))
-    return out.withColumns(replaced).drop("_pref", "_stale", "_rn")
+        if c == "site":
+            cols.append(F.col(c))
+        else:
+            cols.append(replaced.get(c, F.when(~turn, F.col(c))).alias(c))  # other values -> NULL
+    return out.select(*cols)

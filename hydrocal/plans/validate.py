@@ -31,6 +31,8 @@ from hydrocal.operators.gaps import missing_site_placeholders, placeholders, rep
 from hydrocal.operators.merge import union_by_name
 from hydrocal.session import cut_lineage
 from hydrocal.schemas import (
+    CONVERSION_DEFAULT,
+    CONVERSION_DIVIDE_BY_100,
     REASON_CSV_EMPTY,
     REASON_EMPTY_FILE,
     REFERENCE_DENSITY,
@@ -58,7 +60,7 @@ class Validation:
 
     final: DataFrame  # one row per site-day plus placeholder rows, FINAL_COLUMNS
     file_outcomes: DataFrame  # src_file, site, max_stage, per-stage counts, reason
-    quality: DataFrame  # site, per-stage counts, n_rows, n_unknown_conversion
+    quality: DataFrame  # site, per-stage row counts, unknown_conversion
 
 
 def file_day_summary(tagged: DataFrame) -> DataFrame:
@@ -180,11 +182,20 @@ def validate(
         daily = daily.withColumn("bom_hpa", F.lit(None).cast("double"))
 
     daily = replace_stale(daily, run_ts)
-    daily = flag_dry(daily)
-    daily = adjust_depth(daily, water_density, reference_density)
-    final = daily.withColumn("comment", F.coalesce(F.col("comment"), F.lit(""))).select(*FINAL_COLUMNS)
+    daily = adjust_depth(flag_dry(daily), water_density, reference_density)
+    final = daily.select(
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) if c == "comment" else F.col(c) for c in FINAL_COLUMNS]
+    )
 
     quality = summary.groupBy("site").agg(
         *[F.sum(c).alias(c) for c in ("n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept")]
     )
+    if site_cfg is not None:
+        known = F.col("depth_conversion_type").isin(CONVERSION_DEFAULT, CONVERSION_DIVIDE_BY_100)
+        unknown = site_cfg.select("site", (~known).alias("_unknown"))
+        quality = quality.join(unknown, "site", "left").select(
+            *quality.columns, F.coalesce(F.col("_unknown"), F.lit(False)).alias("unknown_conversion")
+        )
+    else:
+        quality = quality.withColumn("unknown_conversion", F.lit(False))
     return Validation(final=final, file_outcomes=outcomes, quality=quality)

@@ -98,6 +98,14 @@ def test_final_rows(result):
     assert len(got) == v.final.count()
 
 
+def test_quality_table(result):
+    _, v = result
+    q = {r.site: r for r in v.quality.collect()}
+    assert (q["A"].n_bad_datetime, q["A"].n_bad_numeric, q["A"].n_negative, q["A"].n_kept) == (1, 1, 1, 3)
+    assert q["F"].unknown_conversion and not q["A"].unknown_conversion
+    assert (q["G"].n_bad_datetime, q["G"].n_kept) == (2, 0)
+
+
 def test_reports(spark, result, tmp_path):
     _, v = result
     main = report_main(v.final)
