@@ -140,7 +140,7 @@ def validate(
     tagged = tag_stages(site_from_file(raw))
     summary = file_day_summary(tagged)
     if materialize:
-        summary = cut_lineage(summary)
+        summary = cut_lineage(summary, "file-day-summary")
     outcomes = file_outcomes(summary)
 
     failed = outcomes.where(F.col("reason").isNotNull()).select(

@@ -146,10 +146,16 @@ def _to_raw(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def signatures(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str]]]:
-    """Distinct header lines with their files. One row per distinct header reaches the driver."""
-    heads = file_headers(spark, paths)
-    grouped = heads.groupBy("header").agg(F.collect_list("src_file").alias("files")).collect()
-    return [(r["header"], list(r["files"])) for r in grouped]
+    """Distinct header lines with their files.
+
+    One (path, header) pair per file reaches the driver, the same size as the listing the
+    driver already holds (``spark.read.csv`` needs the paths there anyway); no task gathers a
+    list of paths.
+    """
+    groups: dict[str, list[str]] = {}
+    for r in file_headers(spark, paths).collect():
+        groups.setdefault(r["header"], []).append(r["src_file"])
+    return sorted(groups.items(), key=lambda kv: (kv[0] is None, kv[0] or ""))
 
 
 def read_site_folder(spark: SparkSession, folder: str, required: list[str] | None = None) -> FolderInput:

@@ -30,7 +30,7 @@ def test_validation_plan_shape(spark):
         assert python_node not in plan
     # the raw logger rows were read once, into the checkpointed file-day summary; the final plan
     # reads that summary and scans events only for the weather feed (signup rows)
-    assert "Scan ExistingRDD" in plan
+    assert "ReadSchema: struct<src_file:string,site:string,max_stage:int" in plan
     assert "Not(EqualTo(event_type,signup))" not in plan
     assert "EqualTo(event_type,signup)" in plan
 
