@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hydrocal.functions import file_stem, parse_date_time, to_number
+from hydrocal.schemas import require_types
 from hydrocal.schemas import (
     REASON_BAD_DATETIME,
     REASON_BAD_NUMERIC,
@@ -34,6 +36,7 @@ def tag_stages(raw: DataFrame) -> DataFrame:
     Adds ts (TIMESTAMP_NTZ), level_ft, baro_hpa (DOUBLE, NULL when invalid) and stage (INT);
     ``malformed`` (row had more fields than its header) is carried, FALSE when absent.
     """
+    require_types(raw, {c: T.StringType() for c in ("date_text", "time_text", "level_text", "baro_text")}, "tag_stages")
     parsed = F.struct(
         parse_date_time(F.col("date_text"), F.col("time_text")).alias("ts"),
         to_number(F.col("level_text")).alias("level_ft"),

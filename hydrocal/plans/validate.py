@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hydrocal.operators.barometer import attach_baro, daily_barometer
 from hydrocal.operators.clean import site_from_file, stage_counts, stage_reason, tag_stages
@@ -30,6 +31,7 @@ from hydrocal.operators.depth import adjust_depth, convert_depth, flag_dry
 from hydrocal.operators.gaps import missing_site_placeholders, placeholders, replace_stale
 from hydrocal.operators.merge import union_by_name
 from hydrocal.session import cut_lineage
+from hydrocal.schemas import require_types
 from hydrocal.schemas import (
     CONVERSION_DEFAULT,
     CONVERSION_DIVIDE_BY_100,
@@ -137,6 +139,8 @@ def validate(
     ``hydrocal.sources.csv_folder``). ``materialize=False`` skips the checkpoint of the
     summary (the raw input is then read once per consumer).
     """
+    text_cols = ("date_text", "time_text", "level_text", "baro_text", "src_file")
+    require_types(raw, {c: T.StringType() for c in text_cols}, "validate")
     tagged = tag_stages(site_from_file(raw))
     summary = file_day_summary(tagged)
     if materialize:

@@ -116,3 +116,13 @@ SITE_CFG = T.StructType(
         T.StructField("depth_conversion_type", T.StringType()),
     ]
 )
+
+
+def require_types(df, expected: dict, where: str) -> None:
+    """static type guard at an operator's entry (raises before any job runs)."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    for name, dtype in expected.items():
+        if name not in have:
+            raise ValueError(f"{where}: missing column {name!r}")
+        if have[name] != dtype:
+            raise TypeError(f"{where}: column {name!r} is {have[name].simpleString()}, expected {dtype.simpleString()}")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hydrocal.functions import report_ts
+from hydrocal.schemas import require_types
 from hydrocal.schemas import (
     R_ADJ,
     R_BARO,
@@ -21,6 +23,7 @@ from hydrocal.schemas import (
 
 def report_main(final: DataFrame) -> DataFrame:
     """K1: every row including placeholders, 7 report columns, timestamp as report text."""
+    require_types(final, {"ts": T.TimestampNTZType()}, "report_main")
     return final.select(
         F.col("site").alias(R_SITE),
         report_ts(F.col("ts")).alias(R_TS),
@@ -34,6 +37,7 @@ def report_main(final: DataFrame) -> DataFrame:
 
 def report_upload(final: DataFrame) -> DataFrame:
     """K2: rows with an adjusted depth; the water-level column is always empty."""
+    require_types(final, {"ts": T.TimestampNTZType()}, "report_upload")
     return final.where(F.col("depth_adj_m").isNotNull()).select(
         F.col("site").alias(R_SITE),
         report_ts(F.col("ts")).alias(R_TS),
@@ -64,10 +68,18 @@ def write_csv(report: DataFrame, path: str, single_file: bool = False) -> None:
     )
 
 
-def write_reports(final: DataFrame, out_dir: str, single_file: bool = False) -> None:
+def write_reports(final: DataFrame, out_dir: str, single_file: bool = False) -> bool:
     """K5: main and upload reports under ``out_dir`` (one folder each), plus the typed table as
-    Parquet. ``final`` should be materialised first (see ``hydrocal.session.cut_lineage``)."""
+    Parquet. ``final`` should be materialised first (see ``hydrocal.session.cut_lineage``).
+
+    S11: when nothing at all was consolidated (not even a placeholder) no file is written and
+    False is returned. Otherwise both reports are written, the upload report header-only when no
+    row has an adjusted depth (K4, Q12).
+    """
+    if final.isEmpty():
+        return False
     ordered = sorted_for_report(final)
     final.write.mode("overwrite").parquet(f"{out_dir}/validated.parquet")
     write_csv(report_main(ordered), f"{out_dir}/validatedDepthData", single_file)
     write_csv(report_upload(ordered), f"{out_dir}/SWLVLGenericTemplate_greaterPBOPools", single_file)
+    return True

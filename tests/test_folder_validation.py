@@ -140,6 +140,23 @@ def test_upload_written_even_when_empty(spark, tmp_path):
     assert open(up).read().splitlines() == [",".join(UPLOAD_REPORT_COLUMNS)]
 
 
+def test_nothing_consolidated_writes_nothing(spark, tmp_path):
+    raw = spark.createDataFrame([], "site string, date_text string, time_text string, level_text string, "
+                                "baro_text string, comment string, src_file string")
+    v = validate(raw, RUN)
+    out = str(tmp_path / "none")
+    assert write_reports(v.final, out) is False
+    assert glob.glob(f"{out}/*") == []
+
+
+def test_type_guard(spark):
+    bad = spark.createDataFrame([(1,)], "date_text int")
+    with pytest.raises(TypeError):
+        validate(bad, RUN)
+    with pytest.raises(ValueError):
+        validate(bad.withColumnRenamed("date_text", "other"), RUN)
+
+
 def test_read_pairs_merges_level_and_baro(spark, tmp_path):
     d = tmp_path / "pairs"
     d.mkdir()
