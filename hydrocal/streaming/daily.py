@@ -6,7 +6,9 @@ The reference is a monthly batch; this is the optional incremental re-aim of SUR
   dropped from state once the event time has moved past its day plus the allowed lateness;
 * keep-first is an event-time tumbling ``window(ts, '1 day')`` grouped with ``site`` and a
   ``min`` over the ordering struct (row-number windows are not allowed on streams);
-* the daily barometer is a static DataFrame joined to the stream (stream-static left join).
+* each micro-batch's updated groups are appended to files; the settled (site, day) rows are
+  read back in batch and, when a daily barometer is given, joined to it there (C7, checked
+  broadcast), since a day's first reading is only final once its window has closed.
 
 ``withWatermark`` needs TIMESTAMP (not TIMESTAMP_NTZ): the stream casts to TIMESTAMP in a UTC
 session and back to NTZ at the output, which keeps the wall-clock values.
@@ -19,6 +21,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hydrocal.operators.barometer import attach_baro
 from hydrocal.session import ensure_checkpoint_dir
 
 ORDER_FIELDS = ["ts", "src_file", "level_ft", "baro_hpa", "comment"]
@@ -50,9 +53,11 @@ def run_first_per_site_day(
     source: DataFrame,
     lateness: str = "1 day",
     work_dir: str | None = None,
+    daily_baro: DataFrame | None = None,
 ) -> DataFrame:
     """Run the streaming keep-first over ``source`` (a streaming DataFrame of readings) until all
-    available input is processed, and return the settled batch result.
+    available input is processed, and return the settled batch result (with ``bom_hpa`` when
+    ``daily_baro`` is given).
 
     Each micro-batch's updated groups are appended as Parquet by the executors (``foreachBatch``)
     under ``work_dir`` (default: a fresh folder inside the shared checkpoint folder); nothing is
@@ -80,4 +85,7 @@ def run_first_per_site_day(
         out_path = None  # no micro-batch produced rows
     schema = "site string, day date, first struct<ts: timestamp, src_file: string, level_ft: double, baro_hpa: double, comment: string>, batch_id long"
     firsts = spark.read.schema(schema).parquet(out_path) if out_path else spark.createDataFrame([], schema)
-    return flatten_firsts(firsts).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    settled = flatten_firsts(firsts).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    if daily_baro is not None:
+        settled = attach_baro(settled, daily_baro)
+    return settled

@@ -174,3 +174,15 @@ def test_read_pairs_merges_level_and_baro(spark, tmp_path):
     assert st == {"S1": "ok", "S2": "rejected", "S3": "ok"}
     got = sorted((r.level_text, r.baro_text) for r in inp.raw.collect())
     assert got == [("10", "1005"), ("10", "1010"), ("11", None)]
+
+
+def test_same_stem_files_feed_one_site(spark, tmp_path):
+    d = tmp_path / "stems"
+    d.mkdir()
+    write(d / "A.csv", HDR + "01/03/2026,09:00:00,10,1010\n02/03/2026,09:00:00,10,1010\n")
+    write(d / "A.CSV", f"Date,Time,{SRC_LEVEL},{SRC_BARO},{'OTHER - Comments - Text'}\n"
+          '01/03/2026,08:00:00,20,1010,"checked, ok"\n')
+    inp = read_site_folder(spark, str(d))
+    v = validate(inp.raw, RUN, files=inp.files)
+    got = sorted((r.site, r.ts, r.level_ft, r.comment) for r in v.final.collect())
+    assert got == [("A", T(2026, 3, 1, 8), 20.0, "checked, ok"), ("A", T(2026, 3, 2, 9), 10.0, "")]

@@ -19,7 +19,9 @@ def test_stream_keep_first_over_several_batches(spark, tmp_path):
     for i, b in enumerate(batches):
         spark.createDataFrame(b, SCHEMA).coalesce(1).write.parquet(str(src / f"part{i}"))
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(src))
-    out = run_first_per_site_day(spark, stream, lateness="1 day", work_dir=str(tmp_path / "work"))
+    baro = spark.createDataFrame([(dt.date(2026, 3, 1), 1001.0)], "day date, bom_hpa double")
+    out = run_first_per_site_day(spark, stream, lateness="1 day", work_dir=str(tmp_path / "work"), daily_baro=baro)
+    assert rows(out.where("bom_hpa IS NOT NULL"), "site") == [("A",), ("B",)]
     assert rows(out, "site", "ts", "level_ft") == [
         ("A", T(2026, 3, 1, 6), 1.0),
         ("A", T(2026, 3, 4, 6), 3.0),
