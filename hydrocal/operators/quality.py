@@ -21,8 +21,8 @@ def quality_counts(tagged: DataFrame) -> DataFrame:
 def site_status(final: DataFrame, failed_sites: DataFrame | None = None) -> DataFrame:
     """One row per site of the final table with a typed status.
 
-    ``flagged`` when any row is a placeholder or carries the dry comment, ``failed`` when the
-    site's files were all rejected, else ``data``. Derived from the ``flag`` column, not from
+    ``flagged`` when any row is a placeholder or carries the dry comment, ``data`` otherwise, and
+    ``failed`` for sites of ``failed_sites`` (rejected files) that have no row at all. Derived from the ``flag`` column, not from
     comment text matching.
     """
     per_site = final.groupBy("site").agg(

@@ -282,8 +282,7 @@ def q_file_outcomes(spark, sf):
 def q_site_status(spark, sf):
     """Typed status per site of the validated table."""
     v = _validation(spark, sf)
-    failed = v.file_outcomes.where(F.col("reason").isNotNull()).select("site")
-    return site_status(v.final, failed)
+    return site_status(v.final, v.rejected_files)
 
 
 def q_run_summary(spark, sf):

@@ -390,9 +390,7 @@ def _sql() -> dict[str, str]:
     out["site_status"] = vctes + (
         ", ps AS (SELECT site, count(*) FILTER (WHERE flag IS NULL) AS n_data_rows, "
         "count(*) FILTER (WHERE flag IS NOT NULL) AS n_flag_rows FROM final GROUP BY site) "
-        "SELECT site, n_data_rows, n_flag_rows, CASE WHEN n_flag_rows > 0 THEN 'flagged' ELSE 'data' END AS status FROM ps "
-        "UNION ALL SELECT DISTINCT site, 0, 0, 'failed' FROM outcomes WHERE max_stage < 4 "
-        "AND site NOT IN (SELECT site FROM final)"
+        "SELECT site, n_data_rows, n_flag_rows, CASE WHEN n_flag_rows > 0 THEN 'flagged' ELSE 'data' END AS status FROM ps"
     )
     out["run_summary"] = (
         "WITH st AS (" + out["site_status"] + ") SELECT count(*) AS n_sites, "

@@ -63,6 +63,7 @@ class Validation:
     final: DataFrame  # one row per site-day plus placeholder rows, FINAL_COLUMNS
     file_outcomes: DataFrame  # src_file, site, max_stage, per-stage counts, reason
     quality: DataFrame  # site, per-stage row counts, unknown_conversion
+    rejected_files: DataFrame  # src_file, site: files unreadable as a whole (no rows, no placeholder)
 
 
 def file_day_summary(tagged: DataFrame) -> DataFrame:
@@ -202,4 +203,7 @@ def validate(
         )
     else:
         quality = quality.withColumn("unknown_conversion", F.lit(False))
-    return Validation(final=final, file_outcomes=outcomes, quality=quality)
+    rejected = outcomes.where(F.col("rejected")).select("src_file", "site")
+    if files is not None:
+        rejected = rejected.unionByName(files.where(F.col("status") == "rejected").select("src_file", "site"))
+    return Validation(final=final, file_outcomes=outcomes, quality=quality, rejected_files=rejected)

@@ -98,6 +98,16 @@ def test_final_rows(result):
     assert len(got) == v.final.count()
 
 
+def test_rejected_files_and_status(result):
+    from hydrocal.operators.quality import site_status
+
+    _, v = result
+    assert sorted(r.site for r in v.rejected_files.collect()) == ["C", "J"]
+    st = {r.site: r.status for r in site_status(v.final, v.rejected_files).collect()}
+    assert st["C"] == st["J"] == "failed"
+    assert st["A"] == "flagged" and st["B"] == "data" and st["K"] == "flagged"
+
+
 def test_quality_table(result):
     _, v = result
     q = {r.site: r for r in v.quality.collect()}
