@@ -9,8 +9,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. ANSI is the Spark 4 default; AQE re-plans joins and coalesces
-# shuffle partitions with measured sizes.
+# shuffle partitions with measured sizes. The static planner does not broadcast on estimated sizes
+# (compressed file sizes can understate a table); broadcasts happen only after an explicit row
+# count check (operators/joins.py) or when AQE has measured a materialised side below 10 MB.
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
