@@ -10,8 +10,9 @@ The reference is a monthly batch; this is the optional incremental re-aim of SUR
   read back in batch and, when a daily barometer is given, joined to it there (C7, checked
   broadcast), since a day's first reading is only final once its window has closed.
 
-``withWatermark`` needs TIMESTAMP (not TIMESTAMP_NTZ): the stream casts to TIMESTAMP in a UTC
-session and back to NTZ at the output, which keeps the wall-clock values.
+``withWatermark`` needs TIMESTAMP (not TIMESTAMP_NTZ). The event-time column is the reading's wall
+clock taken as a UTC instant (``make_timestamp(..., 'UTC')``), so the UTC-aligned day windows are
+calendar days in any session time zone; the ordering struct keeps the original TIMESTAMP_NTZ.
 """
 
 from __future__ import annotations
@@ -35,10 +36,15 @@ def _order_struct() -> F.Column:
 def first_per_site_day_stream(readings: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Streaming W2: ``readings`` (site, ts, level_ft, baro_hpa, comment, src_file) -> first reading
     per (site, day), as update-mode rows (site, day, first)."""
-    ev = readings.withColumn("_evt", F.col("ts").cast("timestamp")).withWatermark("_evt", lateness)
+    ts = F.col("ts")
+    evt = F.make_timestamp(
+        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
+        F.date_part(F.lit("SECOND"), ts), F.lit("UTC"),
+    )
+    ev = readings.withColumn("_evt", evt).withWatermark("_evt", lateness)
     return ev.groupBy(F.col("site"), F.window("_evt", "1 day").alias("w")).agg(
         F.min(_order_struct()).alias("first")
-    ).select("site", F.to_date(F.col("w.start")).alias("day"), "first")
+    ).select("site", F.to_date(F.col("first.ts")).alias("day"), "first")
 
 
 def flatten_firsts(firsts: DataFrame) -> DataFrame:
@@ -83,9 +89,12 @@ def run_first_per_site_day(
     path = jvm.org.apache.hadoop.fs.Path(out_path)
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         out_path = None  # no micro-batch produced rows
-    schema = "site string, day date, first struct<ts: timestamp, src_file: string, level_ft: double, baro_hpa: double, comment: string>, batch_id long"
+    schema = (
+        "site string, day date, first struct<ts: timestamp_ntz, src_file: string, level_ft: double, "
+        "baro_hpa: double, comment: string>, batch_id long"
+    )
     firsts = spark.read.schema(schema).parquet(out_path) if out_path else spark.createDataFrame([], schema)
-    settled = flatten_firsts(firsts).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    settled = flatten_firsts(firsts)
     if daily_baro is not None:
         settled = attach_baro(settled, daily_baro)
     return settled
