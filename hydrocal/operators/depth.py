@@ -17,16 +17,22 @@ from hydrocal.schemas import (
 )
 
 
-def convert_depth(readings: DataFrame, site_cfg: DataFrame | None = None, level: str = "level_ft") -> DataFrame:
-    """J3 + F12 + F13: look up each site's conversion type (default when absent) and compute
-    ``depth_raw_m``. Adds ``conversion_type`` and ``unknown_conversion`` (type neither ``default``
-    nor ``divide_by_100``: converted as feet, reported in the quality table)."""
+def convert_depth(
+    readings: DataFrame,
+    site_cfg: DataFrame | None = None,
+    level: str = "level_ft",
+    default_type: str = CONVERSION_DEFAULT,
+) -> DataFrame:
+    """J3 + F12 + F13: look up each site's conversion type (``default_type`` when the site is not
+    configured) and compute ``depth_raw_m``. Adds ``conversion_type`` and ``unknown_conversion``
+    (type neither ``default`` nor ``divide_by_100``: converted as feet; the validation's quality
+    table reports such sites)."""
     if site_cfg is None:
-        df, ctype = readings, F.lit(CONVERSION_DEFAULT)
+        df, ctype = readings, F.lit(default_type)
     else:
         cfg = site_cfg.select("site", F.col("depth_conversion_type").alias("_ctype"))
         df = checked_join(readings, cfg, "site", "left")
-        ctype = F.coalesce(F.col("_ctype"), F.lit(CONVERSION_DEFAULT))
+        ctype = F.coalesce(F.col("_ctype"), F.lit(default_type))
     keep = [c for c in df.columns if c not in ("_ctype", "conversion_type", "depth_raw_m", "unknown_conversion")]
     return df.select(
         *keep,

@@ -19,29 +19,27 @@ def quality_counts(tagged: DataFrame) -> DataFrame:
 
 
 def site_status(final: DataFrame, failed_sites: DataFrame | None = None) -> DataFrame:
-    """One row per site of the final table with a typed status.
+    """One row per site with a typed status, from one aggregation.
 
     ``flagged`` when any row is a placeholder or carries the dry comment, ``data`` otherwise, and
-    ``failed`` for sites of ``failed_sites`` (rejected files) that have no row at all. Derived from the ``flag`` column, not from
-    comment text matching.
+    ``failed`` for sites of ``failed_sites`` (rejected files) that have no row at all. Derived from
+    the ``flag`` column, not from comment text matching. Final rows and failed-site markers are
+    unioned and grouped once, so the final table is evaluated once (no join back).
     """
-    per_site = final.groupBy("site").agg(
-        F.count_if(F.col("flag").isNull()).alias("n_data_rows"),
-        F.count_if(F.col("flag").isNotNull()).alias("n_flag_rows"),
-    )
-    status = F.when(F.col("n_flag_rows") > 0, F.lit("flagged")).otherwise(F.lit("data"))
-    out = per_site.withColumn("status", status)
+    rows = final.select("site", F.col("flag"), F.lit(True).alias("_row"))
     if failed_sites is not None:
-        failed = failed_sites.select("site").distinct().join(final.select("site").distinct(), "site", "left_anti")
-        out = out.unionByName(
-            failed.select(
-                "site",
-                F.lit(0).cast("long").alias("n_data_rows"),
-                F.lit(0).cast("long").alias("n_flag_rows"),
-                F.lit("failed").alias("status"),
-            )
-        )
-    return out
+        marks = failed_sites.select("site", F.lit(None).cast("string").alias("flag"), F.lit(False).alias("_row"))
+        rows = rows.unionByName(marks)
+    per_site = rows.groupBy("site").agg(
+        F.count_if(F.col("_row") & F.col("flag").isNull()).alias("n_data_rows"),
+        F.count_if(F.col("_row") & F.col("flag").isNotNull()).alias("n_flag_rows"),
+    )
+    status = (
+        F.when((F.col("n_data_rows") + F.col("n_flag_rows")) == 0, F.lit("failed"))
+        .when(F.col("n_flag_rows") > 0, F.lit("flagged"))
+        .otherwise(F.lit("data"))
+    )
+    return per_site.withColumn("status", status)
 
 
 def run_summary(status: DataFrame) -> DataFrame:

@@ -193,8 +193,8 @@ def q_stale_rows(spark, sf):
 
 def q_flag_dry(spark, sf):
     """Every site divides by 100, so small levels round to 0.00 m and are flagged."""
-    cfg = _daily(spark, sf).select("site").distinct().withColumn("depth_conversion_type", F.lit("divide_by_100"))
-    daily = convert_depth(_daily(spark, sf).withColumn("flag", F.lit(None).cast("string")), cfg)
+    daily = _daily(spark, sf).withColumn("flag", F.lit(None).cast("string"))
+    daily = convert_depth(daily, default_type="divide_by_100")
     return flag_dry(daily).select("site", "ts", "depth_raw_m", "comment", "flag")
 
 
