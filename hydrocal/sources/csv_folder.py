@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hydrocal.functions.text import file_stem
+from hydrocal.operators.joins import BROADCAST_MAX_ROWS
 from hydrocal.operators.merge import merge_level_baro
 from hydrocal.schemas import NA_TOKENS, SRC_BARO, SRC_COMMENT, SRC_DATE, SRC_LEVEL, SRC_TIME
 
@@ -248,7 +249,10 @@ def read_pairs(spark: SparkSession, folder: str, manifest: DataFrame) -> FolderI
             pair_df = spark.createDataFrame(
                 [(f, pair_of[f]) for f in merged_files], "src_file string, _pair string"
             )
-            left = lv.join(F.broadcast(pair_df), "src_file", "inner").withColumn("site", F.col("_pair"))
+            # the pair table's row count is known here; broadcast it only under the common limit
+            small = len(merged_files) <= BROADCAST_MAX_ROWS
+            left = lv.join(F.broadcast(pair_df) if small else pair_df, "src_file", "inner")
+            left = left.withColumn("site", F.col("_pair"))
             right = reduce(DataFrame.unionByName, baro_frames).withColumnRenamed("_pair", "site")
             merged = merge_level_baro(left.drop("_pair"), right).withColumn("site", F.lit(None).cast("string"))
             frames.append(merged.select(*RAW_COLUMNS))
