@@ -59,12 +59,13 @@ def daily_barometer(weather: DataFrame) -> DataFrame:
     return first_per_day(parsed).select(F.to_date("ts").alias("day"), "bom_hpa")
 
 
-def attach_baro(daily: DataFrame, daily_baro: DataFrame) -> DataFrame:
+def attach_baro(daily: DataFrame, daily_baro: DataFrame, small: bool | None = None) -> DataFrame:
     """Left join on calendar day; the right side is unique per day, so no fan-out.
 
-    The daily series is bounded by the number of calendar days; it is broadcast after a size check.
+    The daily series is bounded by the number of calendar days; it is broadcast after a size check
+    (``small`` passes a check already made).
     """
     right = daily_baro.select(F.col("day").alias("_day"), F.col("bom_hpa").alias("_bom"))
     left = daily.drop("bom_hpa")
-    out = checked_join(left, right, F.to_date(left["ts"]) == right["_day"], "left")
+    out = checked_join(left, right, F.to_date(left["ts"]) == right["_day"], "left", small=small)
     return out.select(*left.columns, F.col("_bom").alias("bom_hpa"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,29 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_broadcast_all(frames: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[bool]:
+    """``fits_broadcast`` for several frames in one job (one count per frame reaches the driver)."""
+    if not frames:
+        return []
+    parts = [df.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, df in enumerate(frames)]
+    rows = reduce(DataFrame.unionAll, parts).groupBy("_i").count().collect()
+    counts = {r["_i"]: r["count"] for r in rows}
+    return [counts.get(i, 0) <= max_rows for i in range(len(frames))]
+
+
 def checked_join(
-    left: DataFrame, right: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_MAX_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    on,
+    how: str = "left",
+    max_rows: int = BROADCAST_MAX_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join with ``right`` broadcast when its size check passes; otherwise a plain shuffle join
-    that AQE may still convert at run time from measured sizes."""
-    if fits_broadcast(right, max_rows):
+    that AQE may still convert at run time from measured sizes. ``small`` passes the result of a
+    check already made (``fits_broadcast_all``)."""
+    if small is None:
+        small = fits_broadcast(right, max_rows)
+    if small:
         return left.join(F.broadcast(right), on, how)
     return left.join(right, on, how)

@@ -29,6 +29,7 @@ from hydrocal.operators.clean import site_from_file, stage_counts, stage_reason,
 from hydrocal.operators.dedup import first_per_site_day
 from hydrocal.operators.depth import adjust_depth, convert_depth, flag_dry
 from hydrocal.operators.gaps import missing_site_placeholders, placeholders, replace_stale
+from hydrocal.operators.joins import fits_broadcast_all
 from hydrocal.operators.merge import union_by_name
 from hydrocal.session import cut_lineage
 from hydrocal.schemas import require_types
@@ -175,14 +176,18 @@ def validate(
         "src_file",
         F.lit(None).cast("string").alias("flag"),
     )
+    if daily_baro is None and weather is not None:
+        daily_baro = daily_barometer(weather)
+    # both broadcast size checks in one job
+    dims = [d for d in (site_cfg, daily_baro) if d is not None]
+    small = dict(zip([id(d) for d in dims], fits_broadcast_all(dims)))
+
     candidates = union_by_name(firsts, *ph).repartition("site")
     daily = first_per_site_day(candidates)
-    daily = convert_depth(daily, site_cfg)
+    daily = convert_depth(daily, site_cfg, cfg_small=small.get(id(site_cfg)))
 
-    if daily_baro is None and weather is not None:
-        daily_baro = daily_barometer(weather)
     if daily_baro is not None:
-        daily = attach_baro(daily, daily_baro)
+        daily = attach_baro(daily, daily_baro, small=small[id(daily_baro)])
     else:
         daily = daily.withColumn("bom_hpa", F.lit(None).cast("double"))
 
