@@ -173,3 +173,16 @@ def test_unpivot_ampm_rules(spark):
         (4, "03/04/2026", "12:00:00", "1012.0"),
         (5, "04/04/2026", "18:00:00", "1008.5"),
     ]
+
+
+def test_checked_join_falls_back_above_limit(spark):
+    from hydrocal.operators.joins import checked_join, fits_broadcast, fits_broadcast_all
+
+    left = spark.createDataFrame([("A", 1), ("B", 2)], "site string, v int")
+    right = spark.createDataFrame([("A", "x"), ("B", "y")], "site string, t string")
+    assert fits_broadcast(right, 2) and not fits_broadcast(right, 1)
+    assert fits_broadcast_all([right, left.limit(1)], 1) == [False, True]
+    plan = checked_join(left, right, "site", "left", max_rows=1)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    plan = checked_join(left, right, "site", "left", max_rows=2)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan
