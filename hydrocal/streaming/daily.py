@@ -68,7 +68,9 @@ def run_first_per_site_day(
     Each micro-batch's updated groups are appended as Parquet by the executors (``foreachBatch``)
     under ``work_dir`` (default: a fresh folder inside the shared checkpoint folder); nothing is
     gathered on the driver. The stream's own checkpoint lives next to it, so a restarted job
-    resumes exactly once.
+    resumes from its last committed batch. A batch replayed after a failure may append its rows a
+    second time; the settle step keeps the smallest struct per (site, day), so duplicates cannot
+    change the result.
     """
     base = work_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     out_path, ckpt = f"{base}/firsts", f"{base}/_checkpoint"
