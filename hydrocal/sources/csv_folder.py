@@ -68,6 +68,12 @@ def listing(spark: SparkSession, folder: str, select=is_site_file) -> DataFrame:
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
+def file_path() -> F.Column:
+    """``_metadata.file_path`` in the listing's form. The metadata column is URI-encoded
+    (``Site%201.csv``); percent sequences are decoded and a literal ``+`` is kept."""
+    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+
+
 def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(src_file, header): the first line of each file, in one distributed pass.
 
@@ -77,7 +83,7 @@ def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], "src_file string, header string")
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("src_file"),
+        file_path().alias("src_file"),
         F.col("value"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("rid"),
@@ -127,7 +133,7 @@ def read_signature(spark: SparkSession, files: list[str], names: list[str]) -> D
     # NA tokens of the exports become NULL (S3); values keep their text otherwise.
     cols = [F.when(~F.col(s).isin(NA_TOKENS), F.col(s)).alias(n) for s, n in zip(safe, names)]
     malformed = F.coalesce(_field_count(F.col(_CORRUPT)) > F.lit(len(names)), F.lit(False))
-    return df.select(*cols, F.col("_metadata.file_path").alias("src_file"), malformed.alias("malformed"))
+    return df.select(*cols, file_path().alias("src_file"), malformed.alias("malformed"))
 
 
 def _to_raw(df: DataFrame, names: list[str]) -> DataFrame:

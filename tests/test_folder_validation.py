@@ -196,3 +196,15 @@ def test_same_stem_files_feed_one_site(spark, tmp_path):
     v = validate(inp.raw, RUN, files=inp.files)
     got = sorted((r.site, r.ts, r.level_ft, r.comment) for r in v.final.collect())
     assert got == [("A", T(2026, 3, 1, 8), 20.0, "checked, ok"), ("A", T(2026, 3, 2, 9), 10.0, "")]
+
+
+def test_file_names_with_special_characters(spark, tmp_path):
+    d = tmp_path / "names"
+    d.mkdir()
+    write(d / "Site 1.csv", HDR + "01/03/2026,08:00:00,10,1010\n")
+    write(d / "B#%+.csv", HDR + "01/03/2026,08:00:00,10,1010\n")
+    write(d / "E mpty.csv", "")
+    inp = read_site_folder(spark, str(d))
+    assert {r.site: r.status for r in inp.files.collect()} == {"Site 1": "ok", "B#%+": "ok", "E mpty": "zero_bytes"}
+    v = validate(inp.raw, RUN, files=inp.files)
+    assert sorted(r.site for r in v.final.collect()) == ["B#%+", "E mpty", "Site 1"]
