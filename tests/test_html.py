@@ -53,3 +53,26 @@ def test_ampm_to_daily_barometer(spark):
 def test_html_items(spark):
     pages = spark.createDataFrame([(1, "<ul><li>a</li><li> b <i>c</i></li></ul>")], "page_id int, html string")
     assert rows(html_items(pages, keys=["page_id"]), "item_pos", "item_text") == [(0, "a"), (1, "bc")]
+
+
+def test_table_markup_variants(spark):
+    cells = "".join(f"<TD align=right>{c}</TD>" for c in ["x"] * 14)
+    page = (
+        "<HTML><TABLE CLASS=data><TBODY>"
+        f"<TR><TH scope='row'> 7 </TH>{cells}<td>1012<!-- c -->.5&nbsp;</td>" + "<td>y</td>" * 5 + "<td>&#49;</td></TR>"
+        "</TBODY></TABLE></HTML>"
+    )
+    pages = spark.createDataFrame([(1, page)], "page_id int, html string")
+    [row] = html_table_rows(pages).collect()
+    assert row.cells[0] == "7" and row.cells[15] == "1012.5" and len(row.cells) == 22
+    # numeric character references are not decoded, so that afternoon cell is not a number
+    assert rows(ampm_readings(pages, 4, 2026), "date_text", "time_text", "hpa_text") == [("07/04/2026", "12:00:00", "1012.5")]
+
+
+def test_class_list_must_contain_data_word(spark):
+    body = "<tbody><tr><td>1</td></tr></tbody>"
+    pages = spark.createDataFrame(
+        [(1, f'<table class="metadata">{body}</table>'), (2, f'<table class="x data y">{body}</table>')],
+        "page_id int, html string",
+    )
+    assert rows(html_table_rows(pages, keys=["page_id"]), "page_id") == [(2,)]
