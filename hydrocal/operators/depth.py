@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hydrocal.functions import adjusted_depth, raw_depth, specific_gravity
 from hydrocal.operators.gaps import has_placeholder_prefix
 from hydrocal.operators.joins import checked_join
+from hydrocal.sources.site_config import lookup_table
 from hydrocal.schemas import (
     CONVERSION_DEFAULT,
     CONVERSION_DIVIDE_BY_100,
@@ -31,7 +32,7 @@ def convert_depth(
     if site_cfg is None:
         df, ctype = readings, F.lit(default_type)
     else:
-        cfg = site_cfg.select("site", F.col("depth_conversion_type").alias("_ctype"))
+        cfg = lookup_table(site_cfg).select("site", F.col("depth_conversion_type").alias("_ctype"))
         df = checked_join(readings, cfg, "site", "left", small=cfg_small)
         ctype = F.coalesce(F.col("_ctype"), F.lit(default_type))
     keep = [c for c in df.columns if c not in ("_ctype", "conversion_type", "depth_raw_m", "unknown_conversion")]

@@ -32,6 +32,7 @@ from hydrocal.operators.gaps import missing_site_placeholders, placeholders, rep
 from hydrocal.operators.joins import fits_broadcast_all
 from hydrocal.operators.merge import union_by_name
 from hydrocal.session import cut_lineage
+from hydrocal.sources.site_config import lookup_table
 from hydrocal.schemas import require_types
 from hydrocal.schemas import (
     CONVERSION_DEFAULT,
@@ -138,8 +139,8 @@ def validate(
     comment, src_file. ``weather``: date_text, time_text, hpa_text (or pass ``daily_baro``).
     ``site_cfg``: site, depth_conversion_type; its sites are the expected sites unless
     ``expected_sites`` is given. ``files``: the file listing of a folder source (see
-    ``hydrocal.sources.csv_folder``). ``materialize=False`` skips the checkpoint of the
-    summary (the raw input is then read once per consumer).
+    ``hydrocal.sources.csv_folder``). ``materialize=False`` skips writing the summary table
+    (the raw input is then read once per consumer).
     """
     text_cols = ("date_text", "time_text", "level_text", "baro_text", "src_file")
     require_types(raw, {c: T.StringType() for c in text_cols}, "validate")
@@ -202,7 +203,7 @@ def validate(
     )
     if site_cfg is not None:
         known = F.col("depth_conversion_type").isin(CONVERSION_DEFAULT, CONVERSION_DIVIDE_BY_100)
-        unknown = site_cfg.select("site", (~known).alias("_unknown"))
+        unknown = lookup_table(site_cfg).select("site", (~known).alias("_unknown"))
         quality = quality.join(unknown, "site", "left").select(
             *quality.columns, F.coalesce(F.col("_unknown"), F.lit(False)).alias("unknown_conversion")
         )

@@ -35,6 +35,12 @@ def config_from_json(docs: DataFrame, json_col: str, keys: list[str] | None = No
     return docs.select(*keys, F.inline(config_entries(F.col(json_col))))
 
 
+def lookup_table(site_cfg: DataFrame) -> DataFrame:
+    """One row per site, so that a config lookup (J3) matches at most once even when several
+    documents name the same site (the largest type name wins, deterministically)."""
+    return site_cfg.groupBy("site").agg(F.max("depth_conversion_type").alias("depth_conversion_type"))
+
+
 def site_config(spark: SparkSession, json_text: str | None) -> DataFrame:
     """S7 for one configuration document held by the caller (the expected-site list)."""
     doc = spark.createDataFrame([(json_text,)], "doc string")

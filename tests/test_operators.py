@@ -81,6 +81,13 @@ def test_convert_depth_lookup_with_default(spark):
     assert rows(out, "site", "depth_raw_m", "unknown_conversion") == [("A", 3.05, False), ("B", 2.5, False), ("C", 3.05, True)]
 
 
+def test_convert_depth_duplicate_config_entries_do_not_fan_out(spark):
+    daily = spark.createDataFrame([("B", T(2026, 4, 1), 250.0, 1.0, "", "B.csv")], READ)
+    cfg = spark.createDataFrame([("B", "divide_by_100"), ("B", "default")], "site string, depth_conversion_type string")
+    out = convert_depth(daily, cfg)
+    assert rows(out, "site", "conversion_type", "depth_raw_m") == [("B", "divide_by_100", 2.5)]
+
+
 def test_site_config_bad_documents(spark):
     assert site_config(spark, "{bad").count() == 0
     assert site_config(spark, "[1, 2]").count() == 0
