@@ -34,3 +34,24 @@ def test_cli_validate(spark, tmp_path, capsys):
     assert lines[1:] == ["A,01/03/2026 12:10:00 AM,3.15,,", "A,02/03/2026 12:10:00 AM,3.74,,"]
     for t in ("validated.parquet", "quality.parquet", "file_outcomes.parquet", "site_status.parquet"):
         assert spark.read.parquet(f"{out}/{t}").count() > 0
+
+
+def test_cli_validate_with_manifest(spark, tmp_path, capsys):
+    land = tmp_path / "pairs"
+    land.mkdir()
+    (land / "S1.csv").write_text(f"Date,Time,{SRC_LEVEL}\n01/03/2026,00:00:00,10\n")
+    (land / "baroS1.csv").write_text(f"Date,Time,{SRC_BARO}\n01/03/2026,00:00:00,1010\n")
+    (land / "S2.csv").write_text(f"Date,Time,{SRC_LEVEL}\n01/03/2026,00:00:00,10\n")  # its barometer file is missing
+    manifest = tmp_path / "manifest.json"
+    manifest.write_text(json.dumps([
+        {"name": "S1", "nav_option": "a", "main_csv": "S1.csv", "baro_csv": "baroS1.csv"},
+        {"name": "S2", "nav_option": "b", "main_csv": "S2.csv", "baro_csv": "baroS2.csv"},
+    ]))
+    out = str(tmp_path / "out")
+    rc = main(["validate", "--input", str(land), "--out", out, "--run-ts", "2026-03-28 17:00:00",
+               "--manifest", str(manifest), "--single-file"])
+    assert rc == 0
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert summary == {"n_sites": 2, "n_data_sites": 1, "n_flagged_sites": 0, "n_failed_sites": 1}
+    [main_csv] = glob.glob(f"{out}/validatedDepthData/*.csv")
+    assert open(main_csv).read().splitlines()[1:] == ["S1,01/03/2026 12:00:00 AM,,1010.0,3.05,,"]
