@@ -18,7 +18,6 @@ from hydrocal.operators.depth import adjust_depth, convert_depth, flag_dry
 from hydrocal.operators.gaps import latest_per_site, missing_site_placeholders, replace_stale
 from hydrocal.operators.merge import merge_level_baro, union_by_name
 from hydrocal.operators.quality import quality_counts, rows_per_site, run_summary, site_status
-from hydrocal.operators.clean import site_from_file
 from hydrocal.plans.validate import Validation, file_day_summary, file_outcomes, validate
 from hydrocal.session import table
 from hydrocal.sinks.reports import report_main, report_upload
@@ -277,7 +276,7 @@ def q_quality_counts(spark, sf):
 def q_file_outcomes(spark, sf):
     """C4 outcome per file: furthest stage, counts and placeholder reason (tagging, the file-day
     summary and its per-file aggregate; no full validation needed)."""
-    out = file_outcomes(file_day_summary(tag_stages(site_from_file(S.logger_raw(spark, sf)))))
+    out = file_outcomes(file_day_summary(tag_stages(S.logger_raw(spark, sf))))
     return out.select("src_file", "site", "max_stage", "n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept", "reason")
 
 

@@ -3,8 +3,8 @@
 Shape of the plan, designed for very large raw inputs with hot sites:
 
 1. Raw rows are parsed and tagged with their stage (row-local, no shuffle).
-2. One aggregation keyed on (file, site, day) computes per-stage counts and the first kept reading
-   of the day. Partial aggregation runs before the exchange, so a site or file holding a third of
+2. One aggregation keyed on (file, day) computes per-stage counts and the first kept reading of
+   the day; the site (stem of the file name) is derived afterwards, once per file-day. Partial aggregation runs before the exchange, so a site or file holding a third of
    all rows ships at most one row per day per task. Everything after this point works on at most
    one row per file-day.
 3. That small summary is materialised once in the shared checkpoint folder (lineage cut, survives
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hydrocal.operators.barometer import attach_baro, daily_barometer
-from hydrocal.operators.clean import site_from_file, stage_counts, stage_reason, tag_stages
+from hydrocal.functions.text import file_stem
+from hydrocal.operators.clean import stage_counts, stage_reason, tag_stages
 from hydrocal.operators.dedup import first_per_site_day
 from hydrocal.operators.depth import adjust_depth, convert_depth, flag_dry
 from hydrocal.operators.gaps import missing_site_placeholders, placeholders, replace_stale
@@ -69,7 +70,8 @@ class Validation:
 
 
 def file_day_summary(tagged: DataFrame) -> DataFrame:
-    """Step 2: per (file, site, day) stage counts and the first kept reading of the day."""
+    """Step 2: per (file, day) stage counts and the first kept reading of the day; the site is
+    the stem of the file name (S2)."""
     kept = F.col("stage") == STAGE_KEPT
     first = F.min(
         F.when(
@@ -82,12 +84,15 @@ def file_day_summary(tagged: DataFrame) -> DataFrame:
             ),
         )
     )
-    return tagged.groupBy("src_file", "site", F.to_date("ts").alias("day")).agg(
+    # The site depends only on the file, so it is derived after the aggregation: once per
+    # file-day instead of once per raw row.
+    summary = tagged.groupBy("src_file", F.to_date("ts").alias("day")).agg(
         F.max("stage").alias("max_stage"),
         *stage_counts(),
         F.count_if(F.col("malformed")).alias("n_malformed"),
         first.alias("first"),
     )
+    return summary.select("src_file", file_stem(F.col("src_file")).alias("site"), *summary.columns[1:])
 
 
 def file_outcomes(summary: DataFrame) -> DataFrame:
@@ -144,7 +149,7 @@ def validate(
     """
     text_cols = ("date_text", "time_text", "level_text", "baro_text", "src_file")
     require_types(raw, {c: T.StringType() for c in text_cols}, "validate")
-    tagged = tag_stages(site_from_file(raw))
+    tagged = tag_stages(raw)
     summary = file_day_summary(tagged)
     if materialize:
         summary = cut_lineage(summary, "file-day-summary")

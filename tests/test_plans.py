@@ -42,11 +42,11 @@ def test_no_python_udfs_anywhere(spark):
 
 
 def test_file_day_summary_aggregates_before_its_shuffle(spark):
-    from hydrocal.operators.clean import site_from_file, tag_stages
+    from hydrocal.operators.clean import tag_stages
     from hydrocal.plans.validate import file_day_summary
     from hydrocal.sources import standins as S
 
-    plan = file_day_summary(tag_stages(site_from_file(S.logger_raw(spark, SF))))._jdf.queryExecution()
+    plan = file_day_summary(tag_stages(S.logger_raw(spark, SF)))._jdf.queryExecution()
     text = plan.executedPlan().toString()
     partial = text.index("partial_max(stage")
     exchange = text.index("Exchange hashpartitioning(src_file")
