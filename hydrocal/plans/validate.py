@@ -4,9 +4,10 @@ Shape of the plan, designed for very large raw inputs with hot sites:
 
 1. Raw rows are parsed and tagged with their stage (row-local, no shuffle).
 2. One aggregation keyed on (file, day) computes per-stage counts and the first kept reading of
-   the day; the site (stem of the file name) is derived afterwards, once per file-day. Partial aggregation runs before the exchange, so a site or file holding a third of
-   all rows ships at most one row per day per task. Everything after this point works on at most
-   one row per file-day.
+   the day; the site (stem of the file name) is derived afterwards, once per file-day. Partial
+   aggregation runs before the exchange, so a site or file holding a third of all rows ships at
+   most one row per day per task. Everything after this point works on at most one row per
+   file-day.
 3. That small summary is materialised once in the shared checkpoint folder (lineage cut, survives
    executor loss). File outcomes (placeholder reasons), quality counts and the daily candidates
    all read it, so the raw input is scanned exactly once.
