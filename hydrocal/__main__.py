@@ -54,6 +54,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.getActiveSession() or local_session()
     run = dt.datetime.strptime(a.run_ts, "%Y-%m-%d %H:%M:%S")
     cfg = site_config(spark, _read_text(a.config)) if a.config else None
+    from hydrocal.sources.csv_folder import folder_exists
+
+    if not folder_exists(spark, a.input):
+        print(f"input folder not found: {a.input}; no output written", file=sys.stderr)
+        return 1
     if a.manifest:
         docs = spark.createDataFrame([(_read_text(a.manifest),)], "doc string")
         inp = read_pairs(spark, a.input, manifest_from_json(docs, "doc"))

@@ -57,6 +57,13 @@ def list_files(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:
     return out
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path) and fs.getFileStatus(path).isDirectory())
+
+
 def is_site_file(name: str) -> bool:
     """Name ends with ``.csv`` and does not start with ``baro`` (both case-insensitive)."""
     low = name.lower()
@@ -169,9 +176,12 @@ def read_site_folder(spark: SparkSession, folder: str, required: list[str] | Non
     """The validation input of a folder of merged site files.
 
     Files missing a required column are ``rejected`` (no placeholder, Q8); zero-byte and blank
-    files are ``zero_bytes`` (``Empty file`` placeholder); the others are ``ok``.
+    files are ``zero_bytes`` (``Empty file`` placeholder); the others are ``ok``. A folder that
+    does not exist raises ``FileNotFoundError`` (S11: the run stops without output).
     """
     required = required or [SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO]
+    if not folder_exists(spark, folder):
+        raise FileNotFoundError(f"input folder not found: {folder}")  # S11: no run, no output
     rows = [r for r in list_files(spark, folder) if is_site_file(r[1])]  # names and sizes only
     nonempty = [path for path, _, size in rows if size > 0]
     status: dict[str, str] = {path: "zero_bytes" for path, _, size in rows if size == 0}

@@ -55,3 +55,10 @@ def test_cli_validate_with_manifest(spark, tmp_path, capsys):
     assert summary == {"n_sites": 2, "n_data_sites": 1, "n_flagged_sites": 0, "n_failed_sites": 1}
     [main_csv] = glob.glob(f"{out}/validatedDepthData/*.csv")
     assert open(main_csv).read().splitlines()[1:] == ["S1,01/03/2026 12:00:00 AM,,1010.0,3.05,,"]
+
+
+def test_cli_missing_folder_writes_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rc = main(["validate", "--input", str(tmp_path / "absent"), "--out", out, "--run-ts", "2026-03-28 17:00:00"])
+    assert rc == 1
+    assert glob.glob(f"{out}*") == []
