@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     from hydrocal.operators.barometer import ampm_readings
-    from hydrocal.operators.quality import run_summary, site_status
+    from hydrocal.operators.quality import run_metrics, run_summary, site_status
     from hydrocal.plans.validate import validate
     from hydrocal.session import cut_lineage, local_session
     from hydrocal.sinks.reports import write_reports
@@ -82,7 +82,8 @@ def main(argv: list[str] | None = None) -> int:
     res.file_outcomes.write.mode("overwrite").parquet(f"{a.out}/file_outcomes.parquet")
     status = site_status(final, res.rejected_files)
     status.write.mode("overwrite").parquet(f"{a.out}/site_status.parquet")
-    print(json.dumps(run_summary(status).first().asDict()))
+    summary = {**run_summary(status).first().asDict(), **run_metrics(final).first().asDict()}
+    print(json.dumps(summary))
     return 0
 
 

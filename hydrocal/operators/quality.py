@@ -51,3 +51,16 @@ def run_summary(status: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "flagged").alias("n_flagged_sites"),
         F.count_if(F.col("status") == "failed").alias("n_failed_sites"),
     )
+
+
+def run_metrics(final: DataFrame) -> DataFrame:
+    """A3 / A6 run counters of the validated table, in one aggregation: rows, rows with an
+    external pressure (merged), rows flagged dry, rows with an adjusted depth (eligible), and
+    placeholder rows."""
+    return final.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("bom_hpa").isNotNull()).alias("n_with_bom"),
+        F.count_if(F.col("flag") == "dry").alias("n_dry"),
+        F.count_if(F.col("depth_adj_m").isNotNull()).alias("n_adjusted"),
+        F.count_if(F.col("flag") == "placeholder").alias("n_placeholders"),
+    )

@@ -17,7 +17,7 @@ from hydrocal.operators.dedup import first_per_site_day
 from hydrocal.operators.depth import adjust_depth, convert_depth, flag_dry
 from hydrocal.operators.gaps import latest_per_site, missing_site_placeholders, replace_stale
 from hydrocal.operators.merge import merge_level_baro, union_by_name
-from hydrocal.operators.quality import quality_counts, rows_per_site, run_summary, site_status
+from hydrocal.operators.quality import quality_counts, rows_per_site, run_metrics, run_summary, site_status
 from hydrocal.plans.validate import Validation, file_day_summary, file_outcomes, validate
 from hydrocal.session import table
 from hydrocal.sinks.reports import report_main, report_upload
@@ -291,6 +291,11 @@ def q_run_summary(spark, sf):
     return run_summary(q_site_status(spark, sf))
 
 
+def q_run_metrics(spark, sf):
+    """Run counters of the validated table (merged, dry, adjusted, placeholder rows)."""
+    return run_metrics(_validation(spark, sf).final)
+
+
 QUERIES = {
     "first_per_site_day": q_first_per_site_day,
     "first_per_day": q_first_per_day,
@@ -322,4 +327,5 @@ QUERIES = {
     "file_outcomes": q_file_outcomes,
     "site_status": q_site_status,
     "run_summary": q_run_summary,
+    "run_metrics": q_run_metrics,
 }

@@ -398,6 +398,11 @@ def _sql() -> dict[str, str]:
         "count(*) FILTER (WHERE status = 'flagged') AS n_flagged_sites, "
         "count(*) FILTER (WHERE status = 'failed') AS n_failed_sites FROM st"
     )
+    out["run_metrics"] = vctes + (
+        "SELECT count(*) AS n_rows, count(*) FILTER (WHERE bom_hpa IS NOT NULL) AS n_with_bom, "
+        "count(*) FILTER (WHERE flag = 'dry') AS n_dry, count(*) FILTER (WHERE depth_adj_m IS NOT NULL) AS n_adjusted, "
+        "count(*) FILTER (WHERE flag = 'placeholder') AS n_placeholders FROM final"
+    )
     return out
 
 

@@ -27,7 +27,8 @@ def test_cli_validate(spark, tmp_path, capsys):
                "--config", str(cfg), "--pages", pages, "--single-file"])
     assert rc == 0
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert summary == {"n_sites": 3, "n_data_sites": 1, "n_flagged_sites": 2, "n_failed_sites": 0}
+    assert summary == {"n_sites": 3, "n_data_sites": 1, "n_flagged_sites": 2, "n_failed_sites": 0,
+                       "n_rows": 4, "n_with_bom": 2, "n_dry": 0, "n_adjusted": 2, "n_placeholders": 2}
     [up] = glob.glob(f"{out}/SWLVLGenericTemplate_greaterPBOPools/*.csv")
     lines = open(up).read().splitlines()
     # 12 ft -> 3.66 m; PM value 1002 used for 2 March: 3.66 + 0.70307 * (8 * 0.0145038) = 3.7416
@@ -52,7 +53,8 @@ def test_cli_validate_with_manifest(spark, tmp_path, capsys):
                "--manifest", str(manifest), "--single-file"])
     assert rc == 0
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert summary == {"n_sites": 2, "n_data_sites": 1, "n_flagged_sites": 0, "n_failed_sites": 1}
+    assert summary == {"n_sites": 2, "n_data_sites": 1, "n_flagged_sites": 0, "n_failed_sites": 1,
+                       "n_rows": 1, "n_with_bom": 0, "n_dry": 0, "n_adjusted": 0, "n_placeholders": 0}
     [main_csv] = glob.glob(f"{out}/validatedDepthData/*.csv")
     assert open(main_csv).read().splitlines()[1:] == ["S1,01/03/2026 12:00:00 AM,,1010.0,3.05,,"]
 
