@@ -37,3 +37,20 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["site", "ts"]
     assert df.count() > 0
+
+
+def test_oracle_sql_uses_only_registered_views():
+    for name, sql in E.oracle_sql().items():
+        low = sql.lower()
+        assert "read_parquet" not in low and "/root/" not in low, name
+
+
+def test_result_columns_are_named(spark):
+    from hydrocal.schemas import MAIN_REPORT_COLUMNS, UPLOAD_REPORT_COLUMNS
+
+    allowed = set(MAIN_REPORT_COLUMNS) | set(UPLOAD_REPORT_COLUMNS)
+    for name, fn in E.queries().items():
+        if name == "stream_first_per_site_day":
+            continue  # runs a stream; its columns equal first_per_site_day's
+        for col in fn(spark, SF).columns:
+            assert col in allowed or col.replace("_", "").isalnum(), (name, col)
