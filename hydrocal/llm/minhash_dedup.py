@@ -84,8 +84,10 @@ def from_short(b: bytes) -> np.ndarray:
     return np.frombuffer(b, "<u4", n).astype(np.int64) | (np.frombuffer(b, np.uint8, n, 4 * n).astype(np.int64) << 32)
 
 
-def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    more = [F.col(c).alias(f"carry_{c}") for c in carry]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
+    schema = docs.sparkSession.createDataFrame([], SETS).select("*", *[F.lit(None).cast(docs.schema[c].dataType).alias(f"carry_{c}") for c in carry]).schema
 
     def sets(batches):
         n = TaskContext.get().partitionId() << 36
@@ -94,14 +96,17 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str) ->
             with np.errstate(over="ignore"):
                 a = [int(np.bitwise_xor.reduce(mix(s, s)).view(np.int64)) if len(s) else 0 for s in own]
                 c = [int(np.sum(mix(s, s ^ U64(0x5DEECE66D))).view(np.int64)) if len(s) else 0 for s in own]
-            yield pa.RecordBatch.from_arrays(
+            made = pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(n, n + len(own))), b.column("doc_id"), pa.array([len(s) for s in own], pa.int64()),
                  pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(list(band_keys(own)), pa.list_(pa.int64())), pa.array([short_hashes(s) for s in own], pa.binary())],
                 names=["row", "doc_id", "n_shingles", "a", "b", "bands", "shingles"],
             )
+            for c in carry:
+                made = made.append_column(f"carry_{c}", b.column(f"carry_{c}"))
+            yield made
             n += len(own)
 
-    return lazily_once(rows.mapInArrow(sets, SETS), "sets")
+    return lazily_once(rows.mapInArrow(sets, schema), "sets")
 
 
 def _similar(inter: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -169,9 +174,8 @@ def block_links(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable), kept, class_row (one per equal set)."""
-    sets = document_sets(docs, shingle, id_col, text_col)
+def grouped_classes(sets: DataFrame) -> DataFrame:
+    """a, b, n_shingles, row, least, root of every class of equal sets: its first row, smallest doc_id and component."""
     key = ["a", "b", "n_shingles"]
     classes = sets.where("n_shingles > 0").groupBy(*key).agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     classes = lazily_once(classes, "classes")
@@ -195,15 +199,33 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
 
     links = checked.where("linked").select(F.col("u").alias("a"), F.col("rep").alias("b")).unionByName(more)
     grouped = components(links)
-    of_class = classes.join(grouped, classes["row"] == grouped["node"], "left").select(*key, F.col("row").alias("class_row"), F.coalesce("root", "row").alias("root"), "least")
-    # The smallest doc_id of each component, pre-aggregated by class.
+    return classes.join(grouped, classes["row"] == grouped["node"], "left").select(*key, "row", "least", F.coalesce("root", "row").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
+    sets = document_sets(docs, shingle, id_col, text_col, [])
+    of_class = grouped_classes(sets).drop("row")
     least = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = of_class.drop("least").join(least, "root")
-    out = sets.select("doc_id", *key, "row").join(of_class, key, "left")
+    key = ["a", "b", "n_shingles"]
+    out = sets.select("doc_id", *key).join(of_class, key, "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), F.coalesce("class_row", "row").alias("class_row"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id (nulls last), then the first of
+    equal ones. Rows without words all stay."""
+    sets = document_sets(docs, shingle, id_col, text_col, docs.columns)
+    of_class, key = grouped_classes(sets), ["a", "b", "n_shingles"]
+    rows = sets.where("n_shingles > 0").select(*key, "row", "doc_id").join(of_class.select(*key, "root"), key)
+    stays = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")).select("row")
+    stays = stays.unionByName(sets.where("n_shingles = 0").select("row"))
+    out = sets.select("row", *[F.col(f"carry_{c}").alias(f"carry_{c}") for c in docs.columns]).join(stays, "row", "left_semi")
+    return out.select(*[F.col(f"carry_{c}").alias(c) for c in docs.columns])
 
 
 def op2_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, 4-word shingles: doc_id, n_shingles, component_id, kept."""
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).drop("class_row")
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)

@@ -11,10 +11,11 @@ weight ``w``; documents are taken by decreasing key while that brings the sum ne
 
 The sums run over ``BINS`` equal stretches of the key first: sizes are pre-aggregated by (source, bin),
 prefix-summed over at most ``BINS`` rows a source, and only the one bin in which a source's rest ends
-is sorted document by document. A source with a third of all documents is thus no hot group.
+is sorted document by document, which gives one last document per source; every row then decides for
+itself. A source with a third of all documents is thus no hot group.
 
 Null texts have size 0; documents of size 0 are returned with taken 0. Rows with equal ids draw equal
-keys and are ordered by size. Null ids draw by size alone. An empty table gives no rows.
+keys and are ordered by size. Null ids draw by their text. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -48,36 +49,44 @@ def mixture(
     docs: DataFrame, weight: Column | None = None, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     cycle: tuple[int, ...] = CYCLE, factor: float = FACTOR, most: int = MOST, carry: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, size, source, source_size, target, taken, copies, and the columns named in ``carry``."""
+    """doc_id, size, source, source_size, target, taken, copies, and ``carry``'s columns as carry_<name>."""
     size = n_words(F.col(text_col))
     if weight is None:  # a cheap quality weight: mean length of a word with its gap, against 6
         weight = F.when(size > 0, F.greatest(F.lit(0.25), F.least(F.lit(4.0), F.length(text_col) / (6.0 * size)))).otherwise(1.0)
-    x = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))), 1, 12), 16, 10).cast("double")
+    drawn = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null"), F.coalesce(F.col(text_col), F.lit(""))))
+    x = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), drawn)), 1, 12), 16, 10).cast("double")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size"),
-        (F.log((x + 0.5) / float(1 << 48)) / weight).alias("key"), *[F.col(c).alias(f"carry_{c}") for c in carry or []],
+        (F.log((x + 0.5) / float(1 << 48)) / weight).alias("key"), F.monotonically_increasing_id().alias("row"), *[F.col(c).alias(f"carry_{c}") for c in carry or []],
     )
-    rows = lazily_once(rows, "sized").withColumn("bin", F.floor(F.exp("key") * BINS).cast("int"))
-    plan = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, factor, most)
+    rows = lazily_once(rows, "sized")  # written once, so that row numbers stay
+    narrow = rows.select("source", "size", "key", "row", F.floor(F.exp("key") * BINS).cast("int").alias("bin"))
+    plan = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), cycle, factor, most)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     plan = plan.withColumn("epochs", epochs).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     plan = lazily_once(plan, "targets")
+
+    def with_plan(df: DataFrame, plan: DataFrame) -> DataFrame:
+        return df.join(plan.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
+
+    # The bin in which a source's rest ends, and in that bin alone the last document taken.
     down = W.partitionBy("source").orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, -1)
-    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("in_bin"))
-    bins = bins.withColumn("before", F.coalesce(F.sum("in_bin").over(down), F.lit(0)))
-    p, b = plan.alias("p"), bins.alias("b")
-    bins = b.join(p, F.col("b.source").eqNullSafe(F.col("p.source"))).select("b.source", "bin", "in_bin", "before", "source_size", "target", "epochs", "rest")
-    r, b = rows.alias("r"), bins.alias("b")
-    both = r.join(b, F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.bin") == F.col("b.bin")))
-    both = both.select("r.*", "in_bin", "before", "source_size", "target", "epochs", "rest")
-    inside = both.where("before + in_bin <= rest").withColumn("more", F.lit(1))
-    outside = both.where("before + in_bin > rest and before >= rest").withColumn("more", F.lit(0))
-    order = W.partitionBy("source").orderBy(F.desc("key"), "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    # Only the bin in which the rest ends: about one in BINS of a source's documents.
-    edge = both.where("before + in_bin > rest and before < rest").withColumn("ahead", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
-    edge = edge.withColumn("more", (F.col("ahead") + F.col("size") / 2.0 < F.col("rest")).cast("int")).drop("ahead")
-    out = inside.unionByName(outside).unionByName(edge).withColumn("copies", F.col("epochs") + F.col("more"))
-    return out.select("doc_id", "size", "source", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *[F.col(f"carry_{c}").alias(c) for c in carry or []])
+    bins = narrow.groupBy("source", "bin").agg(F.sum("size").alias("in_bin"))
+    bins = with_plan(bins.withColumn("before", F.coalesce(F.sum("in_bin").over(down), F.lit(0))), plan.select("source", "rest"))
+    ends = bins.where("before < rest and before + in_bin >= rest").select(F.col("source").alias("of"), F.col("bin").alias("end"), "before", "rest")
+    edge = narrow.join(ends, F.col("source").eqNullSafe(F.col("of")) & (F.col("bin") == F.col("end")))
+    order = W.partitionBy("source").orderBy(F.desc("key"), "size", "row").rowsBetween(W.unboundedPreceding, -1)
+    ahead = F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0))
+    edge = edge.withColumn("taken", ahead + F.col("size") / 2.0 < F.col("rest"))
+    last = F.max(F.when(F.col("taken"), F.struct(-F.col("key"), "size", "row")))
+    cut = edge.groupBy("source", "end").agg(last.alias("last")).select(F.col("source").alias("of"), "end", "last")
+    plan = plan.join(cut, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    both = with_plan(rows, lazily_once(plan, "cuts"))
+    above = F.floor(F.exp("key") * BINS) > F.col("end")
+    in_edge = F.coalesce((F.floor(F.exp("key") * BINS) == F.col("end")) & (F.struct(-F.col("key"), "size", "row") <= F.col("last")), F.lit(False))
+    more = F.when((F.col("rest") > 0) & (above | in_edge), 1).otherwise(0)
+    out = both.withColumn("copies", F.col("epochs") + more)
+    return out.select("doc_id", "size", "source", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", *[F.col(f"carry_{c}").alias(f"carry_{c}") for c in carry or []])
 
 
 def op4_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +96,9 @@ def op4_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = f"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(length(text), 0) AS chars, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(doc_id::VARCHAR, 'null' || coalesce(text, '')) AS drawn, coalesce(length(text), 0) AS chars, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
 ), k AS (
-  SELECT *, ln((('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT + 0.5::DOUBLE) / {1 << 48}::DOUBLE)
+  SELECT *, ln((('0x' || substr(md5('{SEED}:' || drawn), 1, 12))::BIGINT + 0.5::DOUBLE) / {1 << 48}::DOUBLE)
     / (CASE WHEN size > 0 THEN greatest(0.25::DOUBLE, least(4::DOUBLE, chars / (6::DOUBLE * size))) ELSE 1::DOUBLE END) AS key FROM d
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM d GROUP BY source

@@ -37,7 +37,7 @@ from hydrocal.llm.common import U64, hash_words, lazily_once, slices, spans, tab
 WINDOW = 35
 FIRST = 18
 RANGE_WORDS = 4_000_000  # words per hash range
-CHUNK = "chunk long, doc_ids array<long>, sizes array<int>, words binary"
+CHUNK = "chunk long, doc_ids array<long>, sizes array<int>, words binary, carry binary"
 
 
 def levels(window: int, first: int) -> list[int]:
@@ -47,22 +47,27 @@ def levels(window: int, first: int) -> list[int]:
     return out
 
 
-def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents packed into chunk rows: words joined by single spaces, zstd-compressed."""
+def chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Documents packed into chunk rows: words joined by single spaces, and the columns of ``carry``, zstd-compressed."""
 
     def cut(batches):
         n, zstd = TaskContext.get().partitionId() << 36, zstandard.ZstdCompressor(level=3)
         for b in slices(batches):
             words = [x.as_py().split() if x.is_valid else [] for x in b.column("text").cast(pa.binary())]
             body = zstd.compress(b" ".join(b" ".join(w) for w in words if w))
+            more = b.select([f"carry_{c}" for c in carry or []])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, more.schema) as stream:
+                stream.write_batch(more)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n], pa.int64()), pa.array([b.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                 pa.array([[len(w) for w in words]], pa.list_(pa.int32())), pa.array([body], pa.binary())],
-                names=["chunk", "doc_ids", "sizes", "words"],
+                 pa.array([[len(w) for w in words]], pa.list_(pa.int32())), pa.array([body], pa.binary()),
+                 pa.array([zstd.compress(sink.getvalue()) if carry else None], pa.binary())],
+                names=["chunk", "doc_ids", "sizes", "words", "carry"],
             )
             n += 1
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry or []])
     return lazily_once(rows.mapInArrow(cut, CHUNK), "chunks")
 
 
@@ -155,7 +160,7 @@ def repeated_windows(packed: DataFrame, window: int, first: int) -> DataFrame:
     ranges = max(1, -(-total // RANGE_WORDS))
     answers, done = None, []
     for length in levels(window, first):
-        with_answers = _attach(packed, answers)
+        with_answers = _attach(packed.drop("carry"), answers)
 
         def ask(batches, length=length, done=tuple(done)):
             for row in _rows(batches):
@@ -189,12 +194,13 @@ def _attach(packed: DataFrame, answers: DataFrame | None) -> DataFrame:
 
 def substring_dedup(
     docs: DataFrame, window: int = WINDOW, first: int = FIRST, id_col: str = "doc_id", text_col: str = "text",
-    digest: Callable[[bytes], object] | None = None, digest_type: str = "string",
+    digest: Callable[[bytes], object] | None = None, digest_type: str = "string", carry: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (the kept words joined by one space, or ``digest`` of their UTF-8)."""
+    """doc_id, n_words, n_removed, kept (the kept words joined by one space, or ``digest`` of their UTF-8),
+    and ``carry``'s columns as carry_<name>."""
     digest = digest or (lambda kept: kept.decode())
     lengths = levels(window, first)
-    answered = repeated_windows(chunks(docs, id_col, text_col), window, first)
+    answered = repeated_windows(chunks(docs, id_col, text_col, carry), window, first)
 
     def remove(batches):
         for row in _rows(batches):
@@ -213,11 +219,19 @@ def substring_dedup(
                 elif k:
                     text = b" ".join(w for w, g in zip(text.split(b" "), covered[end - n : end].tolist()) if not g)
                 kept.append(digest(text))
-            yield pa.RecordBatch.from_pandas(
+            made = pa.RecordBatch.from_pandas(
                 pd.DataFrame({"doc_id": pd.array(row["doc_ids"], dtype="Int64"), "n_words": c.sizes, "n_removed": gone, "kept": kept}), preserve_index=False
             )
-
-    return answered.mapInArrow(remove, f"doc_id long, n_words long, n_removed long, kept {digest_type}")
+            if carry:
+                body = zstandard.ZstdDecompressor().decompress(row["carry"], max_output_size=1 << 31)
+                more = pa.ipc.open_stream(body).read_all().combine_chunks().to_batches()[0]
+                for name in more.schema.names:
+                    made = made.append_column(name, more.column(name))
+            yield made
+
+    schema = docs.sparkSession.createDataFrame([], f"doc_id long, n_words long, n_removed long, kept {digest_type}")
+    schema = schema.select("*", *[F.lit(None).cast(docs.schema[c].dataType).alias(f"carry_{c}") for c in carry or []]).schema
+    return answered.mapInArrow(remove, schema)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
