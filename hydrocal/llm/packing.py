@@ -42,7 +42,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
 
     def cut(batches):
         enc, n = encoder(tokenizer), TaskContext.get().partitionId() << 36
-        for b in slices(batches):
+        for b in slices(batches, size=5_000_000):
             out = []
             for doc, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text"))):
                 ids = np.append(ids, end_id).astype("<u4")

@@ -48,6 +48,16 @@ BLOCK_SCHEMA = (
 )
 
 
+def _raw(ids: np.ndarray) -> bytes:
+    """A byte that gives the width, then the ids in two bytes each where they fit, else four."""
+    width = 2 if ids.max(initial=0) < 1 << 16 else 4
+    return bytes([width]) + ids.astype(f"<u{width}").tobytes()
+
+
+def _from_raw(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1)
+
+
 def scaled(counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray, int]:
     """tokens, frequencies that sum to 2**bits with each at least 1, bits."""
     tokens = np.array(sorted(counts), np.int64)
@@ -172,7 +182,7 @@ def write_ids(
     """Encode ``docs`` into the folder ``path`` (which must not exist)."""
     spark, tokenizer = docs.sparkSession, tokenizer or default_tokenizer_path()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(parts_for(rows, 16 << 20), "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.repartitionByRange(parts_for(rows, 6 << 20), "doc_id").sortWithinPartitions("doc_id", "text")
 
     def tokenise(batches):
         enc, part, block = encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -181,11 +191,11 @@ def write_ids(
         def row():
             return pa.RecordBatch.from_pylist(
                 [{"part": part, "block": block, "n_tokens": size, "doc_ids": doc_ids, "sizes": [len(x) for x in ids],
-                  "ids": np.concatenate(ids).astype("<u4").tobytes()}],
+                  "ids": _raw(np.concatenate(ids))}],
                 schema=pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_tokens", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("ids", pa.binary())]),
             )
 
-        for b in slices(batches):
+        for b in slices(batches, size=5_000_000):
             for doc, x in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text"))):
                 doc_ids.append(doc)
                 ids.append(np.append(x, np.int32(end_id)))
@@ -204,7 +214,7 @@ def write_ids(
         n = np.zeros(0, np.int64)
         for b in batches:
             for x in b.column("ids"):
-                c = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
+                c = np.bincount(_from_raw(x.as_py()))
                 n = np.pad(n, (0, max(0, len(c) - len(n))))
                 n[: len(c)] += c
         seen = np.flatnonzero(n)
@@ -218,7 +228,7 @@ def write_ids(
 
     def code(batches):
         for group in _groups(batches):
-            coded = encode_blocks([np.frombuffer(r.pop("ids"), "<u4").astype(np.int64) for r in group], tokens, freq, bits)
+            coded = encode_blocks([_from_raw(r.pop("ids")).astype(np.int64) for r in group], tokens, freq, bits)
             yield pa.RecordBatch.from_pylist([r | {"lanes": LANES} | c for r, c in zip(group, coded)], schema=BLOCK_ARROW)
 
     raw.mapInArrow(code, BLOCK_SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")

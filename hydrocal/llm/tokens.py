@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,9 @@ import pyarrow.compute as pc
 
 NEWLINE = "\n"
 STOPS = (".", ",")
+#: Byte-level BPE writes each byte as a printable character: itself, or the next one from U+0100 on.
+_SHOWN = {b for r in (range(33, 127), range(161, 173), range(174, 256)) for b in r}
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _RUN = re.compile(r"\s\s(?:\s|\Z)")
 
 
@@ -30,7 +34,7 @@ def default_tokenizer_path() -> str:
 class Encoder:
     """Encodes texts without special tokens; their strings in a text are ordinary text."""
 
-    LIMIT = 900_000  # remembered pieces; beyond, everything is forgotten
+    LIMIT = 400_000  # remembered pieces; beyond, the half used in the fewest slices is forgotten
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -39,6 +43,9 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.newline = self.whole(NEWLINE)
+        kind = type(self.tok.pre_tokenizer).__name__
+        self.by_model = kind == "ByteLevel" and self.tok.normalizer is None
+        self.by_model &= all([t.id for t in self.tok.model.tokenize(self._shown(w))] == self.whole(w).tolist() for w in (" the", "word", " \u00e9t\u00e9"))
         self.clear()
 
     def clear(self) -> None:
@@ -49,20 +56,44 @@ class Encoder:
         self.odd = np.zeros(1 << 18, bool)  # may be part of a longer run of white space
         self.stop = np.zeros(1 << 18, bool)  # begins with a full stop or comma
         self.word = np.zeros(1 << 18, bool)  # ends with a letter or digit
+        self.hits = np.zeros(1 << 18, np.int32)
         self.used = 0
 
+    def forget(self) -> None:
+        """Keep the pieces that were used most, half of ``LIMIT`` at most."""
+        names, n = list(self.no), len(self.no)
+        hits = self.hits[:n]
+        keep = np.flatnonzero(hits > max(1, np.partition(hits, n - self.LIMIT // 2)[n - self.LIMIT // 2])) if n > self.LIMIT // 2 else np.arange(n)
+        size = self.size[keep]
+        end = np.cumsum(size)
+        ids = self.ids[np.arange(end[-1] if len(end) else 0) + np.repeat(self.start[keep] - (end - size), size)]
+        for name in ("size", "odd", "stop", "word", "hits"):
+            old = getattr(self, name)
+            old[: len(keep)] = old[keep]
+        self.start[: len(keep)] = end - size
+        self.hits[: len(keep)] //= 2
+        self.ids[: len(ids)] = ids
+        self.used = len(ids)
+        self.no = {names[i]: k for k, i in enumerate(keep.tolist())}
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.int32)
 
+    @staticmethod
+    def _shown(piece: str) -> str:
+        """The piece in the characters that byte-level BPE works on."""
+        return piece.replace(" ", "\u0120") if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_CHARS)
+
     def _store(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray, odd: bool) -> None:
         n, k = len(self.no), len(pieces)
         while n + k > len(self.start):
-            for name in ("start", "size", "odd", "stop", "word"):
+            for name in ("start", "size", "odd", "stop", "word", "hits"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros(len(old), old.dtype)]))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.int32)])
         self.ids[self.used : self.used + len(ids)] = ids
+        self.hits[n : n + k] = 0
         self.start[n : n + k] = self.used + np.cumsum(sizes) - sizes
         self.size[n : n + k] = sizes
         self.odd[n : n + k] = odd
@@ -72,11 +103,20 @@ class Encoder:
         self.no.update(zip(pieces, range(n, n + k)))
 
     def learn(self, pieces: list[str]) -> None:
-        """Encode new pieces: in lines of one text where a newline is sure to separate them."""
-        plain, other = [], []
+        """Encode new pieces: those of letters alone, which are one pre-token, by the library's BPE
+        model itself; others in lines of one text, where a newline is sure to separate them."""
+        words, ids, sizes, plain, other = [], [], [], [], []
+        bpe = self.tok.model.tokenize
         for p in pieces:
             q = p[1:] if p[:1] == " " else p
-            (plain if q and not q[0].isspace() and not q[-1].isspace() else other).append(p)
+            if self.by_model and q.isalpha() and max(q) < "\u0500":
+                got = [t.id for t in bpe(self._shown(p))]
+                words.append(p)
+                ids += got
+                sizes.append(len(got))
+            else:
+                (plain if q and not q[0].isspace() and not q[-1].isspace() else other).append(p)
+        self._store(words, np.array(ids, np.int32), np.array(sizes, np.int64), False)
         for k in range(0, len(plain), 256):
             part = plain[k : k + 256]
             ids = np.array(self.tok.encode_batch_fast([NEWLINE.join(part)], add_special_tokens=False)[0].ids, np.int32)
@@ -104,13 +144,18 @@ class Encoder:
         cut = pc.split_pattern(cut, "\0")
         coded = cut.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        new = [p for p in distinct if p not in self.no]
-        if new:
+        k = np.fromiter(map(self.no.get, distinct, repeat(-1)), np.int64, len(distinct))
+        if len(new := np.flatnonzero(k < 0).tolist()):
+            pieces = [distinct[i] for i in new]
             if len(self.no) + len(new) > self.LIMIT:
-                self.clear()
-                new = distinct
-            self.learn(new)
-        k = np.fromiter(map(self.no.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+                self.forget()
+                k = np.fromiter(map(self.no.get, distinct, repeat(-1)), np.int64, len(distinct))
+                new = np.flatnonzero(k < 0).tolist()
+                pieces = [distinct[i] for i in new]
+            self.learn(pieces)
+            k[new] = [self.no[p] for p in pieces]
+        self.hits[k] += 1
+        k = k[coded.indices.to_numpy()]
         piece_at = cut.offsets.to_numpy().astype(np.int64)
         piece_at -= piece_at[0]
         size = self.size[k]
