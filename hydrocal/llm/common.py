@@ -6,7 +6,9 @@ is exactly ``bytes.split()``. Null texts have no words.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrocal.session import cut_lineage, table  # noqa: F401  (re-exported helpers)
+from hydrocal.session import ensure_checkpoint_dir, table  # noqa: F401  (re-exported)
 
 U64 = np.uint64
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -22,9 +24,27 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 SLICE_CHARS = 4_000_000
 
 
+_RECORDERS: list[list[str]] = []
+
+
 def lazily_once(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back (survives lost executors)."""
-    return cut_lineage(df, name)
+    """``df`` written once (Parquet, zstd) to the shared folder and read back: survives lost executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    for paths in _RECORDERS:
+        paths.append(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Collects the scratch folders that ``lazily_once`` writes inside the block, to drop them later."""
+    _RECORDERS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDERS.remove(paths)
 
 
 def n_words(text: Column) -> Column:

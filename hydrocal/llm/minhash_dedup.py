@@ -4,11 +4,12 @@ A document's set holds its distinct shingles of ``shingle`` words (A-Z lower-cas
 one shingle of the whole sequence; without words the set is empty and links with nothing. Documents
 with equal sets form one class, compared once. The steps:
 
-1. One pass over the texts writes each document's shingle hashes, set digest and band keys
+1. One pass over the texts writes each document's text, set digest and band keys
    (``BANDS`` bands of ``ROWS`` SuperMinHash values; a pair at similarity 0.8 shares no band once in
    20 million).
 2. A bucket (band key) links its members to its smallest one: candidates are stars, not pairs. Each
-   distinct candidate is verified on the full sets, in exact integer arithmetic.
+   distinct candidate is verified on the full sets, made again for the documents in a candidate only,
+   in exact integer arithmetic.
 3. In buckets where some members did not link to the smallest, those are compared with all other
    members too, inside a task, in blocks of at most ``BLOCK`` members; only a spanning forest of the
    links found is emitted. So no link between members of a bucket is lost, whatever its size, and no
@@ -38,7 +39,7 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 BLOCK = 512
 SIMILARITY = (80, 100)  # links have 100 * intersection >= 80 * union
-SETS = "row long, doc_id long, n_shingles long, a long, b long, bands array<long>, shingles binary"
+SETS = "row long, doc_id long, n_shingles long, a long, b long, bands array<long>, text string"
 
 
 def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
@@ -98,8 +99,8 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, car
                 c = [int(np.sum(mix(s, s ^ U64(0x5DEECE66D))).view(np.int64)) if len(s) else 0 for s in own]
             made = pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(n, n + len(own))), b.column("doc_id"), pa.array([len(s) for s in own], pa.int64()),
-                 pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(list(band_keys(own)), pa.list_(pa.int64())), pa.array([short_hashes(s) for s in own], pa.binary())],
-                names=["row", "doc_id", "n_shingles", "a", "b", "bands", "shingles"],
+                 pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(list(band_keys(own)), pa.list_(pa.int64())), b.column("text")],
+                names=["row", "doc_id", "n_shingles", "a", "b", "bands", "text"],
             )
             for c in carry:
                 made = made.append_column(f"carry_{c}", b.column(f"carry_{c}"))
@@ -109,6 +110,18 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, car
     return lazily_once(rows.mapInArrow(sets, schema), "sets")
 
 
+def shingles_of(sets: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """row, shingles (short hashes) of the documents in ``rows`` (a column row), from their texts."""
+
+    def again(batches):
+        for b in slices(batches, size=2_000_000):
+            own = shingle_sets([x.as_py() for x in b.column("text").cast(pa.binary())], size)
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([short_hashes(s) for s in own], pa.binary())], names=["row", "shingles"])
+
+    texts = sets.select("row", "text").join(rows.distinct(), "row")
+    return lazily_once(texts.mapInArrow(again, "row long, shingles binary"), "shingles")
+
+
 def _similar(inter: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return SIMILARITY[1] * inter >= SIMILARITY[0] * (a + b - inter)
 
@@ -174,7 +187,7 @@ def block_links(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def grouped_classes(sets: DataFrame) -> DataFrame:
+def grouped_classes(sets: DataFrame, shingle: int) -> DataFrame:
     """a, b, n_shingles, row, least, root of every class of equal sets: its first row, smallest doc_id and component."""
     key = ["a", "b", "n_shingles"]
     classes = sets.where("n_shingles > 0").groupBy(*key).agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
@@ -182,8 +195,9 @@ def grouped_classes(sets: DataFrame) -> DataFrame:
     members = sets.select("row", "bands").join(classes.select("row"), "row").select(F.col("row").alias("u"), F.explode("bands").alias("key"))
     stars = members.groupBy("key").agg(F.min("u").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
     in_bucket = lazily_once(members.join(stars, "key").select("key", "u", "rep", "n"), "buckets")
-    pairs = in_bucket.where("u != rep").select("u", "rep").distinct()
-    checked = lazily_once(verified(pairs, sets), "stars")
+    pairs = lazily_once(in_bucket.where("u != rep").select("u", "rep").distinct(), "pairs")
+    full = shingles_of(sets, pairs.select(F.explode(F.array("u", "rep")).alias("row")), shingle)
+    checked = lazily_once(verified(pairs, full), "stars")
 
     # Members not linked to their bucket's smallest: compared with all of the bucket but the smallest.
     rest = in_bucket.where("u != rep and n > 2").join(checked, ["u", "rep"])
@@ -194,7 +208,7 @@ def grouped_classes(sets: DataFrame) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rest = rest.select("key", "u", "loose", "block", other)
     rest = rest.select("key", "u", "loose", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rest = rest.join(sets.select(F.col("row").alias("u"), "shingles"), "u")
+    rest = rest.join(full.withColumnRenamed("row", "u"), "u")
     more = rest.groupBy("key", "i", "j").applyInPandas(block_links, "a long, b long")
 
     links = checked.where("linked").select(F.col("u").alias("a"), F.col("rep").alias("b")).unionByName(more)
@@ -205,7 +219,7 @@ def grouped_classes(sets: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     sets = document_sets(docs, shingle, id_col, text_col, [])
-    of_class = grouped_classes(sets).drop("row")
+    of_class = grouped_classes(sets, shingle).drop("row")
     least = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = of_class.drop("least").join(least, "root")
     key = ["a", "b", "n_shingles"]
@@ -217,13 +231,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
 def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (nulls last), then the first of
     equal ones. Rows without words all stay."""
-    sets = document_sets(docs, shingle, id_col, text_col, docs.columns)
-    of_class, key = grouped_classes(sets), ["a", "b", "n_shingles"]
+    others = [c for c in docs.columns if c != text_col]
+    sets = document_sets(docs, shingle, id_col, text_col, others)
+    of_class, key = grouped_classes(sets, shingle), ["a", "b", "n_shingles"]
     rows = sets.where("n_shingles > 0").select(*key, "row", "doc_id").join(of_class.select(*key, "root"), key)
     stays = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")).select("row")
     stays = stays.unionByName(sets.where("n_shingles = 0").select("row"))
-    out = sets.select("row", *[F.col(f"carry_{c}").alias(f"carry_{c}") for c in docs.columns]).join(stays, "row", "left_semi")
-    return out.select(*[F.col(f"carry_{c}").alias(c) for c in docs.columns])
+    out = sets.select("row", "text", *[f"carry_{c}" for c in others]).join(stays, "row", "left_semi")
+    return out.select(*[F.col("text" if c == text_col else f"carry_{c}").alias(c) for c in docs.columns])
 
 
 def op2_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
