@@ -3,20 +3,29 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result as Parquet
 to the shared folder and rereads it as the next stage's docs. All but the last return the columns of
 documents.
+
+A stage's result is lazy, so its scratch tables must outlive the call. As a stage's result is written
+before the next stage begins, each stage first drops the scratch of the stages before it, but for what
+its own ``docs`` read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrocal.llm.common import lazily_once, table
+from hydrocal.llm.common import drop_path, lazily_once, recorded, table
 from hydrocal.llm.minhash_dedup import without_near_duplicates
 from hydrocal.llm.mixing import mixture
 from hydrocal.llm.packing import packed
 from hydrocal.llm.pu_quality import scored
 from hydrocal.llm.substring_dedup import substring_dedup
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled classifier accepts."""
@@ -50,12 +59,30 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packed(docs)
 
 
+_SCRATCH: list[str] = []
+
+
+def _tidy(stage: Stage) -> Stage:
+    """The stage, which drops the scratch of earlier ones when it begins and records its own."""
+
+    @wraps(stage)
+    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = {f.rpartition("/")[0] for f in docs.inputFiles()}
+        for path in [p for p in _SCRATCH if not any(r.endswith(p.rpartition("/")[2]) for r in read)]:
+            drop_path(spark, path)
+            _SCRATCH.remove(path)
+        with recorded(_SCRATCH):
+            return stage(spark, docs, sf_dir)
+
+    return call
+
+
 STAGES = [
-    ("quality_classifier", quality_classifier),
-    ("near_dedup", near_dedup),
-    ("substring_dedup", repeated_passages),
-    ("source_mixing", source_mixing),
-    ("best_fit_packing", best_fit_packing),
+    ("quality_classifier", _tidy(quality_classifier)),
+    ("near_dedup", _tidy(near_dedup)),
+    ("substring_dedup", _tidy(repeated_passages)),
+    ("source_mixing", _tidy(source_mixing)),
+    ("best_fit_packing", _tidy(best_fit_packing)),
 ]
 
 #: The stages use a trained classifier, a tokenizer and sketches, which SQL can't express.
@@ -65,5 +92,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = lazily_once(stage(spark, docs, sf_dir), name)
+        result = stage(spark, docs, sf_dir)
+        with recorded(_SCRATCH if name != STAGES[-1][0] else []):
+            docs = lazily_once(result, name)
     return docs
