@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from hydrocal.llm.common import lazily_once, table
 from hydrocal.llm.components import components
 
-COSINE, MARGIN = 0.93, 0.25
+COSINE, MARGIN = 0.93, 0.05
 SAMPLE, MAX_LISTS, SPACES, CODEWORDS, ROUNDS = 20_000, 2048, 8, 256, 10
 BLOCK = 1024
 

@@ -186,10 +186,11 @@ def repeated_windows(packed: DataFrame, window: int, first: int) -> DataFrame:
 
 
 def _attach(packed: DataFrame, answers: DataFrame | None) -> DataFrame:
+    """The chunks with their answers; always a merge join, as the answers grow with the chunks."""
     if answers is None:
         return packed.withColumn("answers", F.lit(None).cast("array<struct<level:int,range:long,n:int,bits:binary>>"))
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("level", "range", "n", "bits")).alias("answers"))
-    return packed.join(by_chunk, "chunk", "left")
+    return packed.hint("shuffle_merge").join(by_chunk, "chunk", "left")
 
 
 def substring_dedup(
