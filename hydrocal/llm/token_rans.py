@@ -250,7 +250,7 @@ def read_ids(spark: SparkSession, path: str, digest: Callable[[np.ndarray], obje
     table_rows = spark.read.parquet(f"{path}/table").orderBy("token").collect()  # bounded by the vocabulary
     tokens, freq = (np.array([r[k] for r in table_rows], np.int64) for k in (0, 1))
     bits = table_rows[0].bits
-    digest = digest or (lambda ids: ids.astype(np.int32).tolist())
+    digest = digest or (lambda ids: ids.astype(np.int32))
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/blocks")
 
     def decode(batches):
