@@ -21,11 +21,9 @@ import sys
 from pyspark.sql import SparkSession
 
 
-def _read_text(path: str | None) -> str | None:
-    if not path:
-        return None
-    with open(path, encoding="utf-8") as fh:
-        return fh.read()
+def _read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, read by Spark, so that any path Spark knows will do."""
+    return spark.read.text(path, wholetext=True).first()[0]
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -44,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     from hydrocal.operators.barometer import ampm_readings
-    from hydrocal.operators.quality import run_metrics, run_summary, site_status
+    from hydrocal.operators.quality import rows_per_site, run_metrics, run_summary, site_status
     from hydrocal.plans.validate import validate
     from hydrocal.session import cut_lineage, local_session
     from hydrocal.sinks.reports import write_reports
@@ -53,14 +51,14 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.getActiveSession() or local_session()
     run = dt.datetime.strptime(a.run_ts, "%Y-%m-%d %H:%M:%S")
-    cfg = site_config(spark, _read_text(a.config)) if a.config else None
+    cfg = site_config(spark, _read_text(spark, a.config)) if a.config else None
     from hydrocal.sources.csv_folder import folder_exists
 
     if not folder_exists(spark, a.input):
         print(f"input folder not found: {a.input}; no output written", file=sys.stderr)
         return 1
     if a.manifest:
-        docs = spark.createDataFrame([(_read_text(a.manifest),)], "doc string")
+        docs = spark.createDataFrame([(_read_text(spark, a.manifest),)], "doc string")
         inp = read_pairs(spark, a.input, manifest_from_json(docs, "doc"))
     else:
         inp = read_site_folder(spark, a.input)
@@ -80,8 +78,10 @@ def main(argv: list[str] | None = None) -> int:
         return 1
     res.quality.write.mode("overwrite").parquet(f"{a.out}/quality.parquet")
     res.file_outcomes.write.mode("overwrite").parquet(f"{a.out}/file_outcomes.parquet")
-    status = site_status(final, res.rejected_files)
-    status.write.mode("overwrite").parquet(f"{a.out}/site_status.parquet")
+    rows_per_site(final).orderBy("site").write.mode("overwrite").parquet(f"{a.out}/rows_per_site.parquet")
+    res.rejected_files.write.mode("overwrite").parquet(f"{a.out}/rejected_files.parquet")
+    site_status(final, res.rejected_files).write.mode("overwrite").parquet(f"{a.out}/site_status.parquet")
+    status = spark.read.parquet(f"{a.out}/site_status.parquet")
     summary = {**run_summary(status).first().asDict(), **run_metrics(final).first().asDict()}
     print(json.dumps(summary))
     return 0

@@ -6,21 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-# Java-style float suffixes that ``CAST AS DOUBLE`` accepts but the export validator rejects.
-_FLOAT_SUFFIX = r"(?i)[0-9.][df]\s*$"
+# Java-style float suffixes and hexadecimal floats that ``CAST AS DOUBLE`` accepts but the export
+# validator rejects.
+_JAVA_FLOAT = r"(?i)[0-9.][df]\s*$|^[+-]?0x"
 
 
 def to_number(text: Column) -> Column:
-    """text -> DOUBLE, errors and NaN -> NULL, +-Infinity kept.
+    """text -> DOUBLE; errors, NaN and numbers too large for a double -> NULL, +-Infinity kept.
 
     Every missing-value token of the exports either fails the cast or reads as NaN, so both end as
     NULL. NaN is mapped to NULL straight away: Spark orders NaN above every number, so ``NaN >= 0``
-    would be true, while the validated semantics treat NaN as missing. The text is referenced
-    twice only, which keeps pushed-down filters small.
+    would be true, while the validated semantics treat NaN as missing.
     """
     trimmed = F.trim(text)
-    num = F.when(~trimmed.rlike(_FLOAT_SUFFIX), trimmed.try_cast("double"))
-    return F.nanvl(num, F.lit(None).cast("double"))
+    num = F.when(~trimmed.rlike(_JAVA_FLOAT), trimmed.try_cast("double"))
+    num = F.nanvl(num, F.lit(None).cast("double"))
+    return F.when((F.abs(num) < float("inf")) | ~trimmed.rlike("[0-9]"), num)
 
 
 def round2(x: Column) -> Column:

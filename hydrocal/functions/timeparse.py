@@ -69,9 +69,8 @@ def months_before(ts: Column, months: int) -> Column:
 
 
 def day_month_year_text(day_text: Column, month: int, year: int) -> Column:
-    """``dd/MM/yyyy`` from a day number text and a fixed report month; impossible days are
-    left for the strict parser to reject."""
-    return F.concat(
-        F.lpad(day_text.try_cast("int").cast("string"), 2, "0"),
-        F.lit(f"/{month:02d}/{year}"),
-    )
+    """``dd/MM/yyyy`` from a day number text and a fixed report month. Numbers outside 1 to 31 give
+    NULL; days that the month does not have are left for the strict parser to reject."""
+    day = day_text.try_cast("int")
+    padded = F.when(day.between(1, 31), F.lpad(day.cast("string"), 2, "0"))
+    return F.concat(padded, F.lit(f"/{month:02d}/{year}"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hydrocal.functions import file_stem, parse_date_time, to_number
+from hydrocal.functions import parse_date_time, to_number
 from hydrocal.schemas import require_types
 from hydrocal.schemas import (
     REASON_BAD_DATETIME,
@@ -24,11 +24,6 @@ from hydrocal.schemas import (
 )
 
 
-def site_from_file(df: DataFrame, path_col: str = "src_file") -> DataFrame:
-    """The site is the stem of the file name, replacing any incoming site column."""
-    return df.withColumn("site", file_stem(F.col(path_col)))
-
-
 def tag_stages(raw: DataFrame) -> DataFrame:
     """Parse a raw text reading and tag it with its stage.
 
@@ -61,11 +56,6 @@ def tag_stages(raw: DataFrame) -> DataFrame:
     return out.withColumn("stage", stage)
 
 
-def clean_readings(raw: DataFrame) -> DataFrame:
-    """P6 + P7: the rows that survive every check."""
-    return tag_stages(raw).where(F.col("stage") == STAGE_KEPT).drop("stage")
-
-
 def drop_invalid(tagged: DataFrame) -> DataFrame:
     """Drop rows with an invalid timestamp, level or pressure (negative levels are kept)."""
     return tagged.where(F.col("stage") > STAGE_BAD_NUMERIC)

@@ -16,7 +16,6 @@ from hydrocal.schemas import (
 )
 
 # Columns of a daily row (site-day table) before the barometer join.
-DAILY_COLUMNS = ["site", "ts", "level_ft", "baro_hpa", "comment", "src_file", "flag"]
 
 
 def ts_lit(value: str | _dt.datetime | Column) -> Column:

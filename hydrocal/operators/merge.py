@@ -13,19 +13,20 @@ from hydrocal.operators.dedup import first_by
 
 def unique_baro(baro: DataFrame) -> DataFrame:
     """One barometer row per (site, date_text, time_text): the lowest valid pressure first, then
-    the text. Duplicate keys therefore never multiply level rows."""
+    the text. After this optional step duplicate keys no longer multiply level rows."""
     order = [to_number(F.col("baro_text")).asc_nulls_last(), F.col("baro_text").asc_nulls_last()]
     return first_by(baro, ["site", "date_text", "time_text"], order)
 
 
 def merge_level_baro(level: DataFrame, baro: DataFrame) -> DataFrame:
-    """Every level row keeps its place and gets the logger pressure text of the same
-    site, date text and time text (NULL keys match NULL keys, like the export merge).
+    """Plain left join; every level row gets the logger pressure text of each barometer row of
+    the same site, date text and time text (NULL keys match NULL keys, like the export merge).
 
     A pressure column already on the level side (a file merged before) is replaced, never
-    suffixed. Keys are the raw strings: no parsing happens before the merge.
+    suffixed. Keys are the raw strings: no parsing happens before the merge. Barometer rows that
+    share a key multiply their level rows; ``unique_baro`` is the separate step that prevents it.
     """
-    right = unique_baro(baro.select("site", "date_text", "time_text", "baro_text")).select(
+    right = baro.select(
         F.col("site").alias("_b_site"),
         F.col("date_text").alias("_b_date"),
         F.col("time_text").alias("_b_time"),

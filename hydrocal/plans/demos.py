@@ -22,14 +22,13 @@ from hydrocal.plans.validate import Validation, file_day_summary, file_outcomes,
 from hydrocal.session import table
 from hydrocal.sinks.reports import report_main, report_upload
 from hydrocal.sources import standins as S
-from hydrocal.sources.html_tables import html_items
+from hydrocal.sources.html_tables import html_items, html_table_rows
 from hydrocal.sources.site_config import config_from_json
 
 # Run parameters of the demonstrations (the events cover January 2024, orders 1995-2001).
 EVENTS_RUN_TS = "2024-03-29 18:00:00"
 EVENTS_MONTH, EVENTS_YEAR = 1, 2024
 ORDERS_RUN_TS = "2001-08-01 00:00:00"
-ORDERS_SINCE = "2001-06-01 00:00:00"
 
 READING_COLS = ["site", "ts", "level_ft", "baro_hpa", "comment", "src_file"]
 
@@ -91,11 +90,11 @@ def _hourly_text(ev: DataFrame) -> DataFrame:
 
 
 def q_merge_level_baro(spark, sf):
-    """``view`` rows (level) left-joined with ``click`` rows (logger pressure) of the same site,
-    date text and hour text."""
+    """Events of even id (level) left-joined with those of odd id (logger pressure) of the same site,
+    date text and hour text; several pressures of one hour multiply the level row."""
     ev = table(spark, sf, "events")
-    level = _hourly_text(ev.where(F.col("event_type") == "view")).withColumnRenamed("value_text", "level_text")
-    baro = _hourly_text(ev.where(F.col("event_type") == "click")).withColumnRenamed("value_text", "baro_text")
+    level = _hourly_text(ev.where(F.col("event_id") % 2 == 0)).withColumnRenamed("value_text", "level_text")
+    baro = _hourly_text(ev.where(F.col("event_id") % 2 != 0)).withColumnRenamed("value_text", "baro_text")
     merged = merge_level_baro(level, baro)
     return merged.select(
         "event_id",
@@ -170,11 +169,9 @@ def q_nonneg_filter(spark, sf):
 
 
 def q_missing_sites(spark, sf):
-    """J4 + C5: customers without any order since the cut date get a ``Site CSV file not found``
-    placeholder."""
+    """J4 + C5: customers whose site has no logger event get a ``Site CSV file not found`` placeholder."""
     expected = table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("site"))
-    recent = S.order_readings(spark, sf).where(F.col("ts") >= F.lit(ORDERS_SINCE).cast("timestamp_ntz"))
-    out = missing_site_placeholders(expected, recent, ORDERS_RUN_TS)
+    out = missing_site_placeholders(expected, S.logger_readings(spark, sf), ORDERS_RUN_TS)
     return out.select("site", "ts", "comment", "flag")
 
 
@@ -218,8 +215,8 @@ def q_comment_split(spark, sf):
 
 
 def q_stream_first_per_site_day(spark, sf):
-    """§2.11: W2 as a Structured Streaming job (event-time day windows under a watermark, update
-    mode, foreachBatch to the shared checkpoint folder), settled into the batch answer."""
+    """§2.11: W2 as a Structured Streaming job (each micro-batch reduced to its first readings and
+    appended to the shared checkpoint folder), settled into the batch answer."""
     from hydrocal.streaming.daily import run_first_per_site_day
 
     return run_first_per_site_day(spark, S.logger_readings_stream(spark, sf)).select(*READING_COLS)
@@ -240,6 +237,19 @@ def q_unpivot_ampm(spark, sf):
     return out.select("event_id", "date_text", "time_text", to_number(F.col("hpa_text")).alias("hpa"))
 
 
+def q_weather_readings(spark, sf):
+    """S9 + C2 + F10: station pages -> table rows -> AM/PM readings with their parsed time."""
+    rows = html_table_rows(S.weather_pages(spark, sf), keys=["event_id"])
+    out = unpivot_ampm(rows, EVENTS_MONTH, EVENTS_YEAR, keys=["event_id"])
+    ts = parse_date_time(F.col("date_text"), F.col("time_text"))
+    return out.select("event_id", "date_text", "time_text", ts.alias("ts"), to_number(F.col("hpa_text")).alias("hpa"))
+
+
+def q_weather_daily(spark, sf):
+    """C2 + C3: station pages -> one pressure per day."""
+    return daily_barometer(ampm_readings(S.weather_pages(spark, sf), EVENTS_MONTH, EVENTS_YEAR))
+
+
 def q_html_items(spark, sf):
     """Text of every ``<li>`` element of every page."""
     return html_items(table(spark, sf, "pages"), "li", keys=["page_id"])
@@ -318,6 +328,8 @@ QUERIES = {
     "comment_split": q_comment_split,
     "union_by_name": q_union_by_name,
     "unpivot_ampm": q_unpivot_ampm,
+    "weather_readings": q_weather_readings,
+    "weather_daily": q_weather_daily,
     "html_items": q_html_items,
     "validate": q_validate,
     "report_main": q_report_main,

@@ -6,8 +6,7 @@ The SQL re-derives each answer from the base tables with DuckDB's own functions
 
 from __future__ import annotations
 
-from hydrocal.plans.demos import EVENTS_MONTH, EVENTS_RUN_TS, EVENTS_YEAR, ORDERS_RUN_TS, ORDERS_SINCE
-from hydrocal.functions.timeparse import DAY_FIRST
+from hydrocal.plans.demos import EVENTS_MONTH, EVENTS_RUN_TS, EVENTS_YEAR, ORDERS_RUN_TS
 from hydrocal.schemas import (
     DRY_COMMENT,
     FEET_TO_METRES,
@@ -21,8 +20,6 @@ from hydrocal.schemas import (
     SENSOR_FACTOR,
 )
 
-DAY_FIRST_RE = DAY_FIRST.replace("(?: (?=[1-9]/))?", "")  # RE2 has no look-ahead: spaced day below
-
 
 def q(s: str) -> str:
     """SQL string literal."""
@@ -30,15 +27,8 @@ def q(s: str) -> str:
 
 
 def parse_ts(expr: str) -> str:
-    """Strict day-first parse of a text expression -> TIMESTAMP or NULL."""
-    r = q(DAY_FIRST_RE)
-    t = f"regexp_replace({expr}, '^ ([1-9]/)', '\\1')"
-    part = lambda i: f"lpad(regexp_extract({t}, {r}, {i}), 2, '0')"
-    iso = (
-        f"regexp_extract({t}, {r}, 3) || '-' || {part(2)} || '-' || {part(1)} || ' ' || "
-        f"{part(4)} || ':' || {part(5)} || ':' || {part(6)}"
-    )
-    return f"(CASE WHEN regexp_full_match(coalesce({t}, ''), {r}) THEN TRY_CAST({iso} AS TIMESTAMP) END)"
+    """Day-first parse of a text expression with a four-digit year -> TIMESTAMP or NULL."""
+    return f"(CASE WHEN regexp_matches({expr}, '/[0-9]{{4}}\\s') THEN try_strptime({expr}, '%d/%m/%Y %H:%M:%S') END)"
 
 
 def parse_dt(date_expr: str, time_expr: str) -> str:
@@ -257,15 +247,13 @@ def _sql() -> dict[str, str]:
         "nfeed AS (SELECT count(*) FILTER (WHERE t <> '') AS n FROM tables) "
         "SELECT site, ts, level_ft, baro_hpa, CAST(NULL AS DOUBLE) AS bom_hpa FROM daily, nfeed WHERE nfeed.n = 0"
     )
-    hourly = lambda et, name: (
+    hourly = lambda odd, name: (
         f"SELECT event_id, CAST(user_id AS VARCHAR) AS site, strftime(ts, '%d/%m/%Y') AS date_text, "
         f"strftime(ts, '%H') || ':00:00' AS time_text, CAST(value AS VARCHAR) AS {name} "
-        f"FROM events WHERE event_type = '{et}'"
+        f"FROM events WHERE event_id % 2 = {odd}"
     )
     out["merge_level_baro"] = (
-        f"WITH lvl AS ({hourly('view', 'level_text')}), b0 AS ({hourly('click', 'baro_text')}), "
-        f"b AS (SELECT * FROM b0 QUALIFY row_number() OVER (PARTITION BY site, date_text, time_text "
-        f"ORDER BY {to_num('baro_text')} NULLS LAST, baro_text NULLS LAST) = 1) "
+        f"WITH lvl AS ({hourly('0', 'level_text')}), b AS ({hourly('1', 'baro_text')}) "
         f"SELECT lvl.event_id, lvl.site, lvl.date_text, lvl.time_text, {to_num('lvl.level_text')} AS level_ft, "
         f"{to_num('b.baro_text')} AS baro_hpa FROM lvl LEFT JOIN b ON lvl.site IS NOT DISTINCT FROM b.site "
         "AND lvl.date_text IS NOT DISTINCT FROM b.date_text AND lvl.time_text IS NOT DISTINCT FROM b.time_text"
@@ -305,7 +293,7 @@ def _sql() -> dict[str, str]:
         f"SELECT site, CAST(CAST({run_or} AS DATE) AS TIMESTAMP) AS ts, "
         f"{reason(q(REASON_MISSING_FILE), ORDERS_RUN_TS)} AS comment, 'placeholder' AS flag "
         "FROM (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS site FROM customer) e "
-        f"WHERE site NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_SINCE}')"
+        f"WHERE site NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type <> 'signup')"
     )
     out["latest_per_site"] = "SELECT CAST(o_custkey AS VARCHAR) AS site, max(o_orderdate) AS latest_ts FROM orders GROUP BY 1"
     stale_reason_or = reason(f"{q(REASON_STALE_PREFIX + ' ')} || strftime({run_or}, '%B %Y')", ORDERS_RUN_TS)
@@ -343,6 +331,27 @@ def _sql() -> dict[str, str]:
         f"UNION ALL SELECT site, CAST(CAST({run_ev} AS DATE) AS TIMESTAMP), NULL, {stale_reason_ev}, 'placeholder' FROM stale"
     )
     out["union_by_name"] = "SELECT * FROM supplier UNION ALL BY NAME SELECT * FROM customer"
+    report_day = lambda x: (
+        f"CASE WHEN TRY_CAST({x} AS INTEGER) IN (SELECT unnest(range(1, 32))) "
+        f"THEN printf('%02d/{EVENTS_MONTH:02d}/{EVENTS_YEAR}', TRY_CAST({x} AS INTEGER)) END"
+    )
+    pages = (
+        f"WITH ev AS (SELECT event_id, event_type, {K} AS k, ts, value FROM events), "
+        "r AS (SELECT event_id, CASE k WHEN 0 THEN '0' WHEN 1 THEN '123' WHEN 2 THEN '31' "
+        "ELSE CASE WHEN event_type = 'view' THEN 'Mean' ELSE CAST(day(ts) AS VARCHAR) END END AS day_text, "
+        "CASE WHEN event_type = 'click' THEN '0' ELSE CAST(value AS VARCHAR) END AS am, "
+        "CASE WHEN event_type = 'error' THEN NULL ELSE CAST(k AS VARCHAR) END AS pm FROM ev), "
+        "u AS (SELECT event_id, day_text, '12:00:00' AS time_text, am AS hpa_text FROM r "
+        "UNION ALL SELECT event_id, day_text, '18:00:00', pm FROM r), "
+        f"w AS (SELECT event_id, {report_day('day_text')} AS date_text, time_text, TRY_CAST(hpa_text AS DOUBLE) AS hpa FROM u "
+        "WHERE regexp_full_match(day_text, '[0-9]+') AND TRY_CAST(hpa_text AS DOUBLE) <> 0), "
+        "z AS (SELECT *, try_strptime(date_text || ' ' || time_text, '%d/%m/%Y %H:%M:%S') AS ts FROM w) "
+    )
+    out["weather_readings"] = pages + "SELECT event_id, date_text, time_text, ts, hpa FROM z"
+    out["weather_daily"] = pages + (
+        "SELECT day, hpa AS bom_hpa FROM (SELECT CAST(ts AS DATE) AS day, hpa, row_number() OVER "
+        "(PARTITION BY CAST(ts AS DATE) ORDER BY ts, hpa) AS n FROM z WHERE ts IS NOT NULL) WHERE n = 1"
+    )
     out["unpivot_ampm"] = (
         f"WITH ev AS (SELECT event_id, event_type, {K} AS k, ts, value FROM events), "
         "r AS (SELECT event_id, CASE WHEN event_type = 'view' THEN 'Mean' ELSE CAST(day(ts) AS VARCHAR) END AS day_text, "
@@ -350,7 +359,7 @@ def _sql() -> dict[str, str]:
         "CASE WHEN event_type = 'error' THEN NULL ELSE CAST(k AS VARCHAR) END AS pm FROM ev), "
         "u AS (SELECT event_id, day_text, '12:00:00' AS time_text, am AS hpa_text FROM r "
         "UNION ALL SELECT event_id, day_text, '18:00:00', pm FROM r) "
-        f"SELECT event_id, lpad(CAST(TRY_CAST(day_text AS INTEGER) AS VARCHAR), 2, '0') || '/{EVENTS_MONTH:02d}/{EVENTS_YEAR}' AS date_text, "
+        f"SELECT event_id, {report_day('day_text')} AS date_text, "
         f"time_text, {to_num('hpa_text')} AS hpa FROM u "
         f"WHERE regexp_full_match(day_text, '[0-9]+') AND {to_num('hpa_text')} IS NOT NULL AND {to_num('hpa_text')} <> 0"
     )

@@ -30,9 +30,7 @@ SRC_DATE = "Date"
 SRC_TIME = "Time"
 SRC_LEVEL = "Level(RAW)[Main Buffer] (ft)"
 SRC_BARO = "Barometric Pressure(RAW)[Main Buffer] (hPa)"
-SRC_HPA = "hPa"
 SRC_COMMENT = "OTHER - Comments - Text"
-SITE_FILE_COLUMNS = [SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO]
 
 # Report column names.
 R_SITE = "Sample Point"
@@ -75,48 +73,6 @@ STAGE_KEPT = 4
 # ---------------------------------------------------------------------------
 # Internal schemas.
 # ---------------------------------------------------------------------------
-RAW_READING = T.StructType(
-    [
-        T.StructField("site", T.StringType()),
-        T.StructField("date_text", T.StringType()),
-        T.StructField("time_text", T.StringType()),
-        T.StructField("level_text", T.StringType()),
-        T.StructField("baro_text", T.StringType()),
-        T.StructField("comment", T.StringType()),
-        T.StructField("src_file", T.StringType()),
-    ]
-)
-
-READING = T.StructType(
-    [
-        T.StructField("site", T.StringType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("level_ft", T.DoubleType()),
-        T.StructField("baro_hpa", T.DoubleType()),
-        T.StructField("comment", T.StringType()),
-        T.StructField("src_file", T.StringType()),
-    ]
-)
-
-WEATHER_READING = T.StructType(
-    [
-        T.StructField("date_text", T.StringType()),
-        T.StructField("time_text", T.StringType()),
-        T.StructField("hpa_text", T.StringType()),
-    ]
-)
-
-DAILY_BARO = T.StructType(
-    [T.StructField("day", T.DateType()), T.StructField("bom_hpa", T.DoubleType())]
-)
-
-SITE_CFG = T.StructType(
-    [
-        T.StructField("site", T.StringType()),
-        T.StructField("depth_conversion_type", T.StringType()),
-    ]
-)
-
 
 def require_types(df, expected: dict, where: str) -> None:
     """static type guard at an operator's entry (raises before any job runs)."""

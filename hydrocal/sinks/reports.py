@@ -20,6 +20,8 @@ from hydrocal.schemas import (
     R_UPLOAD_MAHD,
 )
 
+MAIN_NAME, UPLOAD_NAME = "main_report", "upload_report"
+
 
 def report_main(final: DataFrame) -> DataFrame:
     """K1: every row including placeholders, 7 report columns, timestamp as report text."""
@@ -53,7 +55,8 @@ def sorted_for_report(final: DataFrame) -> DataFrame:
 
 
 def write_csv(report: DataFrame, path: str, single_file: bool = False) -> None:
-    """K1/K2 CSV export: header, NULL and empty both written as nothing, overwrite.
+    """K1/K2 CSV export: header, NULL and empty both written as nothing, quotes doubled, blanks kept,
+    overwrite.
 
     An empty frame still writes a header-only file (K4: a stale upload file never survives).
     ``single_file`` funnels the export through one task; leave it off for large outputs.
@@ -64,12 +67,17 @@ def write_csv(report: DataFrame, path: str, single_file: bool = False) -> None:
         .option("header", True)
         .option("nullValue", "")
         .option("emptyValue", "")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 
 
-def write_reports(final: DataFrame, out_dir: str, single_file: bool = False) -> bool:
-    """K5: main and upload reports under ``out_dir`` (one folder each), plus the typed table as
+def write_reports(
+    final: DataFrame, out_dir: str, single_file: bool = False, main_name: str = MAIN_NAME, upload_name: str = UPLOAD_NAME
+) -> bool:
+    """K5: main and upload reports under ``out_dir`` (one folder each, names as given), plus the typed table as
     Parquet. ``final`` should be materialised first (see ``hydrocal.session.cut_lineage``).
 
     S11: when nothing at all was consolidated (not even a placeholder) no file is written and
@@ -80,6 +88,6 @@ def write_reports(final: DataFrame, out_dir: str, single_file: bool = False) ->
         return False
     ordered = sorted_for_report(final)
     final.write.mode("overwrite").parquet(f"{out_dir}/validated.parquet")
-    write_csv(report_main(ordered), f"{out_dir}/validatedDepthData", single_file)
-    write_csv(report_upload(ordered), f"{out_dir}/SWLVLGenericTemplate_greaterPBOPools", single_file)
+    write_csv(report_main(ordered), f"{out_dir}/{main_name}", single_file)
+    write_csv(report_upload(ordered), f"{out_dir}/{upload_name}", single_file)
     return True

@@ -26,10 +26,9 @@ from pyspark.sql import types as T
 
 from hydrocal.functions.text import file_stem
 from hydrocal.operators.joins import BROADCAST_MAX_ROWS
-from hydrocal.operators.merge import merge_level_baro
+from hydrocal.operators.merge import merge_level_baro, unique_baro
 from hydrocal.schemas import NA_TOKENS, SRC_BARO, SRC_COMMENT, SRC_DATE, SRC_LEVEL, SRC_TIME
 
-LISTING_SCHEMA = "src_file string, file_name string, size long"
 RAW_COLUMNS = ["site", "date_text", "time_text", "level_text", "baro_text", "comment", "src_file", "malformed"]
 _CORRUPT = "_corrupt_record"
 
@@ -70,11 +69,6 @@ def is_site_file(name: str) -> bool:
     return low.endswith(".csv") and not low.startswith("baro")
 
 
-def listing(spark: SparkSession, folder: str, select=is_site_file) -> DataFrame:
-    rows = [r for r in list_files(spark, folder) if select(r[1])]
-    return spark.createDataFrame(rows, LISTING_SCHEMA)
-
-
 def file_path() -> F.Column:
     """``_metadata.file_path`` in the listing's form. The metadata column is URI-encoded
     (``Site%201.csv``); percent sequences are decoded and a literal ``+`` is kept."""
@@ -82,13 +76,14 @@ def file_path() -> F.Column:
 
 
 def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(src_file, header): the first line of each file, in one distributed pass.
+    """(src_file, header, has_rows): the first line of each file that is not blank, and whether another
+    such line follows, in one distributed pass over the text. Files of blank lines only are absent.
 
-    Only lines of each file's first split are considered; within a split lines keep file order,
-    so the smallest row id among them is the first line.
+    Only lines of each file's first split count; within a split lines keep file order, so the
+    smallest row id among them is the first line.
     """
     if not paths:
-        return spark.createDataFrame([], "src_file string, header string")
+        return spark.createDataFrame([], "src_file string, header string, has_rows boolean")
     lines = spark.read.text(paths).select(
         file_path().alias("src_file"),
         F.col("value"),
@@ -96,9 +91,9 @@ def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("rid"),
     )
     return (
-        lines.where(F.col("block") == 0)
+        lines.where((F.col("block") == 0) & F.col("value").rlike(r"\S"))
         .groupBy("src_file")
-        .agg(F.min_by("value", "rid").alias("header"))
+        .agg(F.min_by("value", "rid").alias("header"), (F.count(F.lit(1)) > 1).alias("has_rows"))
     )
 
 
@@ -127,19 +122,27 @@ def _field_count(col) -> F.Column:
 
 def read_signature(spark: SparkSession, files: list[str], names: list[str]) -> DataFrame:
     """All files sharing one header: columns bound by position to that header's names, then
-    exposed by name. Adds ``src_file`` and ``malformed`` (more fields than the header)."""
+    exposed by name. Adds ``src_file`` and ``malformed``: more fields than the header, or a quoted
+    section that its line does not close (rows are lines here, so such a file is rejected whole).
+
+    Quotes inside quotes are doubled, as the exports write them. Column pruning is off: the parser
+    would otherwise not see surplus fields of rows whose extra columns nobody selects."""
     safe = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(s, T.StringType()) for s in safe] + [T.StructField(_CORRUPT, T.StringType())])
     df = (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("columnPruning", "false")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(files)
     )
     # NA tokens of the exports become NULL (S3); values keep their text otherwise.
     cols = [F.when(~F.col(s).isin(NA_TOKENS), F.col(s)).alias(n) for s, n in zip(safe, names)]
-    malformed = F.coalesce(_field_count(F.col(_CORRUPT)) > F.lit(len(names)), F.lit(False))
+    corrupt = F.col(_CORRUPT)
+    open_quote = F.pmod(F.regexp_count(corrupt, F.lit('"')), F.lit(2)) == 1
+    malformed = F.coalesce((_field_count(corrupt) > F.lit(len(names))) | open_quote, F.lit(False))
     return df.select(*cols, file_path().alias("src_file"), malformed.alias("malformed"))
 
 
@@ -159,17 +162,20 @@ def _to_raw(df: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-def signatures(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str]]]:
-    """Distinct header lines with their files.
+def signatures(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str], set[str]]]:
+    """Distinct header lines with their files, and those of them without a data line.
 
     One (path, header) pair per file reaches the driver, the same size as the listing the
     driver already holds (``spark.read.csv`` needs the paths there anyway); no task gathers a
     list of paths.
     """
-    groups: dict[str, list[str]] = {}
+    groups: dict[str, tuple[list[str], set[str]]] = {}
     for r in file_headers(spark, paths).collect():
-        groups.setdefault(r["header"], []).append(r["src_file"])
-    return sorted(groups.items(), key=lambda kv: (kv[0] is None, kv[0] or ""))
+        files, bare = groups.setdefault(r["header"], ([], set()))
+        files.append(r["src_file"])
+        if not r["has_rows"]:
+            bare.add(r["src_file"])
+    return [(h, *groups[h]) for h in sorted(groups)]
 
 
 def read_site_folder(spark: SparkSession, folder: str, required: list[str] | None = None) -> FolderInput:
@@ -188,14 +194,15 @@ def read_site_folder(spark: SparkSession, folder: str, required: list[str] | Non
     frames = []
     sigs = signatures(spark, nonempty)
     seen = set()
-    for header, files in sigs:
+    for header, files, bare in sigs:
         seen.update(files)
         names = parse_header(header)
         if not names:
             status.update({f: "zero_bytes" for f in files})
             continue
         if any(c not in names for c in required):
-            status.update({f: "rejected" for f in files})
+            # A file without rows is empty before its columns matter.
+            status.update({f: "ok" if f in bare else "rejected" for f in files})
             continue
         status.update({f: "ok" for f in files})
         frames.append(_to_raw(read_signature(spark, files, names), names))
@@ -229,7 +236,7 @@ def read_pairs(spark: SparkSession, folder: str, manifest: DataFrame) -> FolderI
     baro_paths = sorted({by_name[b][0] for _, b in pairs if b in by_name and by_name[b][1] > 0})
     need_baro = (SRC_DATE, SRC_TIME, SRC_BARO)
     baro_frames, good_baro = [], set()
-    for header, files in signatures(spark, baro_paths):
+    for header, files, _ in signatures(spark, baro_paths):
         names = parse_header(header)
         if all(c in names for c in need_baro):
             good_baro.update(files)
@@ -248,8 +255,8 @@ def read_pairs(spark: SparkSession, folder: str, manifest: DataFrame) -> FolderI
     level_paths = sorted({by_name[m][0] for m, _ in pairs})
     status = {p: "zero_bytes" for p in level_paths if by_name[p.rsplit("/", 1)[-1]][1] == 0}
     nonempty = [p for p in level_paths if p not in status]
-    frames = []
-    for header, files in signatures(spark, nonempty):
+    frames, merged_frames = [], []
+    for header, files, bare in signatures(spark, nonempty):
         names = parse_header(header)
         if not names:
             status.update({f: "zero_bytes" for f in files})
@@ -258,25 +265,27 @@ def read_pairs(spark: SparkSession, folder: str, manifest: DataFrame) -> FolderI
         has_all = all(c in names for c in (SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO))
         for f in files:
             ok = SRC_LEVEL in names and SRC_DATE in names and SRC_TIME in names and (f in merged_files or has_all)
-            status[f] = "ok" if ok else "rejected"
-        kept = [f for f in files if status[f] == "ok"]
-        if not kept:
-            continue
-        lv = _to_raw(read_signature(spark, files, names), names).where(F.col("src_file").isin(kept))
+            status[f] = "ok" if ok or f in bare else "rejected"
+        kept = [f for f in files if status[f] == "ok" and f not in bare]
+        merged_files = [f for f in merged_files if f in set(kept)]
+        unmerged = sorted(set(kept) - set(merged_files))
+        if unmerged:
+            frames.append(_to_raw(read_signature(spark, unmerged, names), names).select(*RAW_COLUMNS))
         if merged_files:
+            lv = _to_raw(read_signature(spark, merged_files, names), names)
             pair_df = spark.createDataFrame(
                 [(f, pair_of[f]) for f in merged_files], "src_file string, _pair string"
             )
             # the pair table's row count is known here; broadcast it only under the common limit
             small = len(merged_files) <= BROADCAST_MAX_ROWS
             left = lv.join(F.broadcast(pair_df) if small else pair_df, "src_file", "inner")
-            left = left.withColumn("site", F.col("_pair"))
-            right = reduce(DataFrame.unionByName, baro_frames).withColumnRenamed("_pair", "site")
-            merged = merge_level_baro(left.drop("_pair"), right).withColumn("site", F.lit(None).cast("string"))
-            frames.append(merged.select(*RAW_COLUMNS))
-        unmerged = [f for f in kept if f not in merged_files]
-        if unmerged:
-            frames.append(lv.where(F.col("src_file").isin(unmerged)).select(*RAW_COLUMNS))
+            merged_frames.append(left.withColumn("site", F.col("_pair")).drop("_pair"))
+    if merged_frames:
+        # One merge for all header groups. Of several barometer rows with one key, the later
+        # keep-first would choose the lowest valid pressure, so only that one is merged.
+        right = unique_baro(reduce(DataFrame.unionByName, baro_frames).withColumnRenamed("_pair", "site"))
+        merged = merge_level_baro(reduce(DataFrame.unionByName, merged_frames), right)
+        frames.append(merged.withColumn("site", F.lit(None).cast("string")).select(*RAW_COLUMNS))
     files_df = spark.createDataFrame(list(status.items()), "src_file string, status string").withColumn(
         "site", file_stem(F.col("src_file"))
     )

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrocal.session import table
+from hydrocal.sources.csv_folder import folder_exists
 
 def K():
     """The integer ``k`` of an event's flat ``props`` object ``{"k": <int>}`` (a regex read: the
@@ -53,8 +54,10 @@ def logger_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logger_readings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``logger_readings`` as a file stream over the events table."""
     schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    ev = stream.parquet(sf_dir.rstrip("/")).where(F.col("event_type") != "signup")
+    stream, path = spark.readStream.schema(schema), f"{sf_dir.rstrip('/')}/events.parquet"
+    if not folder_exists(spark, path):  # one file: a stream reads folders, so its name is picked
+        stream, path = stream.option("pathGlobFilter", "events.parquet"), sf_dir.rstrip("/")
+    ev = stream.parquet(path).where(F.col("event_type") != "signup")
     return ev.select(
         F.col("user_id").cast("string").alias("site"),
         F.col("ts"),
@@ -157,3 +160,14 @@ def weather_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = F.array(day, *filler, am, *[F.lit("") for _ in range(5)], pm)
     cells = F.when(et == "error", F.slice(cells, 1, 16)).otherwise(cells)
     return ev.select("event_id", cells.alias("cells"))
+
+
+def weather_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station pages (event_id, html), one per event, each with one row of a weather table. Day cells
+    are those of ``weather_table_rows`` but for ``k`` of 0, 1 and 2: ``0``, ``123`` and ``31``."""
+    rows = weather_table_rows(spark, sf_dir).join(_events(spark, sf_dir).select("event_id", K().alias("k")), "event_id")
+    odd = F.when(F.col("k") == 0, "0").when(F.col("k") == 1, "123").when(F.col("k") == 2, "31").otherwise(F.col("cells")[0])
+    others = F.slice("cells", F.lit(2), F.size("cells") - 1)
+    cells = F.concat(F.lit("<th> "), odd, F.lit("</th><td>"), F.array_join(others, "</td><td>"), F.lit("</td>"))
+    head = "<html><body><table class='menu'><tr><td>1</td></tr></table><table class=\"wide data\"><thead><tr><th>Day</th></tr></thead><tbody><tr>"
+    return rows.select("event_id", F.concat(F.lit(head), cells, F.lit("</tr></tbody></table></body></html>")).alias("html"))

@@ -1,18 +1,15 @@
 """Structured Streaming form of the daily keep-first (C6/W2) and barometer join.
 
-The reference is a monthly batch; this is the optional incremental re-aim of SURVEY §2.11:
-
-* readings arrive as files (``readStream``); the watermark bounds state, so a site-day group is
-  dropped from state once the event time has moved past its day plus the allowed lateness;
-* keep-first is an event-time tumbling ``window(ts, '1 day')`` grouped with ``site`` and a
-  ``min`` over the ordering struct (row-number windows are not allowed on streams);
-* each micro-batch's updated groups are appended to files; the settled (site, day) rows are
-  read back in batch and, when a daily barometer is given, joined to it there (C7, checked
-  broadcast), since a day's first reading is only final once its window has closed.
-
-``withWatermark`` needs TIMESTAMP (not TIMESTAMP_NTZ). The event-time column is the reading's wall
-clock taken as a UTC instant (``make_timestamp(..., 'UTC')``), so the UTC-aligned day windows are
-calendar days in any session time zone; the ordering struct keeps the original TIMESTAMP_NTZ.
+The reference is a monthly batch whose exports overlap, so readings of old days arrive late as a
+matter of course. This incremental re-aim of SURVEY §2.11 therefore keeps no event-time state and no
+watermark: nothing is ever too late.
+
+* Readings arrive as files (``readStream``); each micro-batch is reduced to the first reading per
+  (site, day), a partial aggregate that is appended to files by the executors;
+* the settle step takes the minimum per (site, day) over the appended rows. A minimum does not depend
+  on order or repeats, so the result equals the batch answer for any arrival order, and a batch
+  replayed after a failure changes nothing;
+* when a daily barometer is given, the settled rows are joined to it (C7, checked broadcast).
 """
 
 from __future__ import annotations
@@ -26,30 +23,21 @@ from hydrocal.operators.barometer import attach_baro
 from hydrocal.session import ensure_checkpoint_dir
 
 ORDER_FIELDS = ["ts", "src_file", "level_ft", "baro_hpa", "comment"]
+FIRSTS_SCHEMA = (
+    "site string, day date, first struct<ts: timestamp_ntz, src_file: string, level_ft: double, "
+    "baro_hpa: double, comment: string>"
+)
 
 
-def _order_struct() -> F.Column:
-    # Struct order equals the batch tie-break: time, file, values (NULL values are never kept rows).
-    return F.struct(*[F.col(c) for c in ORDER_FIELDS])
-
-
-def first_per_site_day_stream(readings: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Streaming W2: ``readings`` (site, ts, level_ft, baro_hpa, comment, src_file) -> first reading
-    per (site, day), as update-mode rows (site, day, first)."""
-    ts = F.col("ts")
-    evt = F.make_timestamp(
-        F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
-        F.date_part(F.lit("SECOND"), ts), F.lit("UTC"),
-    )
-    ev = readings.withColumn("_evt", evt).withWatermark("_evt", lateness)
-    return ev.groupBy(F.col("site"), F.window("_evt", "1 day").alias("w")).agg(
-        F.min(_order_struct()).alias("first")
-    ).select("site", F.to_date(F.col("first.ts")).alias("day"), "first")
+def firsts_of(readings: DataFrame) -> DataFrame:
+    """(site, day, first) of a set of readings; struct order equals the batch tie-break: time, file,
+    values (NULL values are never kept rows)."""
+    first = F.min(F.struct(*[F.col(c) for c in ORDER_FIELDS])).alias("first")
+    return readings.groupBy("site", F.to_date("ts").alias("day")).agg(first)
 
 
 def flatten_firsts(firsts: DataFrame) -> DataFrame:
-    """Final (site, day) rows from the appended update log: ``min`` is monotone, so the smallest
-    struct per key is the settled first reading."""
+    """Final (site, day) rows from the appended log: the smallest struct per key."""
     best = firsts.groupBy("site", "day").agg(F.min("first").alias("first"))
     return best.select("site", *[F.col(f"first.{c}").alias(c) for c in ORDER_FIELDS])
 
@@ -57,7 +45,6 @@ def flatten_firsts(firsts: DataFrame) -> DataFrame:
 def run_first_per_site_day(
     spark: SparkSession,
     source: DataFrame,
-    lateness: str = "1 day",
     work_dir: str | None = None,
     daily_baro: DataFrame | None = None,
 ) -> DataFrame:
@@ -65,38 +52,25 @@ def run_first_per_site_day(
     available input is processed, and return the settled batch result (with ``bom_hpa`` when
     ``daily_baro`` is given).
 
-    Each micro-batch's updated groups are appended as Parquet by the executors (``foreachBatch``)
-    under ``work_dir`` (default: a fresh folder inside the shared checkpoint folder); nothing is
-    gathered on the driver. The stream's own checkpoint lives next to it, so a restarted job
-    resumes from its last committed batch. A batch replayed after a failure may append its rows a
-    second time; the settle step keeps the smallest struct per (site, day), so duplicates cannot
-    change the result.
+    The log lies under ``work_dir`` (default: a fresh folder inside the shared checkpoint folder)
+    with the stream's own checkpoint next to it, so a restarted job resumes from its last committed
+    batch. Nothing is gathered on the driver.
     """
     base = work_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     out_path, ckpt = f"{base}/firsts", f"{base}/_checkpoint"
+    spark.createDataFrame([], FIRSTS_SCHEMA).write.mode("append").parquet(out_path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_path)
+        firsts_of(batch).write.mode("append").parquet(out_path)
 
     q = (
-        first_per_site_day_stream(source, lateness)
-        .writeStream.outputMode("update")
-        .foreachBatch(write_batch)
+        source.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(out_path)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        out_path = None  # no micro-batch produced rows
-    schema = (
-        "site string, day date, first struct<ts: timestamp_ntz, src_file: string, level_ft: double, "
-        "baro_hpa: double, comment: string>, batch_id long"
-    )
-    firsts = spark.read.schema(schema).parquet(out_path) if out_path else spark.createDataFrame([], schema)
-    settled = flatten_firsts(firsts)
+    settled = flatten_firsts(spark.read.schema(FIRSTS_SCHEMA).parquet(out_path))
     if daily_baro is not None:
         settled = attach_baro(settled, daily_baro)
     return settled

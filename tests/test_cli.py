@@ -29,7 +29,7 @@ def test_cli_validate(spark, tmp_path, capsys):
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert summary == {"n_sites": 3, "n_data_sites": 1, "n_flagged_sites": 2, "n_failed_sites": 0,
                        "n_rows": 4, "n_with_bom": 2, "n_dry": 0, "n_adjusted": 2, "n_placeholders": 2}
-    [up] = glob.glob(f"{out}/SWLVLGenericTemplate_greaterPBOPools/*.csv")
+    [up] = glob.glob(f"{out}/upload_report/*.csv")
     lines = open(up).read().splitlines()
     # 12 ft -> 3.66 m; PM value 1002 used for 2 March: 3.66 + 0.70307 * (8 * 0.0145038) = 3.7416
     assert lines[1:] == ["A,01/03/2026 12:10:00 AM,3.15,,", "A,02/03/2026 12:10:00 AM,3.74,,"]
@@ -55,7 +55,7 @@ def test_cli_validate_with_manifest(spark, tmp_path, capsys):
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert summary == {"n_sites": 2, "n_data_sites": 1, "n_flagged_sites": 0, "n_failed_sites": 1,
                        "n_rows": 1, "n_with_bom": 0, "n_dry": 0, "n_adjusted": 0, "n_placeholders": 0}
-    [main_csv] = glob.glob(f"{out}/validatedDepthData/*.csv")
+    [main_csv] = glob.glob(f"{out}/main_report/*.csv")
     assert open(main_csv).read().splitlines()[1:] == ["S1,01/03/2026 12:00:00 AM,,1010.0,3.05,,"]
 
 

@@ -130,7 +130,7 @@ def test_reports(spark, result, tmp_path):
     ]
     out = str(tmp_path / "out")
     write_reports(v.final, out, single_file=True)
-    [main_csv] = glob.glob(f"{out}/validatedDepthData/*.csv")
+    [main_csv] = glob.glob(f"{out}/main_report/*.csv")
     with open(main_csv) as fh:
         lines = list(csv.reader(fh))
     assert lines[0] == MAIN_REPORT_COLUMNS
@@ -146,7 +146,7 @@ def test_upload_written_even_when_empty(spark, tmp_path):
     v = validate(raw, RUN, expected_sites=spark.createDataFrame([("K",)], "site string"))
     out = str(tmp_path / "o")
     write_reports(v.final, out, single_file=True)
-    [up] = glob.glob(f"{out}/SWLVLGenericTemplate_greaterPBOPools/*.csv")
+    [up] = glob.glob(f"{out}/upload_report/*.csv")
     assert open(up).read().splitlines() == [",".join(UPLOAD_REPORT_COLUMNS)]
 
 
@@ -208,3 +208,49 @@ def test_file_names_with_special_characters(spark, tmp_path):
     assert {r.site: r.status for r in inp.files.collect()} == {"Site 1": "ok", "B#%+": "ok", "E mpty": "zero_bytes"}
     v = validate(inp.raw, RUN, files=inp.files)
     assert sorted(r.site for r in v.final.collect()) == ["B#%+", "E mpty", "Site 1"]
+
+
+def test_folder_reader_on_odd_files(spark, tmp_path):
+    """Blank first lines, doubled quotes, a header-only file that lacks a column, surplus fields next to
+    an unused column, and a quoted section that a line does not close."""
+    from hydrocal.schemas import SRC_BARO, SRC_COMMENT, SRC_DATE, SRC_LEVEL, SRC_TIME
+
+    head = [SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO, SRC_COMMENT]
+    line = ",".join(f'"{h}"' for h in head)
+    row = '01/02/2026,10:00:00,1.5,1000,'
+    files = {
+        "blank.csv": f"\n\n{line}\n{row}ok\n",
+        "quotes.csv": f'{line}\n{row}"say ""hi"", there"\n',
+        "back.csv": f'{line}\n{row}"a\\b"\n',
+        "bare.csv": f"{SRC_DATE},{SRC_TIME}\n",
+        "lacks.csv": f"{SRC_DATE},{SRC_TIME}\n01/02/2026,10:00:00\n",
+        "surplus.csv": f"{line},Temp\n{row}x,9\n{row}x,9,9\n",
+        "open.csv": f'{line}\n{row}"two\nlines"\n',
+        "only_blank.csv": "\n\n",
+    }
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    inp = read_site_folder(spark, str(tmp_path))
+    status = {r.site: r.status for r in inp.files.collect()}
+    assert status == {"blank": "ok", "quotes": "ok", "back": "ok", "bare": "ok", "lacks": "rejected", "surplus": "ok", "open": "ok", "only_blank": "zero_bytes"}
+    raw = {}
+    for r in inp.raw.collect():
+        raw.setdefault(r.src_file.rsplit("/", 1)[-1], []).append((r.comment, r.malformed))
+    assert raw["blank.csv"] == [("ok", False)]
+    assert raw["quotes.csv"] == [('say "hi", there', False)]
+    assert raw["back.csv"] == [("a\\b", False)]
+    assert any(m for _, m in raw["surplus.csv"]) and any(m for _, m in raw["open.csv"])
+
+
+def test_report_files_read_back(spark, tmp_path):
+    import csv
+    import glob
+
+    from hydrocal.sinks.reports import write_csv
+
+    values = ['say "hi", there', " lead ", "a\\b", "", "x"]
+    write_csv(spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string"), f"{tmp_path}/r", single_file=True)
+    [path] = glob.glob(f"{tmp_path}/r/*.csv")
+    with open(path, newline="") as fh:
+        got = list(csv.reader(fh))
+    assert got[0] == ["i", "v"] and [v for _, v in got[1:]] == values

@@ -7,7 +7,7 @@ from hydrocal.operators.barometer import attach_baro, daily_barometer, unpivot_a
 from hydrocal.operators.dedup import first_per_site_day
 from hydrocal.operators.depth import adjust_depth, convert_depth, flag_dry
 from hydrocal.operators.gaps import missing_site_placeholders, replace_stale
-from hydrocal.operators.merge import merge_level_baro, union_by_name
+from hydrocal.operators.merge import merge_level_baro, union_by_name, unique_baro
 from hydrocal.schemas import DRY_COMMENT
 from hydrocal.sources.site_config import manifest_from_json, site_config
 
@@ -155,8 +155,9 @@ def test_merge_level_baro_cases(spark):
         [("S", "01/02/2026", "00:00:00", "1010.5"), ("S", "01/02/2026", "00:00:00", "1009.0"), ("S", None, None, "1000.0")],
         "site string, date_text string, time_text string, baro_text string",
     )
-    out = merge_level_baro(level, baro)
-    assert out.count() == 3  # duplicate barometer keys never multiply level rows
+    out = merge_level_baro(level, baro)  # duplicate barometer keys fan out
+    assert rows(out, "level_text", "baro_text") == [("1", "1009.0"), ("1", "1010.5"), ("2", None), ("3", "1000.0")]
+    out = merge_level_baro(level, unique_baro(baro))
     assert rows(out, "level_text", "baro_text") == [("1", "1009.0"), ("2", None), ("3", "1000.0")]
 
 

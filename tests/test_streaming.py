@@ -13,18 +13,32 @@ def test_stream_keep_first_over_several_batches(spark, tmp_path):
         [("A", T(2026, 3, 1, 12), 2.0, 1000.0, "", "A.csv"), ("B", T(2026, 3, 1, 9), 5.0, 1000.0, "", "B.csv")],
         # late but within a day of lateness: becomes A's first reading of 1 March
         [("A", T(2026, 3, 1, 6), 1.0, 1000.0, "", "A.csv"), ("A", T(2026, 3, 4, 6), 3.0, 1000.0, "", "A.csv")],
-        # far behind the watermark (now 3 March 06:00): dropped by the stream
+        # weeks late: kept, whatever came before
         [("B", T(2026, 2, 1, 6), 9.0, 1000.0, "", "B.csv"), ("B", T(2026, 3, 5, 6), 4.0, 1000.0, "", "B.csv")],
     ]
     for i, b in enumerate(batches):
         spark.createDataFrame(b, SCHEMA).coalesce(1).write.parquet(str(src / f"part{i}"))
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(src))
     baro = spark.createDataFrame([(dt.date(2026, 3, 1), 1001.0)], "day date, bom_hpa double")
-    out = run_first_per_site_day(spark, stream, lateness="1 day", work_dir=str(tmp_path / "work"), daily_baro=baro)
+    out = run_first_per_site_day(spark, stream, work_dir=str(tmp_path / "work"), daily_baro=baro)
     assert rows(out.where("bom_hpa IS NOT NULL"), "site") == [("A",), ("B",)]
     assert rows(out, "site", "ts", "level_ft") == [
         ("A", T(2026, 3, 1, 6), 1.0),
         ("A", T(2026, 3, 4, 6), 3.0),
+        ("B", T(2026, 2, 1, 6), 9.0),
         ("B", T(2026, 3, 1, 9), 5.0),
         ("B", T(2026, 3, 5, 6), 4.0),
     ]
+
+
+def test_stream_reads_a_table_that_is_a_folder(spark, tmp_path):
+    """Part files in a folder give the same rows as one file, in any order and number of batches."""
+    from hydrocal.operators.dedup import first_per_site_day
+    from hydrocal.sources import standins as S
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    out = run_first_per_site_day(spark, S.logger_readings_stream(spark, str(tmp_path)))
+    batch = first_per_site_day(S.logger_readings(spark, str(tmp_path)))
+    cols = ["site", "ts", "level_ft", "baro_hpa"]
+    assert rows(out, *cols) == rows(batch, *cols) and out.count() > 300
