@@ -16,6 +16,8 @@ with equal sets form one class, compared once. The steps:
    task holds more than two blocks.
 4. Union-find over the links (``components``).
 
+Both sides of these joins grow with the documents, so they are merge joins at every size.
+
 Shingles are 64-bit hashes, of which 40 bits are kept for the comparison of two sets. Null texts count
 as having no words. Rows with equal ids are separate documents with equal sets or not; null ids never
 become a component's id unless it has no other (then it is null and nothing is kept). Empty tables
@@ -118,7 +120,7 @@ def shingles_of(sets: DataFrame, rows: DataFrame, size: int) -> DataFrame:
             own = shingle_sets([x.as_py() for x in b.column("text").cast(pa.binary())], size)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([short_hashes(s) for s in own], pa.binary())], names=["row", "shingles"])
 
-    texts = sets.select("row", "text").join(rows.distinct(), "row")
+    texts = sets.select("row", "text").hint("merge").join(rows.distinct(), "row")
     return lazily_once(texts.mapInArrow(again, "row long, shingles binary"), "shingles")
 
 
@@ -129,7 +131,7 @@ def _similar(inter: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs: u, rep. Adds linked, from the full sets."""
     held = sets.select(F.col("row").alias("u"), F.col("shingles").alias("su"))
-    both = pairs.join(held, "u").join(held.select(F.col("u").alias("rep"), F.col("su").alias("sr")), "rep")
+    both = pairs.hint("merge").join(held, "u").hint("merge").join(held.select(F.col("u").alias("rep"), F.col("su").alias("sr")), "rep")
 
     def check(batches):
         for batch in batches:
@@ -192,23 +194,23 @@ def grouped_classes(sets: DataFrame, shingle: int) -> DataFrame:
     key = ["a", "b", "n_shingles"]
     classes = sets.where("n_shingles > 0").groupBy(*key).agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     classes = lazily_once(classes, "classes")
-    members = sets.select("row", "bands").join(classes.select("row"), "row").select(F.col("row").alias("u"), F.explode("bands").alias("key"))
+    members = sets.select("row", "bands").hint("merge").join(classes.select("row"), "row").select(F.col("row").alias("u"), F.explode("bands").alias("key"))
     stars = members.groupBy("key").agg(F.min("u").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    in_bucket = lazily_once(members.join(stars, "key").select("key", "u", "rep", "n"), "buckets")
+    in_bucket = lazily_once(members.hint("merge").join(stars, "key").select("key", "u", "rep", "n"), "buckets")
     pairs = lazily_once(in_bucket.where("u != rep").select("u", "rep").distinct(), "pairs")
     full = shingles_of(sets, pairs.select(F.explode(F.array("u", "rep")).alias("row")), shingle)
     checked = lazily_once(verified(pairs, full), "stars")
 
     # Members not linked to their bucket's smallest: compared with all of the bucket but the smallest.
-    rest = in_bucket.where("u != rep and n > 2").join(checked, ["u", "rep"])
+    rest = in_bucket.where("u != rep and n > 2").hint("merge").join(checked, ["u", "rep"])
     unsure = rest.groupBy("key").agg(F.count_if(~F.col("linked")).alias("loose"), F.count(F.lit(1)).alias("n")).where("loose > 0 and n > 1")
-    rest = rest.drop("n").join(unsure.select("key", "n"), "key")
+    rest = rest.drop("n").hint("merge").join(unsure.select("key", "n"), "key")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     rest = rest.select("key", "u", (~F.col("linked")).alias("loose"), blocks.alias("blocks"), F.pmod(F.xxhash64("u", "key"), blocks).cast("int").alias("block"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rest = rest.select("key", "u", "loose", "block", other)
     rest = rest.select("key", "u", "loose", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rest = rest.join(full.withColumnRenamed("row", "u"), "u")
+    rest = rest.hint("merge").join(full.withColumnRenamed("row", "u"), "u")
     more = rest.groupBy("key", "i", "j").applyInPandas(block_links, "a long, b long")
 
     links = checked.where("linked").select(F.col("u").alias("a"), F.col("rep").alias("b")).unionByName(more)
@@ -223,7 +225,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     least = of_class.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = of_class.drop("least").join(least, "root")
     key = ["a", "b", "n_shingles"]
-    out = sets.select("doc_id", *key).join(of_class, key, "left")
+    out = sets.select("doc_id", *key).hint("merge").join(of_class, key, "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
@@ -237,7 +239,7 @@ def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str
     rows = sets.where("n_shingles > 0").select(*key, "row", "doc_id").join(of_class.select(*key, "root"), key)
     stays = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")).select("row")
     stays = stays.unionByName(sets.where("n_shingles = 0").select("row"))
-    out = sets.select("row", "text", *[f"carry_{c}" for c in others]).join(stays, "row", "left_semi")
+    out = sets.select("row", "text", *[f"carry_{c}" for c in others]).hint("merge").join(stays, "row", "left_semi")
     return out.select(*[F.col("text" if c == text_col else f"carry_{c}").alias(c) for c in docs.columns])
 
 
