@@ -94,7 +94,7 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, car
 
     def sets(batches):
         n = TaskContext.get().partitionId() << 36
-        for b in slices(batches, size=2_000_000):
+        for b in slices(batches, size=1_000_000):
             own = shingle_sets([x.as_py() for x in b.column("text").cast(pa.binary())], shingle)
             with np.errstate(over="ignore"):
                 a = [int(np.bitwise_xor.reduce(mix(s, s)).view(np.int64)) if len(s) else 0 for s in own]
@@ -116,7 +116,7 @@ def shingles_of(sets: DataFrame, rows: DataFrame, size: int) -> DataFrame:
     """row, shingles (short hashes) of the documents in ``rows`` (a column row), from their texts."""
 
     def again(batches):
-        for b in slices(batches, size=2_000_000):
+        for b in slices(batches, size=1_000_000):
             own = shingle_sets([x.as_py() for x in b.column("text").cast(pa.binary())], size)
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([short_hashes(s) for s in own], pa.binary())], names=["row", "shingles"])
 

@@ -42,7 +42,7 @@ def signatures(elements: np.ndarray, of: np.ndarray, sets: int, m: int) -> np.nd
         live = open_sets[d]
         if perm is None:
             e, d, k = e[live], d[live], k[live]
-            perm = np.broadcast_to(np.arange(m, dtype=np.int16), (len(e), m)).copy()
+            perm = np.broadcast_to(np.arange(m, dtype=np.uint8 if m <= 256 else np.int32), (len(e), m)).copy()
             perm[np.arange(len(e)), k] = 0  # the first step swapped slots 0 and k
         elif live.sum() < 0.8 * len(e):
             e, d, perm = e[live], d[live], perm[live]
