@@ -67,5 +67,5 @@ def attach_baro(daily: DataFrame, daily_baro: DataFrame, small: bool | None = No
     """
     right = daily_baro.select(F.col("day").alias("_day"), F.col("bom_hpa").alias("_bom"))
     left = daily.drop("bom_hpa")
-    out = checked_join(left, right, F.to_date(left["ts"]) == right["_day"], "left", small=small)
+    out = checked_join(left.withColumn("_day", F.to_date("ts")), right, "_day", "left", small=small)
     return out.select(*left.columns, F.col("_bom").alias("bom_hpa"))

@@ -1,31 +1,45 @@
-"""Join helpers: broadcast only sides whose size has been checked."""
+"""Join helpers: broadcast only sides whose size has been measured."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Upper bound on rows of a dimension that may be broadcast (a few tens of MB for the narrow
-# dimensions used here: day -> pressure, site -> conversion type).
-BROADCAST_MAX_ROWS = 500_000
+from hydrocal.session import cut_lineage
 
+# Upper bound on the uncompressed bytes of a dimension that may be broadcast.
+BROADCAST_MAX_BYTES = 64 << 20
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Only ``max_rows + 1`` rows are pulled
-    through the limit, and only a count reaches the driver."""
-    return df.limit(max_rows + 1).count() <= max_rows
+# Bytes of a row beside its text: row and hash-table overhead, and one word per column.
+_ROW_BYTES, _WORD_BYTES = 32, 16
 
 
-def fits_broadcast_all(frames: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[bool]:
-    """``fits_broadcast`` for several frames in one job (one count per frame reaches the driver)."""
+def row_bytes(df: DataFrame) -> Column:
+    """Uncompressed size of one row: its text and binary columns at their length, others at their fixed
+    width (the columns of a dimension are not nested)."""
+    parts = [F.lit(_ROW_BYTES + _WORD_BYTES * len(df.columns)).cast("long")]
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long"))
+    return reduce(Column.__add__, parts)
+
+
+def fits_broadcast_all(frames: list[DataFrame], max_bytes: int = BROADCAST_MAX_BYTES) -> list[bool]:
+    """True for each frame of at most ``max_bytes`` uncompressed bytes: one job of map-side sums, of
+    which one number per frame reaches the driver."""
     if not frames:
         return []
-    parts = [df.limit(max_rows + 1).select(F.lit(i).alias("_i")) for i, df in enumerate(frames)]
-    rows = reduce(DataFrame.unionAll, parts).groupBy("_i").count().collect()
-    counts = {r["_i"]: r["count"] for r in rows}
-    return [counts.get(i, 0) <= max_rows for i in range(len(frames))]
+    sizes = [df.select(F.lit(i).alias("i"), row_bytes(df).alias("b")) for i, df in enumerate(frames)]
+    total = {r["i"]: r["b"] for r in reduce(DataFrame.unionAll, sizes).groupBy("i").agg(F.sum("b").alias("b")).collect()}
+    return [total.get(i, 0) <= max_bytes for i in range(len(frames))]
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """``fits_broadcast_all`` for one frame."""
+    return fits_broadcast_all([df], max_bytes)[0]
 
 
 def checked_join(
@@ -33,14 +47,19 @@ def checked_join(
     right: DataFrame,
     on,
     how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
     small: bool | None = None,
 ) -> DataFrame:
     """Join with ``right`` broadcast when its size check passes; otherwise a plain shuffle join
-    that AQE may still convert at run time from measured sizes. ``small`` passes the result of a
-    check already made (``fits_broadcast_all``)."""
+    that AQE may still convert at run time from measured sizes. ``right`` is evaluated once, into a
+    table in the shared folder that the check and the join read. ``small`` passes the result of a
+    check already made (``fits_broadcast_all``), and ``right`` is then joined as it is."""
     if small is None:
-        small = fits_broadcast(right, max_rows)
+        written = cut_lineage(right, "dimension")
+        small = fits_broadcast(written, max_bytes)
+        if not isinstance(on, (str, list)):
+            raise TypeError("checked_join: an unchecked side is joined by column names")
+        right = written
     if small:
         return left.join(F.broadcast(right), on, how)
     return left.join(right, on, how)

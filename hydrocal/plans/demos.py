@@ -18,17 +18,18 @@ from hydrocal.operators.depth import adjust_depth, convert_depth, flag_dry
 from hydrocal.operators.gaps import latest_per_site, missing_site_placeholders, replace_stale
 from hydrocal.operators.merge import merge_level_baro, union_by_name
 from hydrocal.operators.quality import quality_counts, rows_per_site, run_metrics, run_summary, site_status
-from hydrocal.plans.validate import Validation, file_day_summary, file_outcomes, validate
+from hydrocal.plans.validate import Validation, file_day_summary, file_outcomes, listing_placeholders, validate
 from hydrocal.session import table
 from hydrocal.sinks.reports import report_main, report_upload
 from hydrocal.sources import standins as S
 from hydrocal.sources.html_tables import html_items, html_table_rows
-from hydrocal.sources.site_config import config_from_json
+from hydrocal.sources.site_config import config_from_json, manifest_from_json
 
 # Run parameters of the demonstrations (the events cover January 2024, orders 1995-2001).
 EVENTS_RUN_TS = "2024-03-29 18:00:00"
 EVENTS_MONTH, EVENTS_YEAR = 1, 2024
 ORDERS_RUN_TS = "2001-08-01 00:00:00"
+SEA_WATER_DENSITY = 1025.0
 
 READING_COLS = ["site", "ts", "level_ft", "baro_hpa", "comment", "src_file"]
 
@@ -111,6 +112,11 @@ def q_config_from_json(spark, sf):
     return config_from_json(S.config_docs(spark, sf), "doc", keys=["c_custkey"])
 
 
+def q_manifest_from_json(spark, sf):
+    """Per-supplier manifests -> one row per level/barometer file pair."""
+    return manifest_from_json(S.manifest_docs(spark, sf), "doc", keys=["s_suppkey"])
+
+
 def q_site_from_path(spark, sf):
     """Site name = stem of the last path segment of each page URL."""
     return table(spark, sf, "pages").select("page_id", file_stem(F.col("url")).alias("site"))
@@ -130,6 +136,15 @@ def q_adjust_depth(spark, sf):
     return out.select("site", "ts", "depth_raw_m", "baro_hpa", "bom_hpa", "depth_adj_m")
 
 
+def q_adjust_depth_density(spark, sf):
+    """C10 in water of 1025, and with a reference density of 0, which leaves every depth unadjusted."""
+    daily = convert_depth(_daily(spark, sf), _site_cfg(spark, sf))
+    daily = attach_baro(daily, daily_barometer(S.weather_raw(spark, sf)))
+    salt = adjust_depth(daily, water_density=SEA_WATER_DENSITY).withColumnRenamed("depth_adj_m", "depth_adj_sea_m")
+    out = adjust_depth(salt, reference_density=0.0).withColumnRenamed("depth_adj_m", "depth_adj_invalid_m")
+    return out.select("site", "ts", "depth_raw_m", "depth_adj_sea_m", "depth_adj_invalid_m")
+
+
 # --- F1 / F2 / F11 / P6 / P7 ---------------------------------------------------------------------
 
 
@@ -290,6 +305,13 @@ def q_file_outcomes(spark, sf):
     return out.select("src_file", "site", "max_stage", "n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept", "reason")
 
 
+def q_listing_placeholders(spark, sf):
+    """Files without bytes, and readable files that gave no row, among the customers' files."""
+    outcomes = file_outcomes(file_day_summary(tag_stages(S.logger_raw(spark, sf))))
+    out = listing_placeholders(S.customer_files(spark, sf), outcomes, EVENTS_RUN_TS)
+    return out.select("site", "ts", "comment", "src_file", "flag")
+
+
 def q_site_status(spark, sf):
     """Typed status per site of the validated table."""
     v = _validation(spark, sf)
@@ -307,6 +329,7 @@ def q_run_metrics(spark, sf):
 
 
 QUERIES = {
+    "listing_placeholders": q_listing_placeholders,
     "first_per_site_day": q_first_per_site_day,
     "first_per_day": q_first_per_day,
     "stream_first_per_site_day": q_stream_first_per_site_day,
@@ -314,9 +337,11 @@ QUERIES = {
     "baro_absent": q_baro_absent,
     "merge_level_baro": q_merge_level_baro,
     "config_from_json": q_config_from_json,
+    "manifest_from_json": q_manifest_from_json,
     "site_from_path": q_site_from_path,
     "convert_depth": q_convert_depth,
     "adjust_depth": q_adjust_depth,
+    "adjust_depth_density": q_adjust_depth_density,
     "parse_datetime": q_parse_datetime,
     "parse_numeric": q_parse_numeric,
     "drop_invalid": q_drop_invalid,

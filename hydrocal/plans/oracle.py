@@ -6,13 +6,15 @@ The SQL re-derives each answer from the base tables with DuckDB's own functions
 
 from __future__ import annotations
 
-from hydrocal.plans.demos import EVENTS_MONTH, EVENTS_RUN_TS, EVENTS_YEAR, ORDERS_RUN_TS
+from hydrocal.plans.demos import EVENTS_MONTH, EVENTS_RUN_TS, EVENTS_YEAR, ORDERS_RUN_TS, SEA_WATER_DENSITY
 from hydrocal.schemas import (
     DRY_COMMENT,
     FEET_TO_METRES,
     HPA_TO_PSI,
     NA_TOKENS,
     REASON_BAD_DATETIME,
+    REASON_CSV_EMPTY,
+    REASON_EMPTY_FILE,
     REASON_BAD_NUMERIC,
     REASON_MISSING_FILE,
     REASON_NEGATIVE,
@@ -61,8 +63,8 @@ def raw_depth(level: str, ctype: str) -> str:
     )
 
 
-def adj_depth(raw: str, baro: str, bom: str) -> str:
-    return round2(f"{raw} + {d(SENSOR_FACTOR)} * (({baro} - {bom}) * {d(HPA_TO_PSI)}) / 1.0::DOUBLE")
+def adj_depth(raw: str, baro: str, bom: str, sg: float = 1.0) -> str:
+    return round2(f"{raw} + {d(SENSOR_FACTOR)} * (({baro} - {bom}) * {d(HPA_TO_PSI)}) / {d(sg)}")
 
 
 def file_stem(path: str) -> str:
@@ -259,6 +261,14 @@ def _sql() -> dict[str, str]:
         "AND lvl.date_text IS NOT DISTINCT FROM b.date_text AND lvl.time_text IS NOT DISTINCT FROM b.time_text"
     )
     out["config_from_json"] = f"WITH {CFG} SELECT c_custkey, site, depth_conversion_type FROM cfg_all"
+    out["manifest_from_json"] = (
+        "WITH docs AS (SELECT s_suppkey, CASE WHEN s_nationkey = 0 THEN 'not a manifest' WHEN s_acctbal < 0 THEN '[]' "
+        "ELSE CAST(json_array("
+        "json_object('name', s_name, 'nav_option', CAST(s_nationkey AS VARCHAR), 'main_csv', s_suppkey || '.csv', 'baro_csv', 'baro' || s_suppkey || '.csv'), "
+        "json_object('name', s_name || ' B', 'nav_option', CAST(s_nationkey AS VARCHAR), 'main_csv', s_suppkey || 'b.csv')) AS VARCHAR) END AS doc FROM supplier), "
+        "entries AS (SELECT s_suppkey, unnest(json_extract(doc, '$[*]')) AS e FROM docs WHERE json_valid(doc)) "
+        "SELECT s_suppkey, e->>'name' AS name, e->>'nav_option' AS nav_option, e->>'main_csv' AS main_csv, e->>'baro_csv' AS baro_csv FROM entries"
+    )
     out["site_from_path"] = f"SELECT page_id, {file_stem('url')} AS site FROM pages"
     out["convert_depth"] = (
         f"WITH {READINGS},{DAILY},{CFG} SELECT daily.site, ts, level_ft, "
@@ -274,6 +284,22 @@ def _sql() -> dict[str, str]:
         f"SELECT site, ts, depth_raw_m, baro_hpa, bom_hpa, {adj_depth('depth_raw_m', 'baro_hpa', 'bom_hpa')} AS depth_adj_m "
         "FROM conv LEFT JOIN baro ON CAST(conv.ts AS DATE) = baro.day"
     )
+    out["adjust_depth_density"] = (
+        f"WITH {READINGS},{DAILY},{CFG},{WEATHER}, conv AS (SELECT daily.*, "
+        f"{raw_depth('level_ft', "coalesce(cfg.depth_conversion_type, 'default')")} AS depth_raw_m "
+        "FROM daily LEFT JOIN cfg ON daily.site = cfg.site) "
+        f"SELECT site, ts, depth_raw_m, {adj_depth('depth_raw_m', 'baro_hpa', 'bom_hpa', SEA_WATER_DENSITY / 1000.0)} AS depth_adj_sea_m, "
+        "CAST(NULL AS DOUBLE) AS depth_adj_invalid_m FROM conv LEFT JOIN baro ON CAST(conv.ts AS DATE) = baro.day"
+    )
+    out["listing_placeholders"] = (
+        "WITH files AS (SELECT CAST(c_custkey AS VARCHAR) AS site, c_custkey || '.csv' AS src_file, c_mktsegment AS seg FROM customer), "
+        "failed AS ("
+        f"SELECT site, src_file, {q(REASON_EMPTY_FILE)} AS why FROM files WHERE seg = 'MACHINERY' UNION ALL "
+        f"SELECT site, src_file, {q(REASON_CSV_EMPTY)} FROM files WHERE seg NOT IN ('MACHINERY', 'AUTOMOBILE') AND site NOT IN "
+        "(SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type <> 'signup' AND user_id IS NOT NULL)) "
+        f"SELECT site, CAST(CAST({run_ev} AS DATE) AS TIMESTAMP) AS ts, {reason('why', EVENTS_RUN_TS)} AS comment, src_file, "
+        "'placeholder' AS flag FROM failed"
+    )
     out["parse_datetime"] = (
         f"WITH {raw_rendering(True)} SELECT event_id, date_text, time_text, "
         f"{parse_dt('date_text', 'time_text')} AS ts FROM raw"

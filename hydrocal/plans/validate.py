@@ -14,7 +14,8 @@ Shape of the plan, designed for very large raw inputs with hot sites:
 4. Candidates (first readings + placeholders) are hash-partitioned once by ``site``; the keep-first
    per (site, day) window and the per-site staleness window both run on that partitioning, and the
    stale replacement does not branch the plan.
-5. The site configuration and the daily barometer are broadcast after a size check.
+5. The site configuration and the daily barometer are each evaluated once, into small tables, and
+   broadcast after a check of their size in bytes.
 """
 
 from __future__ import annotations
@@ -90,7 +91,9 @@ def file_day_summary(tagged: DataFrame) -> DataFrame:
     summary = tagged.groupBy("src_file", F.to_date("ts").alias("day")).agg(
         F.max("stage").alias("max_stage"),
         *stage_counts(),
-        F.count_if(F.col("malformed")).alias("n_malformed"),
+        # A set of at most two values. As an aggregate over objects it also puts the whole aggregation
+        # into a hash map of the task's file-days, where min(struct) alone would sort all raw rows.
+        F.array_contains(F.collect_set("malformed"), True).alias("has_malformed"),
         first.alias("first"),
     )
     return summary.select("src_file", file_stem(F.col("src_file")).alias("site"), *summary.columns[1:])
@@ -104,12 +107,9 @@ def file_outcomes(summary: DataFrame) -> DataFrame:
     """
     sums = [F.sum(c).alias(c) for c in ("n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept")]
     out = summary.groupBy("src_file", "site").agg(
-        F.max("max_stage").alias("max_stage"), *sums, F.sum("n_malformed").alias("n_malformed")
-    )
-    rejected = F.col("n_malformed") > 0
-    return out.withColumn("rejected", rejected).withColumn(
-        "reason", F.when(~rejected, stage_reason(F.col("max_stage")))
+        F.max("max_stage").alias("max_stage"), *sums, F.bool_or("has_malformed").alias("rejected")
     )
+    return out.withColumn("reason", F.when(~F.col("rejected"), stage_reason(F.col("max_stage"))))
 
 
 def listing_placeholders(files: DataFrame, outcomes: DataFrame, run_ts) -> DataFrame:
@@ -165,6 +165,9 @@ def validate(
         processed = files.select("site")
     else:
         processed = outcomes.select("site")
+    if site_cfg is not None:  # one row per site, evaluated once for all of its uses below
+        site_cfg = lookup_table(site_cfg)
+        site_cfg = cut_lineage(site_cfg, "site-config") if materialize else site_cfg
     if expected_sites is None and site_cfg is not None:
         expected_sites = site_cfg.select("site")
     if expected_sites is not None:
@@ -185,6 +188,8 @@ def validate(
     )
     if daily_baro is None and weather is not None:
         daily_baro = daily_barometer(weather)
+    if daily_baro is not None and materialize:
+        daily_baro = cut_lineage(daily_baro, "daily-barometer")
     # both broadcast size checks in one job
     dims = [d for d in (site_cfg, daily_baro) if d is not None]
     small = dict(zip([id(d) for d in dims], fits_broadcast_all(dims)))
@@ -209,7 +214,7 @@ def validate(
     )
     if site_cfg is not None:
         known = F.col("depth_conversion_type").isin(CONVERSION_DEFAULT, CONVERSION_DIVIDE_BY_100)
-        unknown = lookup_table(site_cfg).select("site", (~known).alias("_unknown"))
+        unknown = site_cfg.select("site", (~known).alias("_unknown"))
         quality = quality.join(unknown, "site", "left").select(
             *quality.columns, F.coalesce(F.col("_unknown"), F.lit(False)).alias("unknown_conversion")
         )

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. ANSI is the Spark 4 default; AQE re-plans joins and coalesces
 # shuffle partitions with measured sizes. The static planner does not broadcast on estimated sizes
-# (compressed file sizes can understate a table); broadcasts happen only after an explicit row
-# count check (operators/joins.py) or when AQE has measured a materialised side below 10 MB.
+# (compressed file sizes can understate a table); broadcasts happen only after an explicit size
+# check (operators/joins.py) or when AQE has measured a materialised side below 10 MB.
 DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # file-days of one split that are aggregated in a hash map before the task sorts (plans/validate.py)
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -61,6 +63,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder, recorded for ``drop_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hydrocal-{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this process has made. Frames that read them are void afterwards, so
+    this is for the end of a run, when its results are written."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
@@ -69,7 +90,7 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     RDD checkpoint would not give.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hydrocal-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hydrocal.functions.text import file_stem
-from hydrocal.operators.joins import BROADCAST_MAX_ROWS
+from hydrocal.operators.joins import BROADCAST_MAX_BYTES
 from hydrocal.operators.merge import merge_level_baro, unique_baro
 from hydrocal.schemas import NA_TOKENS, SRC_BARO, SRC_COMMENT, SRC_DATE, SRC_LEVEL, SRC_TIME
 
@@ -276,8 +276,8 @@ def read_pairs(spark: SparkSession, folder: str, manifest: DataFrame) -> FolderI
             pair_df = spark.createDataFrame(
                 [(f, pair_of[f]) for f in merged_files], "src_file string, _pair string"
             )
-            # the pair table's row count is known here; broadcast it only under the common limit
-            small = len(merged_files) <= BROADCAST_MAX_ROWS
+            # the pair table's size is known here; broadcast it only under the common limit
+            small = sum(100 + len(f) + len(pair_of[f]) for f in merged_files) <= BROADCAST_MAX_BYTES
             left = lv.join(F.broadcast(pair_df) if small else pair_df, "src_file", "inner")
             merged_frames.append(left.withColumn("site", F.col("_pair")).drop("_pair"))
     if merged_frames:

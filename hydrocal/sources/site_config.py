@@ -47,7 +47,8 @@ def site_config(spark: SparkSession, json_text: str | None) -> DataFrame:
     return config_from_json(doc, "doc")
 
 
-def manifest_from_json(docs: DataFrame, json_col: str) -> DataFrame:
-    """``[{name, nav_option, main_csv, baro_csv}]`` -> one row per site pair."""
+def manifest_from_json(docs: DataFrame, json_col: str, keys: list[str] | None = None) -> DataFrame:
+    """``[{name, nav_option, main_csv, baro_csv}]`` -> one row per site pair (with ``keys`` of its
+    document). Bad JSON gives no rows; a field that an entry lacks is NULL."""
     arr = F.coalesce(F.from_json(F.col(json_col), MANIFEST_SCHEMA), F.array().cast(MANIFEST_SCHEMA))
-    return docs.select(F.inline(arr))
+    return docs.select(*(keys or []), F.inline(arr))

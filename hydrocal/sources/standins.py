@@ -133,6 +133,36 @@ def config_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", doc.alias("doc"))
 
 
+def manifest_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file-pair manifest (JSON array of two pairs) per supplier, the second without a barometer
+    file. Suppliers of nation 0 hold text that is not JSON; those with a negative balance an empty array."""
+    s = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("string")
+
+    def entry(name, option, main, *baro):
+        return F.struct(name.alias("name"), option.alias("nav_option"), main.alias("main_csv"), *baro)
+
+    option = F.col("s_nationkey").cast("string")
+    full = entry(F.col("s_name"), option, F.concat(key, F.lit(".csv")), F.concat(F.lit("baro"), key, F.lit(".csv")).alias("baro_csv"))
+    bare = entry(F.concat(F.col("s_name"), F.lit(" B")), option, F.concat(key, F.lit("b.csv")), F.lit(None).cast("string").alias("baro_csv"))
+    doc = (
+        F.when(F.col("s_nationkey") == 0, F.lit("not a manifest"))
+        .when(F.col("s_acctbal") < 0, F.lit("[]"))
+        .otherwise(F.to_json(F.array(full, bare)))
+    )
+    return s.select("s_suppkey", doc.alias("doc"))
+
+
+def customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file listing (src_file, site, status) with one file per customer: ``MACHINERY`` files have no
+    bytes, ``AUTOMOBILE`` files are unreadable, the others are readable."""
+    seg, site = F.col("c_mktsegment"), F.col("c_custkey").cast("string")
+    status = F.when(seg == "MACHINERY", "zero_bytes").when(seg == "AUTOMOBILE", "rejected").otherwise("ok")
+    return table(spark, sf_dir, "customer").select(
+        F.concat(site, F.lit(".csv")).alias("src_file"), site.alias("site"), status.alias("status")
+    )
+
+
 def order_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as readings of customer sites."""
     o = table(spark, sf_dir, "orders")

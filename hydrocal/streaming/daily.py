@@ -14,13 +14,11 @@ watermark: nothing is ever too late.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydrocal.operators.barometer import attach_baro
-from hydrocal.session import ensure_checkpoint_dir
+from hydrocal.session import scratch_path
 
 ORDER_FIELDS = ["ts", "src_file", "level_ft", "baro_hpa", "comment"]
 FIRSTS_SCHEMA = (
@@ -56,7 +54,7 @@ def run_first_per_site_day(
     with the stream's own checkpoint next to it, so a restarted job resumes from its last committed
     batch. Nothing is gathered on the driver.
     """
-    base = work_dir or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = work_dir or scratch_path(spark, "stream")
     out_path, ckpt = f"{base}/firsts", f"{base}/_checkpoint"
     spark.createDataFrame([], FIRSTS_SCHEMA).write.mode("append").parquet(out_path)
 

@@ -188,9 +188,11 @@ def test_checked_join_falls_back_above_limit(spark):
 
     left = spark.createDataFrame([("A", 1), ("B", 2)], "site string, v int")
     right = spark.createDataFrame([("A", "x"), ("B", "y")], "site string, t string")
-    assert fits_broadcast(right, 2) and not fits_broadcast(right, 1)
-    assert fits_broadcast_all([right, left.limit(1)], 1) == [False, True]
-    plan = checked_join(left, right, "site", "left", max_rows=1)._jdf.queryExecution().sparkPlan().toString()
+    assert fits_broadcast(right, 1000) and not fits_broadcast(right, 100)
+    assert fits_broadcast_all([right, left.limit(1), left.limit(0)], 100) == [False, True, True]
+    long_text = spark.createDataFrame([("A", "x" * 2000)], "site string, t string")
+    assert not fits_broadcast(long_text, 1000)  # one row, but its text counts
+    plan = checked_join(left, right, "site", "left", max_bytes=100)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" not in plan
-    plan = checked_join(left, right, "site", "left", max_rows=2)._jdf.queryExecution().sparkPlan().toString()
+    plan = checked_join(left, right, "site", "left", max_bytes=1000)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan

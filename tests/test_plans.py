@@ -29,10 +29,9 @@ def test_validation_plan_shape(spark):
     for python_node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert python_node not in plan
     # the raw logger rows were read once, into the checkpointed file-day summary; the final plan
-    # reads that summary and scans events only for the weather feed (signup rows)
+    # reads that summary and the written feed
     assert "ReadSchema: struct<src_file:string,site:string,max_stage:int" in plan
-    assert "Not(EqualTo(event_type,signup))" not in plan
-    assert "EqualTo(event_type,signup)" in plan
+    assert "event_type" not in plan
 
 
 def test_no_python_udfs_anywhere(spark):
@@ -53,3 +52,12 @@ def test_file_day_summary_aggregates_before_its_shuffle(spark):
     # in the plan tree text the map-side partial aggregate sits below (after) the exchange line
     assert exchange < partial
     assert "partial_min(" in text
+    # the rows of a task meet a hash map of its file-days, not a sort of the whole split
+    below = text[partial:]
+    assert "ObjectHashAggregate" in text and "SortAggregate" not in text and "Sort [" not in below
+
+
+def test_validation_evaluates_each_dimension_once(spark):
+    plan = E.queries()["validate"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # feed and configuration were written once; the plan reads the written tables, not their sources
+    assert "customer.parquet" not in plan and "events.parquet" not in plan
