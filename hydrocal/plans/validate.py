@@ -1,4 +1,5 @@
-"""Full validation (C13) as one lazy Catalyst plan.
+"""Full validation (C13). Building it writes the file-day summary and the two dimensions and measures
+the dimensions; everything after that is one lazy Catalyst plan.
 
 Shape of the plan, designed for very large raw inputs with hot sites:
 
@@ -63,7 +64,7 @@ FINAL_COLUMNS = [
 
 @dataclass
 class Validation:
-    """Result frames of one validation run (all lazy)."""
+    """Result frames of one validation run: lazy, over the tables that ``validate`` has written."""
 
     final: DataFrame  # one row per site-day plus placeholder rows, FINAL_COLUMNS
     file_outcomes: DataFrame  # src_file, site, max_stage, per-stage counts, reason
