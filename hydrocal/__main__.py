@@ -44,12 +44,13 @@ def main(argv: list[str] | None = None) -> int:
     from hydrocal.operators.barometer import ampm_readings
     from hydrocal.operators.quality import rows_per_site, run_metrics, run_summary, site_status
     from hydrocal.plans.validate import validate
-    from hydrocal.session import cut_lineage, drop_scratch, local_session
+    from hydrocal.session import cut_lineage, drop_scratch, local_session, scratch_mark
     from hydrocal.sinks.reports import write_reports
     from hydrocal.sources.csv_folder import read_pairs, read_site_folder
     from hydrocal.sources.site_config import manifest_from_json, site_config
 
     spark = SparkSession.getActiveSession() or local_session()
+    mark = scratch_mark()
     run = dt.datetime.strptime(a.run_ts, "%Y-%m-%d %H:%M:%S")
     cfg = site_config(spark, _read_text(spark, a.config)) if a.config else None
     from hydrocal.sources.csv_folder import folder_exists
@@ -74,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     )
     final = cut_lineage(res.final, "final")
     if not write_reports(final, a.out, single_file=a.single_file):
-        drop_scratch(spark)
+        drop_scratch(spark, mark)
         print("nothing consolidated; no output written", file=sys.stderr)
         return 1
     res.quality.write.mode("overwrite").parquet(f"{a.out}/quality.parquet")
@@ -84,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     site_status(final, res.rejected_files).write.mode("overwrite").parquet(f"{a.out}/site_status.parquet")
     status = spark.read.parquet(f"{a.out}/site_status.parquet")
     summary = {**run_summary(status).first().asDict(), **run_metrics(final).first().asDict()}
-    drop_scratch(spark)
+    drop_scratch(spark, mark)
     print(json.dumps(summary))
     return 0
 

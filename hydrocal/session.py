@@ -73,11 +73,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete the scratch tables this process has made. Frames that read them are void afterwards, so
+def scratch_mark() -> int:
+    """A mark to give to ``drop_scratch``: scratch made before it stays."""
+    return len(_SCRATCH)
+
+
+def drop_scratch(spark: SparkSession, mark: int = 0) -> None:
+    """Delete the scratch tables this process has made since ``mark``. Frames that read them are void afterwards, so
     this is for the end of a run, when its results are written."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _SCRATCH:
+    while len(_SCRATCH) > mark:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
         path.getFileSystem(conf).delete(path, True)
 
