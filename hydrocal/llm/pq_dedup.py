@@ -8,12 +8,18 @@ Equal vectors of a label form one class, indexed once. The index:
   that come first by a hash; the driver holds nothing else. Their sizes are bounded by parameters;
 * every class is indexed: its list, residual codes, and how far the code is from the vector.
 
-Search: every class asks its own list and every list whose centroid is at most ``MARGIN`` farther than
-its nearest one. In a list, asymmetric table distances drop members that cannot be near enough even if
-the code's error points straight at the query (so quantisation itself loses no link); the others are
-reranked by exact cosine. A pair met in two lists is counted in one. Lists are worked on in blocks of at most
-``BLOCK`` members and askers, so no task holds a hot list or group; a block returns each vector's
-number of links and a spanning forest of them, not pairs. Components come from union-find.
+Search loses no link. Let x lie in the list of centroid a and y in that of b. Linked unit vectors are at
+most ``r = sqrt(2 - 2 COSINE)`` apart, and y is no farther from b than from a, so x is at most r beyond the
+plane halfway between them: ``|x - b|^2 - |x - a|^2 <= 2 r |a - b|``. x asks every list for which that
+holds (in many dimensions that is a large share of them). In lists with more members than a codebook has
+codewords, asymmetric table distances drop members that cannot be near enough even if the code's error
+points straight at the query; the others are reranked by exact cosine.
+
+So that a vector is not copied once per list, neighbouring lists form cells of about ``BLOCK`` vectors of a
+label, and a vector is sent once to each later cell in which it asks a list; a pair is met once, in the later of its
+cells. A cell's members and askers meet in blocks of about ``BLOCK`` (fewer for long vectors), so no task holds
+a hot list or group; a block returns each vector's number of links and a spanning forest of them, not
+pairs. Components come from union-find.
 
 Vectors that are null, zero, or hold null or non-finite components, and vectors without a label, link
 with nothing. Vectors of different length never link. Rows with equal ids are separate vectors. An
@@ -34,9 +40,11 @@ from pyspark.sql import functions as F
 from hydrocal.llm.common import lazily_once, table
 from hydrocal.llm.components import components
 
-COSINE, MARGIN = 0.93, 0.05
+COSINE = 0.93
 SAMPLE, MAX_LISTS, SPACES, CODEWORDS, ROUNDS = 20_000, 2048, 8, 256, 10
-BLOCK = 1024
+BLOCK, BLOCK_BYTES = 4096, 16 << 20
+#: Askers compared at a time inside a block.
+STEP = 128
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -62,25 +70,50 @@ def kmeans(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return centres
 
 
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances [x, centres]."""
+    return np.maximum(0, (x * x).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(axis=1))
+
+
+def _in_order(centres: np.ndarray) -> np.ndarray:
+    """An order of the centres in which neighbours are near each other: halved again and again across their spread."""
+    if len(centres) < 3:
+        return np.arange(len(centres))
+    off = centres - centres.mean(axis=0)
+    rank = np.argsort(off @ off[(off * off).sum(axis=1).argmax()], kind="stable")
+    halves = np.array_split(rank, 2)
+    return np.concatenate([h[_in_order(centres[h])] for h in halves])
+
+
+def reach(cosine: float) -> float:
+    """How far apart linked unit vectors can be."""
+    return float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
+
+
 class Quantiser:
     """Coarse centroids and residual codebooks for unit vectors of one length."""
 
     def __init__(self, sample: np.ndarray, lists: int):
         self.dim = sample.shape[1]
-        self.centres = kmeans(sample, lists, 1)
+        centres = kmeans(sample, lists, 1)
+        self.centres = centres[_in_order(centres)]
         residual = sample - self.centres[_nearest(sample, self.centres)]
         self.cuts = [c for c in np.array_split(np.arange(self.dim), min(SPACES, self.dim))]
         self.books = [kmeans(residual[:, c], CODEWORDS, 2 + i) for i, c in enumerate(self.cuts)]
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[int]]]:
-        """list, codes, distance of code and vector, and the lists to ask, of unit vectors."""
-        d = np.sqrt(np.maximum(0, 2e-300 + (x * x).sum(axis=1)[:, None] - 2 * x @ self.centres.T + (self.centres**2).sum(axis=1)))
-        near = d.argmin(axis=1)
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """list, codes, and distance of code and vector, of unit vectors."""
+        near = _nearest(x, self.centres)
         residual = x - self.centres[near]
         codes = np.stack([_nearest(residual[:, c], b) for c, b in zip(self.cuts, self.books)], axis=1)
         coded = np.concatenate([b[codes[:, i]] for i, b in enumerate(self.books)], axis=1)
-        ask = d <= d[np.arange(len(x)), near][:, None] + MARGIN
-        return near, codes.astype(np.uint8), np.linalg.norm(residual - coded, axis=1), [np.flatnonzero(a).tolist() for a in ask]
+        return near, codes.astype(np.uint8), np.linalg.norm(residual - coded, axis=1)
+
+    def asks(self, x: np.ndarray, own: np.ndarray, lists: slice | np.ndarray, cosine: float) -> np.ndarray:
+        """bool[x, lists]: whether a list can hold a vector linked to x, a unit vector of list ``own``."""
+        there, here = self.centres[lists], self.centres[own]
+        beyond = _squares(x, there) - ((x - here) ** 2).sum(axis=1)[:, None]
+        return beyond <= 2 * reach(cosine) * np.sqrt(_squares(here, there)) + 1e-6
 
     def table_distance(self, queries: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
         """Asymmetric distances [queries, members] within list ``at``, by table look-up."""
@@ -120,53 +153,48 @@ def vectors(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFra
 
 
 def block_links(q: Quantiser, pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """One block of a list: members (codes) against askers (vectors)."""
-    member, asker = (pdf[pdf["role"] == r].sort_values("row") for r in ("member", "asker"))
-    if not len(member) or not len(asker):
-        return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
-    at = int(pdf["list"].iloc[0])
-    load = lambda p: np.stack([np.frombuffer(v, "<f8") for v in p["vec"]])
-    mv, av = load(member), load(asker)
-    m_unit, a_unit = _unit(mv), _unit(av)
-    codes = np.stack([np.frombuffer(c, np.uint8) for c in member["codes"]])
-    reach = np.sqrt(2 - 2 * cosine) + 1e-6 + member["error"].to_numpy()
-    near = q.table_distance(a_unit, at, codes) <= reach[None, :]
-    a_row, m_row = asker["row"].to_numpy(), member["row"].to_numpy()
-    a_list = asker["own"].to_numpy()
-    # Each pair once: in its own list by row order; else in the smaller list, or the larger if only that was asked.
-    near &= np.where((a_list == at)[:, None], a_row[:, None] < m_row[None, :], True)
-    i, j = np.nonzero(near)
-    if len(i):
-        asked = [set(x) for x in member["asked"]]
-        far = a_list[i] != at
-        own = a_list[i]
-        once = ~far | (at < own)
-        for k in np.flatnonzero(far & (at > own)).tolist():
-            once[k] = int(own[k]) not in asked[j[k]]
-        i, j = i[once], j[once]
-    keep = np.zeros(len(i), bool)
-    a_norm, m_norm = np.sqrt((av * av).sum(axis=1)), np.sqrt((mv * mv).sum(axis=1))
-    for k in range(0, len(i), 65_536):  # exact rerank
-        x, y = i[k : k + 65_536], j[k : k + 65_536]
-        keep[k : k + 65_536] = np.einsum("nd,nd->n", av[x], mv[y]) / (a_norm[x] * m_norm[y]) >= cosine
-    i, j = i[keep], j[keep]
-    a_n, m_n = asker["copies"].to_numpy(), member["copies"].to_numpy()
-    a_deg, m_deg = np.bincount(i, m_n[j], len(asker)).astype(np.int64), np.bincount(j, a_n[i], len(member)).astype(np.int64)
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while (up := root.setdefault(x, x)) != x:
-            root[x] = root[up]
-            x = root[x]
-        return x
-
-    forest = []
-    for x, y in zip(a_row[i].tolist(), m_row[j].tolist()):
-        rx, ry = find(x), find(y)
-        if rx != ry:
-            root[ry] = rx
-            forest.append((x, y, 0))
-    deg = [(r, None, n) for rows, d in ((a_row, a_deg), (m_row, m_deg)) for r, n in zip(rows.tolist(), d.tolist()) if n]
+    """One block: askers against members, or, if it is a block of a cell with itself, members against later ones."""
+    pdf = pdf.sort_values(["side", "own", "row"])
+    itself = bool(pdf["within"].iloc[0]) and pdf["i"].iloc[0] == pdf["j"].iloc[0]
+    n_m = int((pdf["side"] == 0).sum())
+    v = np.stack([np.frombuffer(x, "<f8") for x in pdf["vec"]])
+    unit, norm = _unit(v), np.sqrt((v * v).sum(axis=1))
+    row, own, copies, error = (pdf[c].to_numpy() for c in ("row", "own", "copies", "error"))
+    codes = np.stack([np.frombuffer(c, np.uint8) for c in pdf["codes"]])
+    first_asker, degree, group, forest = (0 if itself else n_m), np.zeros(len(v), np.int64), np.arange(len(v)), []
+    cuts = np.searchsorted(own[:n_m], np.unique(own[:n_m])).tolist() + [n_m]
+    for lo, hi in zip(cuts, cuts[1:]):  # the members of one list
+        at, last = int(own[lo]), hi if itself else len(v)
+        for k in range(first_asker, last, STEP):
+            a = np.arange(k, min(k + STEP, last))
+            a = a[q.asks(unit[a], own[a], np.array([at]), cosine)[:, 0]]
+            if not len(a):
+                continue
+            if hi - lo > CODEWORDS:
+                near = q.table_distance(unit[a], at, codes[lo:hi]) <= reach(cosine) + error[lo:hi]
+            else:
+                near = unit[a] @ unit[lo:hi].T >= cosine - 1e-9
+            if itself:
+                near &= a[:, None] < np.arange(lo, hi)
+            x, y = np.nonzero(near)
+            x, y = a[x], y + lo
+            keep, some = np.zeros(len(x), bool), max(1, (4 << 20) // v.shape[1])
+            for c in range(0, len(x), some):  # exact rerank
+                f, g = x[c : c + some], y[c : c + some]
+                keep[c : c + some] = np.einsum("nd,nd->n", v[f], v[g]) / (norm[f] * norm[g]) >= cosine
+            x, y = x[keep], y[keep]
+            np.add.at(degree, x, copies[y])
+            np.add.at(degree, y, copies[x])
+            start = np.flatnonzero(np.diff(x, prepend=-1)).tolist()
+            for s, e in zip(start, start[1:] + [len(x)]):  # one asker joins the groups that it links to
+                mine, theirs = group[x[s]], group[y[s:e]]
+                if (theirs != mine).any():
+                    other, where = np.unique(theirs, return_index=True)
+                    where, other = where[other != mine], other[other != mine]
+                    forest += [(int(row[x[s]]), int(row[y[s + w]]), 0) for w in where.tolist()]
+                    group[np.isin(group, other)] = mine
+    linked = np.flatnonzero(degree)
+    deg = [(r, None, n) for r, n in zip(row[linked].tolist(), degree[linked].tolist())]
     out = pd.DataFrame(forest + deg, columns=["a", "b", "n"])
     return out.astype({"a": "int64", "b": "Int64", "n": "int64"})
 
@@ -192,24 +220,50 @@ def linked_vectors(df: DataFrame, cosine: float = COSINE, id_col: str = "vec_id"
             for b in batches:
                 for k in range(0, b.num_rows, 4096):
                     s = b.slice(k, 4096)
-                    near, codes, error, ask = q.encode(_unit(np.stack([np.frombuffer(v.as_buffer(), "<f8") for v in s.column("vec")])))
-                    for name, col in (("own", pa.array(near, pa.int64())), ("codes", pa.array([c.tobytes() for c in codes], pa.binary())), ("error", pa.array(error)), ("asked", pa.array(ask, pa.list_(pa.int64())))):
+                    near, codes, error = q.encode(_unit(np.stack([np.frombuffer(v.as_buffer(), "<f8") for v in s.column("vec")])))
+                    for name, col in (("own", pa.array(near, pa.int64())), ("codes", pa.array([c.tobytes() for c in codes], pa.binary())), ("error", pa.array(error))):
                         s = s.append_column(name, col)
                     yield s
 
-        indexed = lazily_once(part.mapInArrow(index, f"row long, vec binary, label string, copies long, own long, codes binary, error double, asked array<long>"), "index")
-        ask = indexed.select("row", "vec", "label", "copies", "own", F.explode("asked").alias("list"))
-        sizes = indexed.groupBy("label", F.col("own").alias("list")).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("mb"))
-        asks = ask.groupBy("label", "list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ab"))
-        sizes = sizes.join(asks, ["label", "list"])
-        block = lambda n: F.pmod(F.xxhash64("row", F.lit(3)), F.col(n).cast("long"))
-        each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1))
-        members = indexed.withColumn("list", F.col("own")).join(sizes, ["label", "list"])
-        members = members.select("label", "list", F.lit("member").alias("role"), "row", "vec", "copies", "own", "codes", "error", "asked", block("mb").alias("i"), each("ab").alias("j"))
-        askers = ask.join(sizes, ["label", "list"])
-        none = [F.lit(None).cast(t).alias(n) for n, t in (("codes", "binary"), ("error", "double"), ("asked", "array<bigint>"))]
-        askers = askers.select("label", "list", F.lit("asker").alias("role"), "row", "vec", "copies", "own", *none, each("mb").alias("i"), block("ab").alias("j"))
-        met = members.unionByName(askers).groupBy("label", "list", "i", "j")
+        indexed = lazily_once(part.mapInArrow(index, "row long, vec binary, label string, copies long, own long, codes binary, error double"), "index")
+        size = max(1, min(BLOCK, BLOCK_BYTES // (8 * dim)))
+        most = np.zeros(len(q.centres), np.int64)  # members of a list, of the label that has most there
+        for r in indexed.groupBy("label", "own").count().groupBy("own").agg(F.max("count").alias("n")).collect():
+            most[r.own] = r.n
+        cell_of, full = np.zeros(len(most), np.int64), 0
+        for k, n_k in enumerate(most.tolist()):
+            over = full > 0 and full + n_k > size
+            cell_of[k], full = (cell_of[k - 1] if k else 0) + over, n_k if over else full + n_k
+        starts = np.flatnonzero(np.diff(cell_of, prepend=-1))
+
+        def cells(batches, q=q, cell_of=cell_of, starts=starts):
+            for b in batches:
+                for k in range(0, b.num_rows, 1024):
+                    s = b.slice(k, 1024)
+                    own = s.column("own").to_numpy()
+                    asked = q.asks(_unit(np.stack([np.frombuffer(v.as_buffer(), "<f8") for v in s.column("vec")])), own, slice(None), cosine)
+                    asked = np.logical_or.reduceat(asked, starts, axis=1)
+                    home = cell_of[own]
+                    later = [(np.flatnonzero(a[h + 1 :]) + h + 1).tolist() for a, h in zip(asked, home.tolist())]
+                    yield s.append_column("home", pa.array(home, pa.int64())).append_column("later", pa.array(later, pa.list_(pa.int64())))
+
+        placed = indexed.mapInArrow(cells, "row long, vec binary, label string, copies long, own long, codes binary, error double, home long, later array<long>")
+        placed = lazily_once(placed, "cells")
+        blocks = lambda n: F.ceil(F.count(F.lit(1)) / size).cast("long").alias(n)
+        sizes = placed.groupBy("label", F.col("home").alias("cell")).agg(blocks("mb"))
+        asks = placed.select("label", F.explode("later").alias("cell")).groupBy("label", "cell").agg(blocks("ab"))
+        sizes = sizes.join(asks, ["label", "cell"], "left").withColumn("ab", F.coalesce("ab", F.lit(0).cast("long")))
+        block = lambda n: F.pmod(F.xxhash64("row", F.lit(3)), F.col(n))
+        each = lambda n: F.filter(F.sequence(F.lit(0).cast("long"), F.col(n)), lambda x: x < F.col(n))
+        what = ["label", "cell", "row", "vec", "copies", "own", "codes", "error"]
+        # A member meets each block of its own cell (the lower block is side 0), and the blocks of askers from other cells.
+        members = placed.withColumnRenamed("home", "cell").join(sizes, ["label", "cell"]).withColumn("b", block("mb"))
+        inside = F.transform(each("mb"), lambda x: F.struct(F.lit(True).alias("within"), (x < F.col("b")).cast("int").alias("side"), F.least(x, "b").alias("i"), F.greatest(x, "b").alias("j")))
+        outside = F.transform(each("ab"), lambda x: F.struct(F.lit(False).alias("within"), F.lit(0).alias("side"), F.col("b").alias("i"), x.alias("j")))
+        members = members.select(*what, F.inline(F.concat(inside, outside)))
+        askers = placed.withColumn("cell", F.explode("later")).join(sizes, ["label", "cell"])
+        askers = askers.select(*what, F.lit(False).alias("within"), F.lit(1).alias("side"), F.explode(each("mb")).alias("i"), block("ab").alias("j"))
+        met = members.unionByName(askers).groupBy("label", "cell", "within", "i", "j")
         got = met.applyInPandas(searcher(q, cosine), "a long, b long, n long")
         found = got if found is None else found.unionByName(got)
     if found is None:

@@ -259,6 +259,21 @@ def test_pq_dedup(spark):
     assert pq_dedup.linked_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [200, 4096])
+def test_pq_dedup_finds_links_across_far_lists(spark, monkeypatch, block):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(6, 32))
+    v = np.concatenate([rng.normal(size=(500, 32)), base[rng.integers(0, 6, 2500)] + rng.normal(size=(2500, 32)) * 0.27]).astype(np.float32)
+    label = np.arange(len(v)) % 2
+    x = v.astype(float)
+    links = (x @ x.T / np.sqrt(np.outer((x * x).sum(axis=1), (x * x).sum(axis=1))) >= 0.93) & (label[:, None] == label)
+    ids = list(range(len(v)))
+    expected = list(zip(ids, (links.sum(axis=1) - 1).tolist(), brute.components_of(ids, np.argwhere(np.triu(links, 1)).tolist())))
+    df = spark.createDataFrame([(i, v[i].tolist(), int(label[i])) for i in ids], "vec_id long, embedding array<float>, label int")
+    monkeypatch.setattr(pq_dedup, "BLOCK", block)
+    assert ordered(r[:3] for r in pq_dedup.linked_vectors(df).collect()) == expected
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
