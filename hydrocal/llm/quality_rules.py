@@ -9,7 +9,7 @@ them is depleted and rejected.
 All expressions are Spark's own; nothing runs in Python. Texts are scanned once, and per document only
 its counts and line hashes are written on. Line counts are pre-aggregated, so a line that a third of
 all documents share is a few rows per task. Repeated windows are found by sorting a document's window
-hashes with positions packed into the low bits.
+hashes, all 64 bits of them, with their positions.
 
 Null texts have no words and no lines (and fail the base rule). A null host is a host of its own.
 Rows with equal ids are one document when documents of a line are counted, but each gets a row; rows
@@ -49,13 +49,12 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         df, n_words="cast(size(w) as bigint)", n_dup_lines="cast(size(l) - size(array_distinct(l)) as bigint)",
         lines=f"transform(l, x -> named_struct('h', xxhash64({normal}), 'words', regexp_count(x, '{WORD}')))",
         h="if(size(w) < 3, cast(array() as array<bigint>), transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])))",
-        k="cast(ceil(log2(greatest(size(w), 2))) as int)",
     ).drop("w", "l")
-    df = _step(df, s="if(size(array_distinct(h)) = size(h), cast(array() as array<bigint>), sort_array(transform(h, (x, i) -> shiftleft(shiftright(x, k), k) | cast(i as bigint))))").drop("h")
-    again = "(j > 0 and shiftright(s[j], k) = shiftright(s[j - 1], k)) or (j < size(s) - 1 and shiftright(s[j], k) = shiftright(s[j + 1], k))"
-    places = f"transform(filter(sequence(0, size(s) - 1), j -> {again}), j -> s[j] & (shiftleft(1L, k) - 1))"
+    df = _step(df, s="if(size(array_distinct(h)) = size(h), cast(array() as array<struct<x: bigint, i: int>>), sort_array(transform(h, (x, i) -> named_struct('x', x, 'i', i))))").drop("h")
+    again = "(j > 0 and s[j].x = s[j - 1].x) or (j < size(s) - 1 and s[j].x = s[j + 1].x)"
+    places = f"transform(filter(sequence(0, size(s) - 1), j -> {again}), j -> s[j].i)"
     repeat = f"if(size(s) = 0, 0L, cast(size(array_distinct(flatten(transform({places}, p -> array(p, p + 1, p + 2))))) as bigint))"
-    df = _step(df, n_repeat_words=repeat).drop("s", "k")
+    df = _step(df, n_repeat_words=repeat).drop("s")
     return df.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 

@@ -214,6 +214,13 @@ def test_quality_rules_match_sql(spark, docs, none, monkeypatch):
     assert quality_rules.quality_rules(none).count() == 0
 
 
+def test_quality_rules_compare_whole_hashes_in_long_texts(spark):
+    # The hashes of "q9286622 a b" and "q7116841 a b" differ in their low 18 bits only; the text has one true repeat, of 6 words.
+    text = "q9286622 a b x q7116841 a b r s t y r s t " + " ".join(f"w{i}" for i in range(140_000))
+    df = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    assert quality_rules.base_counts(df).first().n_repeat_words == 6
+
+
 def test_pu_quality(spark, docs, none):
     p, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = pu_quality.scored(p, labels).join(labels, "doc_id").collect()
