@@ -317,11 +317,11 @@ def vector_codes(
         if not last:
             sums, counts, need = _sums(state)
             books = books.improved(sums, counts)
-            b = keep
+            used, b = b, keep
             if turn:
-                keep = adapted(need, b, k)
+                keep = min(b, adapted(need, used, k))
                 if log is not None:
-                    log.append((b, need.tolist()))
+                    log.append((used, need.tolist()))
     return with_label_error(state).select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
