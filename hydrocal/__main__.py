@@ -65,11 +65,11 @@ def main(argv: list[str] | None = None) -> int:
         inp = read_site_folder(spark, a.input)
     weather = ampm_readings(spark.read.parquet(a.pages), run.month, run.year) if a.pages else None
     res = validate(
-        inp.raw,
+        inp.rows,
         a.run_ts,
         weather=weather,
         site_cfg=cfg,
-        files=inp.files,
+        files=inp.listing,
         water_density=a.water_density,
         reference_density=a.reference_density,
     )

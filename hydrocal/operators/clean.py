@@ -21,6 +21,7 @@ from hydrocal.schemas import (
     STAGE_BAD_NUMERIC,
     STAGE_KEPT,
     STAGE_NEGATIVE,
+    STAGE_NO_ROW,
 )
 
 
@@ -29,7 +30,8 @@ def tag_stages(raw: DataFrame) -> DataFrame:
 
     Input columns: site, date_text, time_text, level_text, baro_text, comment, src_file.
     Adds ts (TIMESTAMP_NTZ), level_ft, baro_hpa (DOUBLE, NULL when invalid) and stage (INT);
-    ``malformed`` (row had more fields than its header) is carried, FALSE when absent.
+    ``malformed`` (row had more fields than its header) is carried, FALSE when absent. Rows with a
+    ``file_state`` (folder sources: they stand for a file, not for a reading) have stage 0.
     """
     require_types(raw, {c: T.StringType() for c in ("date_text", "time_text", "level_text", "baro_text")}, "tag_stages")
     parsed = F.struct(
@@ -40,15 +42,18 @@ def tag_stages(raw: DataFrame) -> DataFrame:
     malformed = F.col("malformed") if "malformed" in raw.columns else F.lit(False)
     # Parsed once per row: a one-element inline is a plan barrier for filters on its outputs, so
     # a later filter (on stage, ts, ...) is not rewritten into repeated parsing of the raw text.
+    states = [c for c in ("file_state",) if c in raw.columns]
     out = raw.select(
         "site",
+        *states,
         F.col("comment"),
         "src_file",
         malformed.alias("malformed"),
         F.inline(F.array(parsed)),
-    ).select("site", "ts", "level_ft", "baro_hpa", "comment", "src_file", "malformed")
+    ).select("site", "ts", "level_ft", "baro_hpa", "comment", "src_file", "malformed", *states)
+    stage = F.when(F.col("file_state").isNotNull(), F.lit(STAGE_NO_ROW)) if states else F
     stage = (
-        F.when(F.col("ts").isNull(), F.lit(STAGE_BAD_DATETIME))
+        stage.when(F.col("ts").isNull(), F.lit(STAGE_BAD_DATETIME))
         .when(F.col("level_ft").isNull() | F.col("baro_hpa").isNull(), F.lit(STAGE_BAD_NUMERIC))
         .when(F.col("level_ft") < 0, F.lit(STAGE_NEGATIVE))
         .otherwise(F.lit(STAGE_KEPT))

@@ -63,3 +63,42 @@ def checked_join(
     if small:
         return left.join(F.broadcast(right), on, how)
     return left.join(right, on, how)
+
+
+# Rows of one key that count as many, and salts at most of one key.
+HEAVY_ROWS = 100_000
+MAX_SALTS = 4096
+_TRACKED, _HEAVY_KEYS = 10_000, 256
+
+
+def heavy_hitters(df: DataFrame, keys: list[str], rows_a_task: int = HEAVY_ROWS) -> dict[int, int]:
+    """Key hash -> salts, for keys with more than ``rows_a_task`` rows by a frequent-items sketch: one pass
+    of mergeable sketches, of which at most ``_HEAVY_KEYS`` counts reach the driver. A sketch never counts
+    too few rows of a key that holds a ten-thousandth of them or more, so each key with a large share is found."""
+    sketch = f"approx_top_k(h, {_HEAVY_KEYS}, {_TRACKED})"
+    top = df.select(F.xxhash64(*keys).alias("h")).selectExpr(f"{sketch} AS top").first().top or []
+    return {t["item"]: min(MAX_SALTS, -(-t["count"] // rows_a_task)) for t in top if t["count"] > rows_a_task}
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: list[str], rows_a_task: int = HEAVY_ROWS) -> DataFrame:
+    """Left join on equal ``keys`` (NULL equals NULL), spread also where one key, NULLs included, holds a
+    large share of the left rows.
+
+    Left rows of a heavy key get one of its salts in turn; right rows of the key are repeated once per
+    salt. All other rows have salt 0. Every left row meets every right row of its key exactly once,
+    whatever its salt, so the result is that of the plain join. Right columns other than the keys are
+    added to the left ones.
+    """
+    salts = heavy_hitters(left, keys, rows_a_task)
+    others = [c for c in right.columns if c not in keys]
+    right = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *others)
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    if salts:
+        of = F.create_map(*[F.lit(x) for kv in salts.items() for x in kv])
+        n = F.coalesce(F.try_element_at(of, F.xxhash64(*keys)), F.lit(1))
+        left = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), n))
+        n = F.coalesce(F.try_element_at(of, F.xxhash64(*[f"_r_{k}" for k in keys])), F.lit(1))
+        right = right.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), n - 1))).withColumn("_r_salt", F.col("_r_salt").cast("long"))
+        on.append(F.col("_salt") == F.col("_r_salt"))
+    out = left.join(right, reduce(Column.__and__, on), "left")
+    return out.drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])

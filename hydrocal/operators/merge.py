@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hydrocal.functions import to_number
 from hydrocal.operators.dedup import first_by
+from hydrocal.operators.joins import skew_join
 
 
 def unique_baro(baro: DataFrame) -> DataFrame:
@@ -24,21 +25,11 @@ def merge_level_baro(level: DataFrame, baro: DataFrame) -> DataFrame:
 
     A pressure column already on the level side (a file merged before) is replaced, never
     suffixed. Keys are the raw strings: no parsing happens before the merge. Barometer rows that
-    share a key multiply their level rows; ``unique_baro`` is the separate step that prevents it.
+    share a key multiply their level rows; ``unique_baro`` is the separate step that prevents it. Keys
+    with many level rows (NULL keys among them) are salted (``skew_join``).
     """
-    right = baro.select(
-        F.col("site").alias("_b_site"),
-        F.col("date_text").alias("_b_date"),
-        F.col("time_text").alias("_b_time"),
-        "baro_text",
-    )
-    left = level.drop("baro_text")
-    cond = (
-        left["site"].eqNullSafe(right["_b_site"])
-        & left["date_text"].eqNullSafe(right["_b_date"])
-        & left["time_text"].eqNullSafe(right["_b_time"])
-    )
-    return left.join(right, cond, "left").drop("_b_site", "_b_date", "_b_time")
+    keys = ["site", "date_text", "time_text"]
+    return skew_join(level.drop("baro_text"), baro.select(*keys, "baro_text"), keys)
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:

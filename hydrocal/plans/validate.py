@@ -45,6 +45,7 @@ from hydrocal.schemas import (
     REASON_EMPTY_FILE,
     REFERENCE_DENSITY,
     STAGE_KEPT,
+    STAGE_NO_ROW,
     WATER_DENSITY,
 )
 
@@ -95,6 +96,7 @@ def file_day_summary(tagged: DataFrame) -> DataFrame:
         # A set of at most two values. As an aggregate over objects it also puts the whole aggregation
         # into a hash map of the task's file-days, where min(struct) alone would sort all raw rows.
         F.array_contains(F.collect_set("malformed"), True).alias("has_malformed"),
+        *[F.max(c).alias(c) for c in tagged.columns if c == "file_state"],
         first.alias("first"),
     )
     return summary.select("src_file", file_stem(F.col("src_file")).alias("site"), *summary.columns[1:])
@@ -104,13 +106,21 @@ def file_outcomes(summary: DataFrame) -> DataFrame:
     """Step 3: furthest stage per file and its placeholder reason (NULL when the file has data).
 
     A file with a malformed row (more fields than its header) is unreadable as a whole: it is
-    ``rejected``, yields no rows and gets no placeholder (S6, Q8).
+    ``rejected``, yields no rows and gets no placeholder (S6, Q8). So is a file that lacks a required
+    column; blank files and files of a header alone (S5) have their reasons from ``file_state``.
     """
     sums = [F.sum(c).alias(c) for c in ("n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept")]
     out = summary.groupBy("src_file", "site").agg(
-        F.max("max_stage").alias("max_stage"), *sums, F.bool_or("has_malformed").alias("rejected")
+        F.max("max_stage").alias("max_stage"), *sums, F.bool_or("has_malformed").alias("rejected"),
+        *[F.max(c).alias(c) for c in summary.columns if c == "file_state"],
     )
-    return out.withColumn("reason", F.when(~F.col("rejected"), stage_reason(F.col("max_stage"))))
+    reason = stage_reason(F.col("max_stage"))
+    if "file_state" in summary.columns:
+        no_rows, state = F.col("max_stage") == STAGE_NO_ROW, F.col("file_state")
+        empty = F.when(state == "blank", F.lit(REASON_EMPTY_FILE)).when(state == "bare", F.lit(REASON_CSV_EMPTY))
+        reason = F.when(no_rows, empty).otherwise(reason)
+        out = out.withColumn("rejected", F.col("rejected") | (no_rows & (state == "rejected")))
+    return out.withColumn("reason", F.when(~F.col("rejected"), reason)).drop("file_state")
 
 
 def listing_placeholders(files: DataFrame, outcomes: DataFrame, run_ts) -> DataFrame:
@@ -143,7 +153,7 @@ def validate(
     """Raw text readings -> validated daily table with placeholders, flags and depths.
 
     ``raw``: site (ignored; taken from the file name), date_text, time_text, level_text, baro_text,
-    comment, src_file. ``weather``: date_text, time_text, hpa_text (or pass ``daily_baro``).
+    comment, src_file (and malformed, file_state from a folder source: ``FolderInput.rows``). ``weather``: date_text, time_text, hpa_text (or pass ``daily_baro``).
     ``site_cfg``: site, depth_conversion_type; its sites are the expected sites unless
     ``expected_sites`` is given. ``files``: the file listing of a folder source (see
     ``hydrocal.sources.csv_folder``). ``materialize=False`` skips writing the summary table
@@ -210,7 +220,8 @@ def validate(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) if c == "comment" else F.col(c) for c in FINAL_COLUMNS]
     )
 
-    quality = summary.groupBy("site").agg(
+    readings = summary.where(F.col("max_stage") > STAGE_NO_ROW) if "file_state" in summary.columns else summary
+    quality = readings.groupBy("site").agg(
         *[F.sum(c).alias(c) for c in ("n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept")]
     )
     if site_cfg is not None:
@@ -223,5 +234,5 @@ def validate(
         quality = quality.withColumn("unknown_conversion", F.lit(False))
     rejected = outcomes.where(F.col("rejected")).select("src_file", "site")
     if files is not None:
-        rejected = rejected.unionByName(files.where(F.col("status") == "rejected").select("src_file", "site"))
+        rejected = rejected.unionByName(files.where(F.col("status") == "rejected").select("src_file", "site")).distinct()
     return Validation(final=final, file_outcomes=outcomes, quality=quality, rejected_files=rejected)

@@ -65,6 +65,7 @@ NA_TOKENS = [
 
 # Processing stages a raw reading can reach (C4). A file's placeholder reason is decided by the
 # furthest stage any of its rows reached.
+STAGE_NO_ROW = 0  # stands for a file, not for a reading
 STAGE_BAD_DATETIME = 1
 STAGE_BAD_NUMERIC = 2
 STAGE_NEGATIVE = 3

@@ -1,59 +1,57 @@
-"""Folder-of-CSV sources (S1-S6, S8, S12) feeding the validation.
-
-* Listing (S1, S5): file names and sizes of one folder, non-recursive, through the Hadoop
-  FileSystem API of the session. Only names and sizes pass through the driver, as in any Spark
-  file scan; zero-byte files must be seen here because Spark's scans skip them.
-* Header signatures (S4, §2.1 note b): the first line of every file is taken in one distributed
-  pass, files are grouped by identical header, and each group is read with one
-  ``spark.read.csv`` whose schema lists that header's columns in order, then selected by name.
-  A schema bound by position alone would silently mix columns of files whose headers differ.
-* Malformed rows (S6): a row with more fields than its header makes the whole file unreadable;
-  such rows are marked ``malformed`` and the validation rejects their files.
-* Level/barometer pairs (S8, S12, C1): a manifest names each site's level and barometer file; the
-  level rows get the logger pressure from their barometer file, or none when it is missing.
+"""Folder-of-CSV sources (S1-S6, S8, S12) feeding the validation, as plans over tables.
+
+* Listing (S1, S5): the names that Spark's file index holds, handed to a table in one call, and their
+  sizes from a scan that opens no file. Names that begin with ``_`` or ``.`` are hidden from Spark's scans.
+* Contents (S3, S4, S6): ``csv_text`` reads each file once; header, required columns and rows come out of
+  the same row of a file, so files of any headers mix in one plan.
+* File states: a file that gives no data rows says why in the ``file_state`` of its rows (one at least):
+  ``blank``, ``bare`` (a header and nothing else) or ``rejected`` (a required column is missing). The
+  validation takes the states from the pass that reads the rows. A chunk of a large file without a record
+  is ``bare`` as well; that counts only where a file has no other rows.
+* Malformed rows (S6): a row with more fields than its header, or with a quoted section that nothing
+  closes, makes the whole file unreadable; such rows are marked ``malformed`` and the validation rejects
+  their files.
+* Level/barometer pairs (S8, S12, C1): a manifest names each site's level and barometer file; manifest,
+  files and barometer rows meet in joins.
 """
 
 from __future__ import annotations
 
-import csv
-import io
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from hydrocal.functions.text import file_stem
-from hydrocal.operators.joins import BROADCAST_MAX_BYTES
+from hydrocal.functions.text import base_name, file_stem
+from hydrocal.operators.joins import checked_join
 from hydrocal.operators.merge import merge_level_baro, unique_baro
 from hydrocal.schemas import NA_TOKENS, SRC_BARO, SRC_COMMENT, SRC_DATE, SRC_LEVEL, SRC_TIME
+from hydrocal.session import cut_lineage
+from hydrocal.sources.csv_text import WHOLE_BYTES, decoded, folder_contents, parsed
 
 RAW_COLUMNS = ["site", "date_text", "time_text", "level_text", "baro_text", "comment", "src_file", "malformed"]
-_CORRUPT = "_corrupt_record"
+_TEXTS = {"date_text": SRC_DATE, "time_text": SRC_TIME, "level_text": SRC_LEVEL, "baro_text": SRC_BARO, "comment": SRC_COMMENT}
+_REQUIRED = [SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO]
 
 
 @dataclass
 class FolderInput:
-    """Raw rows plus the file listing the validation needs (``validate(raw=..., files=...)``)."""
+    """What the validation needs of a folder: ``validate(raw=inp.rows, files=inp.listing)`` reads it once."""
 
-    raw: DataFrame  # RAW_COLUMNS
-    files: DataFrame  # src_file, site, status (ok | zero_bytes | rejected)
+    rows: DataFrame  # RAW_COLUMNS and file_state: data rows (file_state NULL) and rows of files that give none
+    listing: DataFrame  # src_file, site, status (zero_bytes | ok) by size alone
 
+    @property
+    def raw(self) -> DataFrame:
+        """The data rows alone (RAW_COLUMNS)."""
+        return self.rows.where(F.col("file_state").isNull()).select(*RAW_COLUMNS)
 
-def list_files(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:
-    """Non-recursive (path, name, size) of the plain files in ``folder``."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        if st.isFile():
-            p = st.getPath()
-            out.append((p.toString(), p.getName(), int(st.getLen())))
-    return out
+    @property
+    def files(self) -> DataFrame:
+        """src_file, site, status (ok | zero_bytes | rejected). Evaluating it reads the files."""
+        states = self.rows.groupBy("src_file").agg(F.max("file_state").alias("file_state"))
+        status = F.when(F.col("file_state") == "rejected", "rejected").when(F.col("file_state") == "blank", "zero_bytes").otherwise(F.col("status"))
+        return self.listing.join(states, "src_file", "left").select("src_file", "site", status.alias("status"))
 
 
 def folder_exists(spark: SparkSession, folder: str) -> bool:
@@ -63,231 +61,105 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return bool(fs.exists(path) and fs.getFileStatus(path).isDirectory())
 
 
-def is_site_file(name: str) -> bool:
-    """Name ends with ``.csv`` and does not start with ``baro`` (both case-insensitive)."""
-    low = name.lower()
-    return low.endswith(".csv") and not low.startswith("baro")
-
-
-def file_path() -> F.Column:
-    """``_metadata.file_path`` in the listing's form. The metadata column is URI-encoded
-    (``Site%201.csv``); percent sequences are decoded and a literal ``+`` is kept."""
-    return F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
-
-
-def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(src_file, header, has_rows): the first line of each file that is not blank, and whether another
-    such line follows, in one distributed pass over the text. Files of blank lines only are absent.
+def folder_files(spark: SparkSession, folder: str) -> DataFrame:
+    """src_file, name, size of the files of a folder (not of its subfolders).
 
-    Only lines of each file's first split count; within a split lines keep file order, so the
-    smallest row id among them is the first line.
+    The names pass from the file index into a table inside the JVM, in as many calls for a million files
+    as for one. Scans leave files without bytes out, so a file that the scan of sizes lacks has none.
     """
-    if not paths:
-        return spark.createDataFrame([], "src_file string, header string, has_rows boolean")
-    lines = spark.read.text(paths).select(
-        file_path().alias("src_file"),
-        F.col("value"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("rid"),
-    )
-    return (
-        lines.where((F.col("block") == 0) & F.col("value").rlike(r"\S"))
-        .groupBy("src_file")
-        .agg(F.min_by("value", "rid").alias("header"), (F.count(F.lit(1)) > 1).alias("has_rows"))
-    )
+    scan = spark.read.format("binaryFile").load(folder)
+    names = Column(spark.sparkContext._jvm.org.apache.spark.sql.functions.lit(scan._jdf.inputFiles()))
+    names = spark.range(1, numPartitions=1).select(F.explode(names.cast("array<string>")).alias("url")).select(decoded(F.col("url")).alias("src_file"))
+    sizes = scan.select(F.regexp_replace("path", "^file:/+", "file:/").alias("src_file"), "length")
+    listed = names.join(sizes, "src_file", "left")
+    return listed.select("src_file", base_name(F.col("src_file")).alias("name"), F.coalesce("length", F.lit(0)).alias("size"))
 
 
-def parse_header(line: str | None) -> list[str]:
-    """Column names of a header line (CSV quoting rules), de-duplicated like a CSV reader does
-    (``a, a`` -> ``a, a.1``)."""
-    if line is None or not line.strip():
-        return []
-    names = next(csv.reader(io.StringIO(line)))
-    seen: dict[str, int] = {}
-    out = []
-    for n in names:
-        if n in seen:
-            seen[n] += 1
-            out.append(f"{n}.{seen[n]}")
-        else:
-            seen[n] = 0
-            out.append(n)
-    return out
-
-
-def _field_count(col) -> F.Column:
-    """Number of fields of a raw CSV line (quoted sections may hold commas)."""
-    return F.size(F.split(F.regexp_replace(col, r'"(?:[^"]|"")*"', ""), ","))
-
-
-def read_signature(spark: SparkSession, files: list[str], names: list[str]) -> DataFrame:
-    """All files sharing one header: columns bound by position to that header's names, then
-    exposed by name. Adds ``src_file`` and ``malformed``: more fields than the header, or a quoted
-    section that its line does not close (rows are lines here, so such a file is rejected whole).
-
-    Quotes inside quotes are doubled, as the exports write them. Column pruning is off: the parser
-    would otherwise not see surplus fields of rows whose extra columns nobody selects."""
-    safe = [f"c{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(s, T.StringType()) for s in safe] + [T.StructField(_CORRUPT, T.StringType())])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("escape", '"')
-        .option("columnPruning", "false")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .csv(files)
-    )
-    # NA tokens of the exports become NULL (S3); values keep their text otherwise.
-    cols = [F.when(~F.col(s).isin(NA_TOKENS), F.col(s)).alias(n) for s, n in zip(safe, names)]
-    corrupt = F.col(_CORRUPT)
-    open_quote = F.pmod(F.regexp_count(corrupt, F.lit('"')), F.lit(2)) == 1
-    malformed = F.coalesce((_field_count(corrupt) > F.lit(len(names))) | open_quote, F.lit(False))
-    return df.select(*cols, file_path().alias("src_file"), malformed.alias("malformed"))
-
-
-def _to_raw(df: DataFrame, names: list[str]) -> DataFrame:
-    def pick(n):
-        return F.col(f"`{n}`") if n in names else F.lit(None).cast("string")
-
-    return df.select(
-        F.lit(None).cast("string").alias("site"),
-        pick(SRC_DATE).alias("date_text"),
-        pick(SRC_TIME).alias("time_text"),
-        pick(SRC_LEVEL).alias("level_text"),
-        pick(SRC_BARO).alias("baro_text"),
-        pick(SRC_COMMENT).alias("comment"),
-        "src_file",
-        "malformed",
-    )
+def is_site_file(name: Column) -> Column:
+    """Name ends with ``.csv`` and does not start with ``baro`` (both case-insensitive)."""
+    return F.lower(name).endswith(".csv") & ~F.lower(name).startswith("baro")
 
 
-def signatures(spark: SparkSession, paths: list[str]) -> list[tuple[str, list[str], set[str]]]:
-    """Distinct header lines with their files, and those of them without a data line.
+def _listing(files: DataFrame) -> DataFrame:
+    status = F.when(F.col("size") == 0, "zero_bytes").otherwise("ok")
+    return files.select("src_file", file_stem(F.col("src_file")).alias("site"), status.alias("status"))
 
-    One (path, header) pair per file reaches the driver, the same size as the listing the
-    driver already holds (``spark.read.csv`` needs the paths there anyway); no task gathers a
-    list of paths.
-    """
-    groups: dict[str, tuple[list[str], set[str]]] = {}
-    for r in file_headers(spark, paths).collect():
-        files, bare = groups.setdefault(r["header"], ([], set()))
-        files.append(r["src_file"])
-        if not r["has_rows"]:
-            bare.add(r["src_file"])
-    return [(h, *groups[h]) for h in sorted(groups)]
+
+def _texts() -> list[Column]:
+    """The NA tokens of the exports become NULL (S3); values keep their text otherwise."""
+    return [F.when(~F.col(c).isin(NA_TOKENS), F.col(c)).alias(c) for c in _TEXTS]
 
 
-def read_site_folder(spark: SparkSession, folder: str, required: list[str] | None = None) -> FolderInput:
+def read_site_folder(spark: SparkSession, folder: str, required: list[str] | None = None, whole_bytes: int = WHOLE_BYTES) -> FolderInput:
     """The validation input of a folder of merged site files.
 
-    Files missing a required column are ``rejected`` (no placeholder, Q8); zero-byte and blank
-    files are ``zero_bytes`` (``Empty file`` placeholder); the others are ``ok``. A folder that
-    does not exist raises ``FileNotFoundError`` (S11: the run stops without output).
+    Files missing a required column are ``rejected`` (no placeholder, Q8); files without bytes or of blank
+    lines are ``zero_bytes`` (``Empty file`` placeholder); the others are ``ok``. A folder that does not
+    exist raises ``FileNotFoundError`` (S11: the run stops without output).
     """
-    required = required or [SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO]
     if not folder_exists(spark, folder):
         raise FileNotFoundError(f"input folder not found: {folder}")  # S11: no run, no output
-    rows = [r for r in list_files(spark, folder) if is_site_file(r[1])]  # names and sizes only
-    nonempty = [path for path, _, size in rows if size > 0]
-    status: dict[str, str] = {path: "zero_bytes" for path, _, size in rows if size == 0}
-    frames = []
-    sigs = signatures(spark, nonempty)
-    seen = set()
-    for header, files, bare in sigs:
-        seen.update(files)
-        names = parse_header(header)
-        if not names:
-            status.update({f: "zero_bytes" for f in files})
-            continue
-        if any(c not in names for c in required):
-            # A file without rows is empty before its columns matter.
-            status.update({f: "ok" if f in bare else "rejected" for f in files})
-            continue
-        status.update({f: "ok" for f in files})
-        frames.append(_to_raw(read_signature(spark, files, names), names))
-    # Files with bytes but no line at all (e.g. only blank lines) read as empty.
-    status.update({f: "zero_bytes" for f in nonempty if f not in seen})
-    files_df = spark.createDataFrame(list(status.items()), "src_file string, status string").withColumn(
-        "site", file_stem(F.col("src_file"))
+    required = required or _REQUIRED
+    names = _TEXTS | {f"need_{i}": c for i, c in enumerate(required)}
+    rows = parsed(folder_contents(spark, folder, is_site_file, whole_bytes), names)
+    complete = F.lit(True)
+    for i in range(len(required)):
+        complete &= F.col(f"has_need_{i}")
+    state = (
+        F.when(F.col("n_columns") == 0, "blank")
+        .when(F.col("record").isNull(), "bare")  # a file without rows is empty before its columns matter
+        .when(~complete, "rejected")
     )
-    raw = reduce(DataFrame.unionByName, frames) if frames else _empty_raw(spark)
-    return FolderInput(raw=raw, files=files_df)
+    rows = rows.select(F.lit(None).cast("string").alias("site"), *_texts(), "src_file", (F.col("malformed") & state.isNull()).alias("malformed"), state.alias("file_state"))
+    files = folder_files(spark, folder).where(is_site_file(F.col("name")))
+    return FolderInput(rows=rows, listing=_listing(files))
 
 
-def _empty_raw(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], ", ".join(f"{c} string" for c in RAW_COLUMNS[:-1]) + ", malformed boolean")
-
-
-def read_pairs(spark: SparkSession, folder: str, manifest: DataFrame) -> FolderInput:
+def read_pairs(spark: SparkSession, folder: str, manifest: DataFrame, whole_bytes: int = WHOLE_BYTES) -> FolderInput:
     """S8 + S12 + C1: merge each site's level file with its barometer file (validation input).
 
     ``manifest``: main_csv, baro_csv (file names inside ``folder``; one row per configured site).
     A missing level file skips the pair. A missing, empty or unreadable barometer file leaves the
     level file unmerged: it is then rejected unless it already carries a pressure column. A
-    pressure column already on a level file that is merged is replaced (Q11).
+    pressure column already on a level file that is merged is replaced (Q11). Of several manifest rows
+    for one level file the one with the smallest barometer name counts.
+
+    The barometer files are read once, into a table of one row per key; the level files are read by the
+    plan that is returned. Names meet files in joins that broadcast only what was measured.
     """
     if not folder_exists(spark, folder):
         raise FileNotFoundError(f"input folder not found: {folder}")  # S11: no run, no output
-    by_name = {name: (path, size) for path, name, size in list_files(spark, folder)}
-    pairs = [(r["main_csv"], r["baro_csv"]) for r in manifest.select("main_csv", "baro_csv").collect()]
-    pairs = [(m, b) for m, b in pairs if m in by_name]
-
-    baro_paths = sorted({by_name[b][0] for _, b in pairs if b in by_name and by_name[b][1] > 0})
-    need_baro = (SRC_DATE, SRC_TIME, SRC_BARO)
-    baro_frames, good_baro = [], set()
-    for header, files, _ in signatures(spark, baro_paths):
-        names = parse_header(header)
-        if all(c in names for c in need_baro):
-            good_baro.update(files)
-            baro_frames.append(
-                read_signature(spark, files, names).select(
-                    F.col("src_file").alias("_pair"),
-                    F.col(f"`{SRC_DATE}`").alias("date_text"),
-                    F.col(f"`{SRC_TIME}`").alias("time_text"),
-                    F.col(f"`{SRC_BARO}`").alias("baro_text"),
-                )
-            )
-    pair_of = {
-        by_name[m][0]: by_name[b][0] for m, b in pairs if b in by_name and by_name[b][0] in good_baro
-    }
-
-    level_paths = sorted({by_name[m][0] for m, _ in pairs})
-    status = {p: "zero_bytes" for p in level_paths if by_name[p.rsplit("/", 1)[-1]][1] == 0}
-    nonempty = [p for p in level_paths if p not in status]
-    frames, merged_frames = [], []
-    for header, files, bare in signatures(spark, nonempty):
-        names = parse_header(header)
-        if not names:
-            status.update({f: "zero_bytes" for f in files})
-            continue
-        merged_files = [f for f in files if f in pair_of and SRC_DATE in names and SRC_TIME in names]
-        has_all = all(c in names for c in (SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO))
-        for f in files:
-            ok = SRC_LEVEL in names and SRC_DATE in names and SRC_TIME in names and (f in merged_files or has_all)
-            status[f] = "ok" if ok or f in bare else "rejected"
-        kept = [f for f in files if status[f] == "ok" and f not in bare]
-        merged_files = [f for f in merged_files if f in set(kept)]
-        unmerged = sorted(set(kept) - set(merged_files))
-        if unmerged:
-            frames.append(_to_raw(read_signature(spark, unmerged, names), names).select(*RAW_COLUMNS))
-        if merged_files:
-            lv = _to_raw(read_signature(spark, merged_files, names), names)
-            pair_df = spark.createDataFrame(
-                [(f, pair_of[f]) for f in merged_files], "src_file string, _pair string"
-            )
-            # the pair table's size is known here; broadcast it only under the common limit
-            small = sum(100 + len(f) + len(pair_of[f]) for f in merged_files) <= BROADCAST_MAX_BYTES
-            left = lv.join(F.broadcast(pair_df) if small else pair_df, "src_file", "inner")
-            merged_frames.append(left.withColumn("site", F.col("_pair")).drop("_pair"))
-    if merged_frames:
-        # One merge for all header groups. Of several barometer rows with one key, the later
-        # keep-first would choose the lowest valid pressure, so only that one is merged.
-        right = unique_baro(reduce(DataFrame.unionByName, baro_frames).withColumnRenamed("_pair", "site"))
-        merged = merge_level_baro(reduce(DataFrame.unionByName, merged_frames), right)
-        frames.append(merged.withColumn("site", F.lit(None).cast("string")).select(*RAW_COLUMNS))
-    files_df = spark.createDataFrame(list(status.items()), "src_file string, status string").withColumn(
-        "site", file_stem(F.col("src_file"))
-    )
-    raw = reduce(DataFrame.unionByName, frames) if frames else _empty_raw(spark)
-    return FolderInput(raw=raw, files=files_df)
+    pairs = manifest.where(F.col("main_csv").isNotNull()).groupBy(F.col("main_csv").alias("name")).agg(F.min("baro_csv").alias("pair"))
+    pairs = cut_lineage(pairs, "pairs")
+    any_file = lambda name: F.lit(True)
+
+    def named(wanted: DataFrame) -> DataFrame:
+        found = folder_contents(spark, folder, any_file, whole_bytes).withColumn("name", base_name(F.col("src_file")))
+        return checked_join(found, wanted, "name", "inner")
+
+    baro = parsed(named(pairs.where("pair is not null").select(F.col("pair").alias("name")).distinct()), _TEXTS)
+    readable = F.col("has_date_text") & F.col("has_time_text") & F.col("has_baro_text")
+    baro = baro.where(readable).select(F.col("name").alias("site"), *_texts(), "malformed", F.col("record").isNull().alias("bare"))
+    # Of several barometer rows with one key, the later keep-first would choose the lowest valid pressure,
+    # so only that one is merged. One row per file without key says that the file can be merged.
+    kept = unique_baro(baro.where("not bare").select("site", "date_text", "time_text", "baro_text"))
+    whole = baro.groupBy("site").agg(F.bool_or("malformed").alias("malformed"))
+    table = cut_lineage(kept.withColumn("good", F.lit(None).cast("boolean")).unionByName(
+        whole.select("site", (~F.col("malformed")).alias("good")), allowMissingColumns=True), "barometers")
+    good = table.where("good").select(F.col("site").alias("pair"), F.lit(True).alias("has_pair"))
+
+    level = checked_join(parsed(named(pairs), _TEXTS), good, "pair", "left")
+    merged = F.coalesce(F.col("has_pair"), F.lit(False)) & F.col("has_date_text") & F.col("has_time_text")
+    complete = F.col("has_date_text") & F.col("has_time_text") & F.col("has_level_text") & (merged | F.col("has_baro_text"))
+    state = F.when(F.col("n_columns") == 0, "blank").when(F.col("record").isNull(), "bare").when(~complete, "rejected")
+    rows = level.select(
+        F.when(merged & state.isNull(), F.col("pair")).alias("site"), *_texts(), "src_file",
+        (F.col("malformed") & state.isNull()).alias("malformed"), state.alias("file_state"),
+    ).withColumn("own_baro", F.col("baro_text"))
+    # Rows that stay unmerged have no site, which no barometer row has: they keep their own pressure.
+    pressures = table.where("good is null").select("site", "date_text", "time_text", "baro_text")
+    out = merge_level_baro(rows, pressures)
+    out = out.withColumn("baro_text", F.when(F.col("site").isNull(), F.col("own_baro")).otherwise(F.col("baro_text")))
+    out = out.withColumn("site", F.lit(None).cast("string"))
+    files = checked_join(folder_files(spark, folder), pairs.select("name"), "name", "inner")
+    return FolderInput(rows=out.select(*RAW_COLUMNS, "file_state"), listing=_listing(files))

@@ -212,7 +212,7 @@ def test_file_names_with_special_characters(spark, tmp_path):
 
 def test_folder_reader_on_odd_files(spark, tmp_path):
     """Blank first lines, doubled quotes, a header-only file that lacks a column, surplus fields next to
-    an unused column, and a quoted section that a line does not close."""
+    an unused column, a quoted section over two lines and one that nothing closes."""
     from hydrocal.schemas import SRC_BARO, SRC_COMMENT, SRC_DATE, SRC_LEVEL, SRC_TIME
 
     head = [SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO, SRC_COMMENT]
@@ -225,19 +225,21 @@ def test_folder_reader_on_odd_files(spark, tmp_path):
         "bare.csv": f"{SRC_DATE},{SRC_TIME}\n",
         "lacks.csv": f"{SRC_DATE},{SRC_TIME}\n01/02/2026,10:00:00\n",
         "surplus.csv": f"{line},Temp\n{row}x,9\n{row}x,9,9\n",
-        "open.csv": f'{line}\n{row}"two\nlines"\n',
+        "lines.csv": f'{line}\n{row}"two\nlines"\n',
+        "open.csv": f'{line}\n{row}"two\nlines\n',
         "only_blank.csv": "\n\n",
     }
     for name, text in files.items():
         (tmp_path / name).write_text(text)
     inp = read_site_folder(spark, str(tmp_path))
     status = {r.site: r.status for r in inp.files.collect()}
-    assert status == {"blank": "ok", "quotes": "ok", "back": "ok", "bare": "ok", "lacks": "rejected", "surplus": "ok", "open": "ok", "only_blank": "zero_bytes"}
+    assert status == {"blank": "ok", "quotes": "ok", "back": "ok", "bare": "ok", "lacks": "rejected", "surplus": "ok", "open": "ok", "lines": "ok", "only_blank": "zero_bytes"}
     raw = {}
     for r in inp.raw.collect():
         raw.setdefault(r.src_file.rsplit("/", 1)[-1], []).append((r.comment, r.malformed))
     assert raw["blank.csv"] == [("ok", False)]
     assert raw["quotes.csv"] == [('say "hi", there', False)]
+    assert raw["lines.csv"] == [("two\nlines", False)]
     assert raw["back.csv"] == [("a\\b", False)]
     assert any(m for _, m in raw["surplus.csv"]) and any(m for _, m in raw["open.csv"])
 
