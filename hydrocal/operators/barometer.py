@@ -9,7 +9,7 @@ from hydrocal.functions import day_month_year_text, parse_date_time, to_number
 from hydrocal.operators.dedup import first_per_day
 from hydrocal.operators.joins import checked_join
 from hydrocal.schemas import AM_CELL, AM_TIME, PM_CELL, PM_TIME, SUMMARY_LABELS
-from hydrocal.sources.html_tables import html_table_rows
+from hydrocal.sources.html_tables import picked_cells
 
 
 def _reading(time_text: str, cells, idx: int):
@@ -21,17 +21,20 @@ def _reading(time_text: str, cells, idx: int):
     )
 
 
-def unpivot_ampm(rows: DataFrame, month: int, year: int, cells_col: str = "cells", keys: list[str] | None = None) -> DataFrame:
+def unpivot_ampm(
+    rows: DataFrame, month: int, year: int, cells_col: str = "cells", keys: list[str] | None = None, at: tuple[int, int, int] = (0, AM_CELL, PM_CELL)
+) -> DataFrame:
     """U4: one table row -> up to two (date_text, time_text, hpa_text) readings.
 
     Day cells must be digits (P12, summary labels drop out); the date is the day number in the
-    report month (F10); impossible days are rejected later by the strict parser.
+    report month (F10); impossible days are rejected later by the strict parser. ``at``: places of the
+    day, morning and afternoon cells.
     """
     keys = keys or []
     cells = F.col(cells_col)
-    day = F.try_element_at(cells, F.lit(1))
+    day = F.try_element_at(cells, F.lit(at[0] + 1))
     pairs = F.filter(
-        F.array(_reading(AM_TIME, cells, AM_CELL), _reading(PM_TIME, cells, PM_CELL)),
+        F.array(_reading(AM_TIME, cells, at[1]), _reading(PM_TIME, cells, at[2])),
         lambda x: x["ok"],
     )
     return (
@@ -41,9 +44,11 @@ def unpivot_ampm(rows: DataFrame, month: int, year: int, cells_col: str = "cells
     )
 
 
-def ampm_readings(pages: DataFrame, month: int, year: int, html_col: str = "html") -> DataFrame:
-    """Weather pages -> (date_text, time_text, hpa_text) readings."""
-    return unpivot_ampm(html_table_rows(pages, html_col), month, year)
+def ampm_readings(pages: DataFrame, month: int, year: int, html_col: str = "html", keys: list[str] | None = None) -> DataFrame:
+    """Weather pages -> (keys..., date_text, time_text, hpa_text) readings. Of each table row the three
+    cells that count are made into text, no others."""
+    cells = picked_cells(pages, [0, AM_CELL, PM_CELL], html_col, keys)
+    return unpivot_ampm(cells, month, year, keys=keys, at=(0, 1, 2))
 
 
 def daily_barometer(weather: DataFrame) -> DataFrame:

@@ -19,10 +19,12 @@ from hydrocal.operators.gaps import latest_per_site, missing_site_placeholders,
 from hydrocal.operators.merge import merge_level_baro, union_by_name
 from hydrocal.operators.quality import quality_counts, rows_per_site, run_metrics, run_summary, site_status
 from hydrocal.plans.validate import Validation, file_day_summary, file_outcomes, listing_placeholders, validate
+from hydrocal.schemas import REASON_EMPTY_FILE
 from hydrocal.session import table
 from hydrocal.sinks.reports import report_main, report_upload
 from hydrocal.sources import standins as S
-from hydrocal.sources.html_tables import html_items, html_table_rows
+from hydrocal.sources.csv_folder import read_pairs, read_site_folder
+from hydrocal.sources.html_tables import html_items
 from hydrocal.sources.site_config import config_from_json, manifest_from_json
 
 # Run parameters of the demonstrations (the events cover January 2024, orders 1995-2001).
@@ -254,12 +256,21 @@ def q_unpivot_ampm(spark, sf):
 
 def q_weather_readings(spark, sf):
     """S9 + C2 + F10: station pages -> table rows -> AM/PM readings with their parsed time."""
-    rows = html_table_rows(S.weather_pages(spark, sf), keys=["event_id"])
-    out = unpivot_ampm(rows, EVENTS_MONTH, EVENTS_YEAR, keys=["event_id"])
+    return _readings(S.weather_pages(spark, sf))
+
+
+def _readings(pages):
+    out = ampm_readings(pages, EVENTS_MONTH, EVENTS_YEAR, keys=["event_id"])
     ts = parse_date_time(F.col("date_text"), F.col("time_text"))
     return out.select("event_id", "date_text", "time_text", ts.alias("ts"), to_number(F.col("hpa_text")).alias("hpa"))
 
 
+def q_weather_markup(spark, sf):
+    """S9 + F18 + C2: readings from pages with commented-out and nested tables, missing end tags, scripts
+    and character references."""
+    return _readings(S.odd_weather_pages(spark, sf))
+
+
 def q_weather_daily(spark, sf):
     """C2 + C3: station pages -> one pressure per day."""
     return daily_barometer(ampm_readings(S.weather_pages(spark, sf), EVENTS_MONTH, EVENTS_YEAR))
@@ -312,6 +323,24 @@ def q_listing_placeholders(spark, sf):
     return out.select("site", "ts", "comment", "src_file", "flag")
 
 
+def q_folder_outcomes(spark, sf):
+    """Outcome of each file of a landing folder that Spark writes from the events: comments over
+    several lines, a missing column, a surplus field, a header alone, no bytes."""
+    inp = read_site_folder(spark, S.site_folder(spark, sf))
+    out = file_outcomes(file_day_summary(tag_stages(inp.rows)))
+    counts = ["n_bad_datetime", "n_bad_numeric", "n_negative", "n_kept"]
+    out = inp.listing.join(out.drop("site"), "src_file", "left")
+    reason = F.when(F.col("status") == "zero_bytes", F.lit(REASON_EMPTY_FILE)).otherwise(F.col("reason"))
+    return out.select(S.file_number().alias("file"), *[F.when(~F.col("rejected"), F.col(c)).otherwise(0).alias(c) for c in counts], F.coalesce("rejected", F.lit(False)).alias("rejected"), reason.alias("reason"))
+
+
+def q_folder_pairs(spark, sf):
+    """Level files merged with their barometer files, from a folder and manifest that Spark
+    writes from the events; hours without a date are equal keys, and comments have line breaks."""
+    rows = read_pairs(spark, *S.pair_folder(spark, sf)).raw
+    return rows.select(S.file_number().alias("file"), "date_text", "time_text", "level_text", "baro_text", "comment")
+
+
 def q_site_status(spark, sf):
     """Typed status per site of the validated table."""
     v = _validation(spark, sf)
@@ -330,6 +359,8 @@ def q_run_metrics(spark, sf):
 
 QUERIES = {
     "listing_placeholders": q_listing_placeholders,
+    "folder_outcomes": q_folder_outcomes,
+    "folder_pairs": q_folder_pairs,
     "first_per_site_day": q_first_per_site_day,
     "first_per_day": q_first_per_day,
     "stream_first_per_site_day": q_stream_first_per_site_day,
@@ -354,6 +385,7 @@ QUERIES = {
     "union_by_name": q_union_by_name,
     "unpivot_ampm": q_unpivot_ampm,
     "weather_readings": q_weather_readings,
+    "weather_markup": q_weather_markup,
     "weather_daily": q_weather_daily,
     "html_items": q_html_items,
     "validate": q_validate,

@@ -378,6 +378,17 @@ def _sql() -> dict[str, str]:
         "SELECT day, hpa AS bom_hpa FROM (SELECT CAST(ts AS DATE) AS day, hpa, row_number() OVER "
         "(PARTITION BY CAST(ts AS DATE) ORDER BY ts, hpa) AS n FROM z WHERE ts IS NOT NULL) WHERE n = 1"
     )
+    out["weather_markup"] = (
+        f"WITH ev AS (SELECT event_id, {K} AS k, day(ts) AS d, CAST(value AS VARCHAR) AS am, CAST({K} AS VARCHAR) AS pm FROM events), "
+        "r AS (SELECT event_id, CAST(d AS VARCHAR) AS day_text, am, pm FROM ev WHERE k % 7 <> 1 "
+        "UNION ALL SELECT event_id, CAST(d + 1 AS VARCHAR), pm, am FROM ev WHERE k % 7 = 2 "
+        "UNION ALL SELECT event_id, d || am || pm, '', '' FROM ev WHERE k % 7 = 1), "
+        "u AS (SELECT event_id, day_text, '12:00:00' AS time_text, am AS hpa_text FROM r "
+        "UNION ALL SELECT event_id, day_text, '18:00:00', pm FROM r), "
+        f"w AS (SELECT event_id, {report_day('day_text')} AS date_text, time_text, TRY_CAST(hpa_text AS DOUBLE) AS hpa FROM u "
+        "WHERE regexp_full_match(day_text, '[0-9]+') AND TRY_CAST(hpa_text AS DOUBLE) <> 0) "
+        "SELECT event_id, date_text, time_text, try_strptime(date_text || ' ' || time_text, '%d/%m/%Y %H:%M:%S') AS ts, hpa FROM w"
+    )
     out["unpivot_ampm"] = (
         f"WITH ev AS (SELECT event_id, event_type, {K} AS k, ts, value FROM events), "
         "r AS (SELECT event_id, CASE WHEN event_type = 'view' THEN 'Mean' ELSE CAST(day(ts) AS VARCHAR) END AS day_text, "
@@ -422,6 +433,24 @@ def _sql() -> dict[str, str]:
         f"SELECT src_file, site, max_stage, n_bad_datetime, n_bad_numeric, n_negative, n_kept, "
         f"{stage_reason('max_stage')} AS reason FROM outcomes"
     )
+    out["folder_outcomes"] = f"WITH {raw_rendering()}" + (
+        ", g AS (SELECT CAST(site AS INTEGER) % 24 AS file, count(*) FILTER (WHERE stage = 1) AS n_bad_datetime, "
+        "count(*) FILTER (WHERE stage = 2) AS n_bad_numeric, count(*) FILTER (WHERE stage = 3) AS n_negative, "
+        "count(*) FILTER (WHERE stage = 4) AS n_kept, max(stage) AS max_stage FROM tagged WHERE CAST(site AS INTEGER) % 24 < 20 GROUP BY 1) "
+        f"SELECT file, n_bad_datetime, n_bad_numeric, n_negative, n_kept, FALSE AS rejected, {stage_reason('max_stage')} AS reason FROM g "
+        "UNION ALL SELECT f, 0, 0, 0, 0, count(site) > 0, "  # a file without rows is empty before its columns matter
+        f"CASE WHEN count(site) = 0 THEN {q(REASON_CSV_EMPTY)} END FROM (VALUES (20), (21)) v(f) LEFT JOIN tagged ON CAST(site AS INTEGER) % 24 = f GROUP BY f "
+        f"UNION ALL SELECT 0, 0, 0, 0, 0, FALSE, {q(REASON_CSV_EMPTY)} UNION ALL SELECT 23, 0, 0, 0, 0, FALSE, {q(REASON_EMPTY_FILE)}"
+    )
+    out["folder_pairs"] = (
+        f"WITH ev AS (SELECT user_id % 16 AS file, event_id, event_type, {K} AS k, strftime(ts, '%H:00:00') AS time_text, "
+        f"CASE WHEN {K} >= 3 THEN strftime(ts, '%d/%m/%Y') END AS date_text FROM events WHERE user_id % 16 % 5 < 3), "
+        "b AS (SELECT file, date_text, time_text, min(900 + event_id % 150) AS p FROM ev WHERE k % 3 = 0 GROUP BY ALL) "
+        "SELECT CAST(ev.file AS INTEGER) AS file, ev.date_text, ev.time_text, CAST(event_id % 1000 AS VARCHAR) AS level_text, "
+        "CAST(p AS VARCHAR) AS baro_text, CASE WHEN k % 10 = 0 THEN 'seen \"twice\",' || chr(10) || 'reading ' || event_id END AS comment "
+        "FROM ev LEFT JOIN b ON ev.file = b.file AND ev.time_text = b.time_text AND ev.date_text IS NOT DISTINCT FROM b.date_text "
+        "WHERE event_type <> 'signup'"
+    )
     out["site_status"] = vctes + (
         ", ps AS (SELECT site, count(*) FILTER (WHERE flag IS NULL) AS n_data_rows, "
         "count(*) FILTER (WHERE flag IS NOT NULL) AS n_flag_rows FROM final GROUP BY site) "

@@ -19,11 +19,12 @@ non-padded dates and times; [30,35) levels in exponent notation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrocal.session import table
-from hydrocal.sources.csv_folder import folder_exists
+from hydrocal.schemas import SRC_BARO, SRC_COMMENT, SRC_DATE, SRC_LEVEL, SRC_TIME
+from hydrocal.session import scratch_path, table
+from hydrocal.sources.csv_folder import folder_exists, folder_files
 
 def K():
     """The integer ``k`` of an event's flat ``props`` object ``{"k": <int>}`` (a regex read: the
@@ -35,6 +36,15 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt to all cores where the input has fewer splits than there are cores: pages are far larger
+    than the events that they are made of."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    splits = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) / (128 << 20)
+    return df.repartition(cores) if splits < cores else df
+
+
 def logger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).where(F.col("event_type") != "signup")
 
@@ -181,7 +191,11 @@ def weather_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     the day of month, cell 15 the morning hPa, cell 21 the afternoon hPa. ``view`` rows are
     summary rows (``Mean``), ``error`` rows stop after cell 15, ``click`` rows read ``0`` in the
     morning; the afternoon value is ``k`` (so ``k = 0`` reads ``0``)."""
-    ev = _events(spark, sf_dir).withColumn("k", K())
+    return _weather_cells(spark, sf_dir).select("event_id", "cells")
+
+
+def _weather_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _spread(_events(spark, sf_dir)).withColumn("k", K())
     et = F.col("event_type")
     day = F.when(et == "view", F.lit("Mean")).otherwise(F.dayofmonth("ts").cast("string"))
     am = F.when(et == "click", F.lit("0")).otherwise(F.col("value").cast("string"))
@@ -189,15 +203,123 @@ def weather_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     filler = [F.lit("") for _ in range(14)]
     cells = F.array(day, *filler, am, *[F.lit("") for _ in range(5)], pm)
     cells = F.when(et == "error", F.slice(cells, 1, 16)).otherwise(cells)
-    return ev.select("event_id", cells.alias("cells"))
+    return ev.select("event_id", "k", cells.alias("cells"))
 
 
 def weather_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Station pages (event_id, html), one per event, each with one row of a weather table. Day cells
     are those of ``weather_table_rows`` but for ``k`` of 0, 1 and 2: ``0``, ``123`` and ``31``."""
-    rows = weather_table_rows(spark, sf_dir).join(_events(spark, sf_dir).select("event_id", K().alias("k")), "event_id")
+    rows = _weather_cells(spark, sf_dir)
     odd = F.when(F.col("k") == 0, "0").when(F.col("k") == 1, "123").when(F.col("k") == 2, "31").otherwise(F.col("cells")[0])
     others = F.slice("cells", F.lit(2), F.size("cells") - 1)
     cells = F.concat(F.lit("<th> "), odd, F.lit("</th><td>"), F.array_join(others, "</td><td>"), F.lit("</td>"))
     head = "<html><body><table class='menu'><tr><td>1</td></tr></table><table class=\"wide data\"><thead><tr><th>Day</th></tr></thead><tbody><tr>"
     return rows.select("event_id", F.concat(F.lit(head), cells, F.lit("</tr></tbody></table></body></html>")).alias("html"))
+
+
+def odd_weather_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Station pages (event_id, html) with markup that hides or breaks the table, by ``k`` modulo 7:
+
+    0 a data table in a comment before the real one; 1 cells without end tags, so that each holds the
+    text of all that follow; 2 two rows without end tags, the outer of which begins with the cells of the
+    day after; 3 decimal and named references; 4 hexadecimal references, a script that writes a table and
+    an attribute with ``>``; 5 a table inside a cell, whose cell counts; 6 tags and comments inside cells.
+    """
+    ev = _spread(_events(spark, sf_dir)).withColumn("k", K())
+    kind, lit = F.col("k") % 7, F.lit
+    day, am, pm = F.dayofmonth("ts").cast("string"), F.col("value").cast("string"), F.col("k").cast("string")
+
+    def cells(day, am, pm, open_, close, fill=14):
+        between = lambda n: F.repeat(F.concat(lit(open_), lit(close)), lit(n))
+        return F.concat(lit(open_), day, lit(close), between(fill), lit(open_), am, lit(close), between(5), lit(open_), pm, lit(close))
+
+    def table(*parts):
+        return F.concat(lit("<table id=t class='x data'><tbody>"), *[lit(p) if isinstance(p, str) else p for p in parts], lit("</tbody></table>"))
+
+    td = ("<td>", "</td>")
+    as_numbers = lambda text, form: F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c != "", F.concat(lit("&#"), F.concat(lit("x"), F.hex(F.ascii(c))) if form == "x" else F.ascii(c).cast("string"), lit(";")))), "")
+    real = table("<tr>", cells(day, am, pm, *td), "</tr>")
+    decoy = table("<tr>", cells(lit("7"), lit("1.5"), lit("2.5"), *td), "</tr>")
+    inner = F.concat(lit("<tr><td>"), day, lit("</td><td><table><tr><td>9</td></tr></table></td>"), F.repeat(lit("<td></td>"), lit(12)), lit("<td>"), am, lit("</td>"), F.repeat(lit("<td></td>"), lit(5)), lit("<td>"), pm, lit("</td></tr>"))
+    html = (
+        F.when(kind == 0, F.concat(lit("<!-- "), decoy, lit(" -->"), real))
+        .when(kind == 1, table("<tr>", cells(day, am, pm, "<td>", ""), "</tr>"))
+        .when(kind == 2, table("<tr>", cells((F.dayofmonth("ts") + 1).cast("string"), pm, am, *td), "<tr>", cells(day, am, pm, *td)))
+        .when(kind == 3, table("<tr>", cells(as_numbers(day, "d"), F.concat(lit("&nbsp;"), F.replace(am, lit("."), lit("&period;")), lit("&emsp;")), F.concat(pm, lit("&#160;")), *td), "</tr>"))
+        .when(kind == 4, F.concat(lit("<script>document.write(\""), decoy, lit("\")</script><p title='a>b'>x</p>"), table("<tr>", cells(as_numbers(day, "x"), as_numbers(am, "x"), pm, *td), "</tr>")))
+        .when(kind == 5, table(inner))
+        .otherwise(table("<tr>", cells(F.concat(lit("<b>"), day, lit("</b><!-- 0 -->")), F.concat(lit("<i> "), am, lit(" <br/></i>")), pm, "<th>", "</th>"), "</tr>"))
+    )
+    return ev.select("event_id", F.concat(lit("<html><body><table class='menu'><tr><td>1</td></tr></table>"), html, lit("</body></html>")).alias("html"))
+
+
+# ---- folders of files, written by Spark from the events ----
+
+SITE_FILES, PAIR_FILES = 24, 16
+
+
+def file_number() -> Column:
+    """Number of a written file: the writing task's, which stands in its name."""
+    return F.regexp_extract("src_file", r"part-(\d+)", 1).cast("int")
+
+
+def _as_files(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """One partition, and so one file, per value of ``f``."""
+    out = df.repartitionById(n, "f")
+    return (out.sortWithinPartitions(*order) if order else out).drop("f")
+
+
+def _comment() -> Column:
+    """Every tenth reading has a comment of two lines, with quotes and a comma."""
+    return F.when(K() % 10 == 0, F.concat(F.lit('seen "twice",\nreading '), F.col("event_id").cast("string")))
+
+
+def site_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder of ``SITE_FILES`` merged site files; a reading lies in file ``user_id`` modulo their
+    number, those of 22 and 23 in none. File 20 lacks the pressure column, file 21 has rows with a surplus
+    field, a second file 0 ends after its header, file 23 has no bytes."""
+    folder = scratch_path(spark, "landing")
+    f = F.pmod("user_id", F.lit(SITE_FILES)).cast("int")
+    texts = ("date_text", "time_text", "level_text", "baro_text")
+    rows = logger_raw(spark, sf_dir, keep_id=True).join(_events(spark, sf_dir).select("event_id", "props", f.alias("f")), "event_id")
+    names = (SRC_DATE, SRC_TIME, SRC_LEVEL, SRC_BARO)
+    good = rows.where("f < 20").select("f", *[F.col(c).alias(n) for c, n in zip(texts, names)], _comment().alias(SRC_COMMENT))
+    _as_files(good, SITE_FILES).write.option("header", True).option("escape", '"').csv(folder)
+    line = F.concat_ws(",", F.col("date_text"), F.col("time_text"), F.col("level_text"), F.when(F.col("f") == 21, F.lit("1000,,surplus")))
+    heads = [(20, ",".join(names[:3])), (21, ",".join(names)), (0, ",".join(names))]
+    odd = spark.createDataFrame([(f, 0, h) for f, h in heads], "f int, place int, line string")
+    odd = odd.unionByName(rows.where("f in (20, 21)").select("f", F.lit(1).alias("place"), line.alias("line")))
+    lines = _as_files(odd, SITE_FILES, F.col("place")).select("line")
+    lines.write.mode("append").option("sep", "\u0001").csv(folder)  # one column: lines as they are
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/part-{SITE_FILES - 1:05d}-none.csv")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path).close()
+    return folder
+
+
+def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a file number, and the hour as key: date_text (none where ``k`` is below 3), time_text."""
+    ev = _events(spark, sf_dir).withColumn("f", F.pmod("user_id", F.lit(PAIR_FILES)).cast("int"))
+    date = F.when(K() >= 3, F.date_format("ts", "dd/MM/yyyy"))
+    return ev.select("f", "event_id", "event_type", "props", date.alias("date_text"), F.date_format("ts", "HH:00:00").alias("time_text"))
+
+
+def pair_folder(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A folder of ``PAIR_FILES`` level files and their barometer files, and its manifest. Of five files the
+    fourth has no barometer file and the fifth one without a pressure column."""
+    folder = scratch_path(spark, "pairs")
+    ev = hourly_readings(spark, sf_dir)
+    level = ev.where("event_type <> 'signup'").select(
+        "f", F.col("date_text").alias(SRC_DATE), F.col("time_text").alias(SRC_TIME),
+        (F.col("event_id") % 1000).cast("string").alias(SRC_LEVEL), _comment().alias(SRC_COMMENT))
+    _as_files(level, PAIR_FILES).write.option("header", True).option("escape", '"').csv(folder)
+    full = F.col("f") % 5 != 4
+    pressure = F.when(full, (F.lit(900) + F.col("event_id") % 150).cast("string"))
+    rows = ev.where(K() % 3 == 0).where("f % 5 <> 3")
+    rows = rows.select("f", F.lit(1).alias("place"), F.concat_ws(",", F.coalesce("date_text", F.lit("")), "time_text", pressure).alias("line"))
+    head = F.concat_ws(",", F.lit(SRC_DATE), F.lit(SRC_TIME), F.when(full, F.lit(SRC_BARO)))
+    heads = spark.range(PAIR_FILES).select(F.col("id").cast("int").alias("f")).where("f % 5 <> 3").select("f", F.lit(0).alias("place"), head.alias("line"))
+    _as_files(heads.unionByName(rows), PAIR_FILES, F.col("place")).select("line").write.mode("append").text(folder)
+    files = folder_files(spark, folder)
+    is_level = F.col("name").endswith(".csv")
+    manifest = files.groupBy(file_number().alias("f")).agg(F.max(F.when(is_level, F.col("name"))).alias("main_csv"), F.max(F.when(~is_level, F.col("name"))).alias("baro_csv"))
+    return folder, manifest.where("main_csv is not null").drop("f")

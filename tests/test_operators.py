@@ -196,3 +196,29 @@ def test_checked_join_falls_back_above_limit(spark):
     assert "BroadcastHashJoin" not in plan
     plan = checked_join(left, right, "site", "left", max_bytes=1000)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_skew_join_equals_the_plain_join_and_spreads_heavy_keys(spark):
+    """A third of the left rows share NULL keys, another key holds a sixth: no task gets the most of them."""
+    from hydrocal.operators.joins import heavy_hitters, skew_join
+
+    n = 60_000
+    i = F.col("id")
+    key = F.when(i % 3 == 0, F.lit(None)).when(i % 6 == 1, F.lit("hot")).otherwise((i % 5000).cast("string"))
+    left = spark.range(n).select(i, key.alias("site"), F.when(i % 3 != 0, "d").alias("date_text"))
+    right = spark.createDataFrame([(None, None, 1), (None, None, 2), ("hot", "d", 3), ("17", "d", 4), ("x", "d", 5), (None, "d", 6)], "site string, date_text string, v int")
+    keys = ["site", "date_text"]
+    assert len(heavy_hitters(left, keys, 1000)) == 2 and heavy_hitters(left, keys, n) == {}
+    plain = left.join(right.select(F.col("site").alias("s"), F.col("date_text").alias("d"), "v"), F.col("site").eqNullSafe(F.col("s")) & F.col("date_text").eqNullSafe(F.col("d")), "left").select("id", "v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # nothing else may deal rows anew
+    try:
+        shares = {}
+        for rows_a_task in (1000, 10 * n):
+            out = skew_join(left, right, keys, rows_a_task).withColumn("task", F.spark_partition_id())
+            assert sorted(map(tuple, out.select("id", "v").na.fill(-1).collect())) == sorted(map(tuple, plain.na.fill(-1).collect()))
+            counts = [r["count"] for r in out.groupBy("task").count().collect()]
+            shares[rows_a_task] = max(counts) / sum(counts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert shares[1000] < 0.25 < 0.4 < shares[10 * n]
+    assert out.columns == ["id", "site", "date_text", "v", "task"]
