@@ -6,8 +6,10 @@
         [--single-file]
 
 Reads the landing folder (merged site files, or level/barometer pairs when a manifest is given),
-parses the weather pages of the run's month, validates, and writes the typed table, both CSV
-reports and the quality tables under ``--out``. Uses the session of the cluster it runs on; a local
+parses the weather pages of the run's month, validates, and publishes the typed table, both CSV
+reports and the quality tables under ``--out``: they are staged in a folder of the run, and one commit
+file makes them the current outputs (``hydrocal.sinks.publish``). The counters of the run come from the
+jobs that read and write its rows. Uses the session of the cluster it runs on; a local
 session is created when none exists.
 """
 
@@ -18,7 +20,7 @@ import datetime as dt
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 
 def _read_text(spark: SparkSession, path: str) -> str:
@@ -42,10 +44,11 @@ def main(argv: list[str] | None = None) -> int:
     a = ap.parse_args(argv)
 
     from hydrocal.operators.barometer import ampm_readings
-    from hydrocal.operators.quality import rows_per_site, run_metrics, run_summary, site_status
+    from hydrocal.operators.quality import rows_per_site, run_metric_columns, run_summary, site_status
     from hydrocal.plans.validate import validate
-    from hydrocal.session import cut_lineage, drop_scratch, local_session, scratch_mark
-    from hydrocal.sinks.reports import write_reports
+    from hydrocal.session import drop_scratch, local_session, scratch_mark
+    from hydrocal.sinks.publish import Publication
+    from hydrocal.sinks.reports import MAIN_NAME, UPLOAD_NAME, write_reports
     from hydrocal.sources.csv_folder import read_pairs, read_site_folder
     from hydrocal.sources.site_config import manifest_from_json, site_config
 
@@ -63,6 +66,7 @@ def main(argv: list[str] | None = None) -> int:
         inp = read_pairs(spark, a.input, manifest_from_json(docs, "doc"))
     else:
         inp = read_site_folder(spark, a.input)
+    readings = Observation()
     weather = ampm_readings(spark.read.parquet(a.pages), run.month, run.year) if a.pages else None
     res = validate(
         inp.rows,
@@ -72,19 +76,27 @@ def main(argv: list[str] | None = None) -> int:
         files=inp.listing,
         water_density=a.water_density,
         reference_density=a.reference_density,
+        observation=readings,
     )
-    final = cut_lineage(res.final, "final")
-    if not write_reports(final, a.out, single_file=a.single_file):
+    pub = Publication(spark, a.out)
+    table, seen = pub.counted("validated.parquet", res.final, *run_metric_columns())
+    table.write.parquet(f"{pub.base}/validated.parquet")
+    final = spark.read.parquet(f"{pub.base}/validated.parquet")
+    counts = {k: int(v) for k, v in seen.get.items()}
+    if not write_reports(final, pub.base, single_file=a.single_file, typed=False):
+        pub.abandon()
         drop_scratch(spark, mark)
         print("nothing consolidated; no output written", file=sys.stderr)
         return 1
-    res.quality.write.mode("overwrite").parquet(f"{a.out}/quality.parquet")
-    res.file_outcomes.write.mode("overwrite").parquet(f"{a.out}/file_outcomes.parquet")
-    rows_per_site(final).orderBy("site").write.mode("overwrite").parquet(f"{a.out}/rows_per_site.parquet")
-    res.rejected_files.write.mode("overwrite").parquet(f"{a.out}/rejected_files.parquet")
-    site_status(final, res.rejected_files).write.mode("overwrite").parquet(f"{a.out}/site_status.parquet")
-    status = spark.read.parquet(f"{a.out}/site_status.parquet")
-    summary = {**run_summary(status).first().asDict(), **run_metrics(final).first().asDict()}
+    pub.add(MAIN_NAME, counts["rows"])
+    pub.add(UPLOAD_NAME, counts["n_adjusted"])
+    pub.parquet("quality.parquet", res.quality)
+    pub.parquet("file_outcomes.parquet", res.file_outcomes)
+    pub.parquet("rows_per_site.parquet", rows_per_site(final).orderBy("site"))
+    pub.parquet("rejected_files.parquet", res.rejected_files)
+    status = spark.read.parquet(pub.parquet("site_status.parquet", site_status(final, res.rejected_files)))
+    summary = {**run_summary(status).first().asDict(), **{k: v for k, v in counts.items() if k != "rows"}}
+    pub.commit({"summary": summary, "readings": {k: int(v) for k, v in readings.get.items()}})
     drop_scratch(spark, mark)
     print(json.dumps(summary))
     return 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hydrocal.operators.clean import stage_counts
@@ -53,14 +53,19 @@ def run_summary(status: DataFrame) -> DataFrame:
     )
 
 
-def run_metrics(final: DataFrame) -> DataFrame:
-    """A3 / A6 run counters of the validated table, in one aggregation: rows, rows with an
-    external pressure (merged), rows flagged dry, rows with an adjusted depth (eligible), and
-    placeholder rows."""
-    return final.agg(
+def run_metric_columns() -> list[Column]:
+    """A3 / A6 run counters of the validated table: rows, rows with an external pressure (merged), rows
+    flagged dry, rows with an adjusted depth (eligible), and placeholder rows. Aggregates for ``agg``, or
+    for ``observe`` on the job that writes the table."""
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("bom_hpa").isNotNull()).alias("n_with_bom"),
         F.count_if(F.col("flag") == "dry").alias("n_dry"),
         F.count_if(F.col("depth_adj_m").isNotNull()).alias("n_adjusted"),
         F.count_if(F.col("flag") == "placeholder").alias("n_placeholders"),
-    )
+    ]
+
+
+def run_metrics(final: DataFrame) -> DataFrame:
+    """The run counters in one aggregation."""
+    return final.agg(*run_metric_columns())

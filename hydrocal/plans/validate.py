@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,6 +149,7 @@ def validate(
     water_density: float = WATER_DENSITY,
     reference_density: float = REFERENCE_DENSITY,
     materialize: bool = True,
+    observation: Observation | None = None,
 ) -> Validation:
     """Raw text readings -> validated daily table with placeholders, flags and depths.
 
@@ -157,11 +158,14 @@ def validate(
     ``site_cfg``: site, depth_conversion_type; its sites are the expected sites unless
     ``expected_sites`` is given. ``files``: the file listing of a folder source (see
     ``hydrocal.sources.csv_folder``). ``materialize=False`` skips writing the summary table
-    (the raw input is then read once per consumer).
+    (the raw input is then read once per consumer). ``observation`` counts the raw readings by the stage they
+    reached (A3) while the pass over them runs; a task that Spark runs twice may count twice.
     """
     text_cols = ("date_text", "time_text", "level_text", "baro_text", "src_file")
     require_types(raw, {c: T.StringType() for c in text_cols}, "validate")
     tagged = tag_stages(raw)
+    if observation is not None:
+        tagged = tagged.observe(observation, *stage_counts())
     summary = file_day_summary(tagged)
     if materialize:
         summary = cut_lineage(summary, "file-day-summary")

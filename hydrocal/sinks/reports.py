@@ -75,10 +75,11 @@ def write_csv(report: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def write_reports(
-    final: DataFrame, out_dir: str, single_file: bool = False, main_name: str = MAIN_NAME, upload_name: str = UPLOAD_NAME
+    final: DataFrame, out_dir: str, single_file: bool = False, main_name: str = MAIN_NAME, upload_name: str = UPLOAD_NAME,
+    typed: bool = True,
 ) -> bool:
     """K5: main and upload reports under ``out_dir`` (one folder each, names as given), plus the typed table as
-    Parquet. ``final`` should be materialised first (see ``hydrocal.session.cut_lineage``).
+    Parquet unless ``typed`` is false. ``final`` should be materialised first (see ``hydrocal.session.cut_lineage``).
 
     S11: when nothing at all was consolidated (not even a placeholder) no file is written and
     False is returned. Otherwise both reports are written, the upload report header-only when no
@@ -87,7 +88,8 @@ def write_reports(
     if final.isEmpty():
         return False
     ordered = sorted_for_report(final)
-    final.write.mode("overwrite").parquet(f"{out_dir}/validated.parquet")
+    if typed:
+        final.write.mode("overwrite").parquet(f"{out_dir}/validated.parquet")
     write_csv(report_main(ordered), f"{out_dir}/{main_name}", single_file)
     write_csv(report_upload(ordered), f"{out_dir}/{upload_name}", single_file)
     return True
