@@ -46,13 +46,14 @@ def main(argv: list[str] | None = None) -> int:
     from hydrocal.operators.barometer import ampm_readings
     from hydrocal.operators.quality import rows_per_site, run_metric_columns, run_summary, site_status
     from hydrocal.plans.validate import validate
-    from hydrocal.session import drop_scratch, local_session, scratch_mark
+    from hydrocal.session import drop_scratch, local_session, scratch_mark, ship_package
     from hydrocal.sinks.publish import Publication
     from hydrocal.sinks.reports import MAIN_NAME, UPLOAD_NAME, write_reports
     from hydrocal.sources.csv_folder import read_pairs, read_site_folder
     from hydrocal.sources.site_config import manifest_from_json, site_config
 
     spark = SparkSession.getActiveSession() or local_session()
+    ship_package(spark)
     mark = scratch_mark()
     run = dt.datetime.strptime(a.run_ts, "%Y-%m-%d %H:%M:%S")
     cfg = site_config(spark, _read_text(spark, a.config)) if a.config else None

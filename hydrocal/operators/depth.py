@@ -28,11 +28,12 @@ def convert_depth(
     """J3 + F12 + F13: look up each site's conversion type (``default_type`` when the site is not
     configured) and compute ``depth_raw_m``. Adds ``conversion_type`` and ``unknown_conversion``
     (type neither ``default`` nor ``divide_by_100``: converted as feet; the validation's quality
-    table reports such sites). ``cfg_small`` passes a size check already made."""
+    table reports such sites). ``cfg_small`` passes a size check already made, of a table of one row a site."""
     if site_cfg is None:
         df, ctype = readings, F.lit(default_type)
     else:
-        cfg = lookup_table(site_cfg).select("site", F.col("depth_conversion_type").alias("_ctype"))
+        cfg = site_cfg if cfg_small is not None else lookup_table(site_cfg)
+        cfg = cfg.select("site", F.col("depth_conversion_type").alias("_ctype"))
         df = checked_join(readings, cfg, "site", "left", small=cfg_small)
         ctype = F.coalesce(F.col("_ctype"), F.lit(default_type))
     keep = [c for c in df.columns if c not in ("_ctype", "conversion_type", "depth_raw_m", "unknown_conversion")]

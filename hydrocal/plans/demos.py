@@ -7,7 +7,7 @@ operators over the whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hydrocal.functions import file_stem, parse_date_time, to_number
@@ -19,9 +19,10 @@ from hydrocal.operators.gaps import latest_per_site, missing_site_placeholders,
 from hydrocal.operators.merge import merge_level_baro, union_by_name
 from hydrocal.operators.quality import quality_counts, rows_per_site, run_metrics, run_summary, site_status
 from hydrocal.plans.validate import Validation, file_day_summary, file_outcomes, listing_placeholders, validate
-from hydrocal.schemas import REASON_EMPTY_FILE
-from hydrocal.session import table
-from hydrocal.sinks.reports import report_main, report_upload
+from hydrocal.schemas import MAIN_REPORT_COLUMNS, R_ADJ, R_COMMENT, R_SITE, R_TS, R_UPLOAD_DEPTH, REASON_EMPTY_FILE, UPLOAD_REPORT_COLUMNS
+from hydrocal.session import scratch_path, table
+from hydrocal.sinks.publish import Publication, current
+from hydrocal.sinks.reports import MAIN_NAME, UPLOAD_NAME, report_main, report_upload, write_reports
 from hydrocal.sources import standins as S
 from hydrocal.sources.csv_folder import read_pairs, read_site_folder
 from hydrocal.sources.html_tables import html_items
@@ -299,6 +300,26 @@ def q_report_upload(spark, sf):
     return report_upload(_validation(spark, sf).final)
 
 
+def q_report_files(spark, sf):
+    """The report files of a published run, read back: each line, which report it is of,
+    its place within its file (the files of a report together are in (site, time) order)."""
+    pub = Publication(spark, scratch_path(spark, "reports"))
+    final = pub.parquet("validated.parquet", _validation(spark, sf).final)
+    write_reports(spark.read.parquet(final), pub.base, typed=False)
+    pub.commit()
+    out = None
+    for name, schema in ((MAIN_NAME, MAIN_REPORT_COLUMNS), (UPLOAD_NAME, UPLOAD_REPORT_COLUMNS)):
+        texts = ", ".join(f"`{c}` string" for c in schema)
+        lines = spark.read.schema(texts).option("header", True).option("escape", '"').csv(f"{current(spark, pub.folder.root)}/{name}")
+        ts = F.to_timestamp_ntz(F.col(f"`{R_TS}`"), F.lit("dd/MM/yyyy hh:mm:ss a"))
+        own = Window.partitionBy("file").orderBy("line")
+        lines = lines.withColumn("file", F.col("_metadata.file_name")).withColumn("line", F.monotonically_increasing_id()).withColumn("key", F.struct(F.col(f"`{R_SITE}`"), ts))
+        lines = lines.withColumn("in_order", F.coalesce(F.lag("key").over(own) <= F.col("key"), F.lit(True)))
+        kept = lines.select(F.lit(name).alias("report"), F.col(f"`{R_SITE}`").alias("site"), F.col(f"`{R_TS}`").alias("ts_text"), F.col(f"`{R_ADJ if name == MAIN_NAME else R_UPLOAD_DEPTH}`").cast("double").alias("depth"), F.coalesce(F.col(f"`{R_COMMENT}`"), F.lit("")).alias("comment"), "in_order")
+        out = kept if out is None else out.unionByName(kept)
+    return out
+
+
 def q_rows_per_site(spark, sf):
     """A2: rows per site in the validated table."""
     return rows_per_site(_validation(spark, sf).final)
@@ -391,6 +412,7 @@ QUERIES = {
     "validate": q_validate,
     "report_main": q_report_main,
     "report_upload": q_report_upload,
+    "report_files": q_report_files,
     "rows_per_site": q_rows_per_site,
     "quality_counts": q_quality_counts,
     "file_outcomes": q_file_outcomes,

@@ -423,6 +423,10 @@ def _sql() -> dict[str, str]:
         'depth_adj_m AS "LEVEL - DEPTH TO WATER - m (INPUT)", CAST(NULL AS DOUBLE) AS "LEVEL - WATER LEVEL - mAHD (INPUT)", '
         'comment AS "OTHER - Comments - Text" FROM final WHERE depth_adj_m IS NOT NULL'
     )
+    out["report_files"] = vctes + (
+        f"SELECT 'main_report' AS report, site, {REPORT_TS} AS ts_text, depth_adj_m AS depth, comment, TRUE AS in_order FROM final UNION ALL "
+        f"SELECT 'upload_report', site, {REPORT_TS}, depth_adj_m, comment, TRUE FROM final WHERE depth_adj_m IS NOT NULL"
+    )
     out["rows_per_site"] = vctes + "SELECT site, count(*) AS n_rows FROM final GROUP BY site"
     out["quality_counts"] = f"WITH {raw_rendering()} " + (
         "SELECT site, count(*) FILTER (WHERE stage = 1) AS n_bad_datetime, count(*) FILTER (WHERE stage = 2) AS n_bad_numeric, "

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for the steps that run Python there (large
+    CSV files, the training-data operators). Needed where the executors do not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or spark.sparkContext.master.startswith("local["):
+        return
+    root = Path(__file__).resolve().parent
+    path = f"{tempfile.mkdtemp(prefix='hydrocal-ship-')}/{root.name}.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for f in sorted(root.rglob("*.py")):
+            out.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(path)  # the driver serves it to every executor, later ones included
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
