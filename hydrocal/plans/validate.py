@@ -93,9 +93,7 @@ def file_day_summary(tagged: DataFrame) -> DataFrame:
     summary = tagged.groupBy("src_file", F.to_date("ts").alias("day")).agg(
         F.max("stage").alias("max_stage"),
         *stage_counts(),
-        # A set of at most two values. As an aggregate over objects it also puts the whole aggregation
-        # into a hash map of the task's file-days, where min(struct) alone would sort all raw rows.
-        F.array_contains(F.collect_set("malformed"), True).alias("has_malformed"),
+        F.bool_or("malformed").alias("has_malformed"),
         *[F.max(c).alias(c) for c in tagged.columns if c == "file_state"],
         first.alias("first"),
     )

@@ -21,8 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # file-days of one split that are aggregated in a hash map before the task sorts (plans/validate.py)
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

@@ -41,7 +41,7 @@ def _spread(df: DataFrame) -> DataFrame:
     than the events that they are made of."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    splits = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) / (128 << 20)
+    splits = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) / (128 << 20)
     return df.repartition(cores) if splits < cores else df
 
 
