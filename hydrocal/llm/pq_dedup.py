@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrocal.llm.common import lazily_once, table
+from hydrocal.llm.common import hashed_sample, lazily_once, table
 from hydrocal.llm.components import components
 
 COSINE = 0.93
@@ -213,7 +213,7 @@ def linked_vectors(df: DataFrame, cosine: float = COSINE, id_col: str = "vec_id"
     found = None
     for dim, n in [(r.dim, r.n) for r in classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()]:
         part = rows.where(F.col("dim") == dim).select("row", "vec").join(classes.select("row", "label", "copies"), "row")
-        first = part.orderBy(F.xxhash64("row"), "row").limit(sample).select("vec").toPandas()["vec"]
+        first = hashed_sample(part, "row", sample).select("vec").toPandas()["vec"]
         q = Quantiser(_unit(np.stack([np.frombuffer(v, "<f8") for v in first])), int(min(MAX_LISTS, max(1, n**0.5))))
 
         def index(batches, q=q):

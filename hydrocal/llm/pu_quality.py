@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydrocal.llm.common import lazily_once, slices, table
+from hydrocal.llm.common import hashed_sample, lazily_once, slices, table
 
 SAMPLE, EPOCHS, BATCH, HIDDEN, SEED = 20_000, 60, 512, 24, 7
 THRESHOLD, FOLDS = 0.3, 5
@@ -114,7 +114,7 @@ def train(pos: np.ndarray, unl: np.ndarray, prior: float) -> Network:
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, carry: list[str] | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted, and ``carry``'s columns as carry_<name>."""
     held = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"), *[F.col(c).alias(f"carry_{c}") for c in carry or []])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"), *[F.col(f"`{c}`").alias(f"carry_{c}") for c in carry or []])
 
     def compute(batches):
         for b in slices(batches):
@@ -129,7 +129,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     prior = min(0.99, max(0.01, seen)) if seen is not None else 0.5
 
     def first(df: DataFrame) -> np.ndarray:
-        got = df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("x").toPandas()["x"]
+        got = hashed_sample(df, "doc_id", sample).select("x").toPandas()["x"]
         return np.stack(got.to_list()) if len(got) else np.zeros((0, FEATURES), np.float32)
 
     side = f.where("not held_out").select("doc_id", "x")
@@ -144,7 +144,7 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     out = f.mapInArrow(score, f.drop("x").withColumn("score", F.lit(0.0)).schema)
     out = out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
-    return out.select("doc_id", "held_out", "score", "predicted", *[f"carry_{c}" for c in carry or []])
+    return out.select("doc_id", "held_out", "score", "predicted", *[f"`carry_{c}`" for c in carry or []])
 
 
 def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
