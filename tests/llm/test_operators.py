@@ -6,6 +6,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hydrocal.llm import mixing, packing, pq_dedup, pu_quality, quality_rules, registry, sharding, substring_dedup, token_rans, url_cascade
 from hydrocal.llm.components import components
@@ -297,3 +298,59 @@ def test_queries_match_brute_force(spark):
     assert ordered(registry.QUERIES["op5_substring_dedup"](spark, SF).collect()) == ordered(brute.without_repeats(rows, 35))
     vecs = duckdb.sql(f"select vec_id, embedding, label from '{SF}/embeddings.parquet'").fetchall()
     assert ordered(registry.QUERIES["op10_pq_dedup"](spark, SF).collect()) == ordered(brute.linked_vectors(vecs, 0.93))
+
+
+def test_token_files_are_in_order_and_describe_themselves(spark, tmp_path):
+    """Read file by file in order of names, blocks hold ascending ids; lanes and checkpoints are read from them."""
+    import pyarrow.parquet as pq
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(7)
+    token_rans.write_ids(docs.unionByName(docs.withColumn("doc_id", docs.doc_id + 100_000)), f"{tmp_path}/a")
+    seen = [i for f in sorted((tmp_path / "a" / "blocks").glob("*.parquet")) for r in pq.read_table(f).to_pylist() for i in r["doc_ids"]]
+    assert seen == sorted(seen) and len(set(seen)) == len(seen) == 400
+    ids = np.random.default_rng(1).integers(0, 500, 100_000)
+    table = token_rans.scaled(dict(enumerate(np.bincount(ids).tolist())))
+    rows = [token_rans.encode_blocks([ids], *table, lanes=n, check_steps=k)[0] | {"n_tokens": len(ids), "part": 0, "block": 0} for n, k in ((64, 100), (128, 512), (7, 3000))]
+    for got in token_rans.decode_blocks(rows, *table):
+        assert (got == ids).all()
+
+
+def test_op1_against_the_library(spark):
+    e, start, expected = encoder(default_tokenizer_path()), 0, []
+    for r in sorted(spark.read.parquet(f"{SF}/documents.parquet").collect(), key=lambda r: r.doc_id):
+        ids = [*e.tok.encode(r.text or "", add_special_tokens=False).ids, 2]
+        expected.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert ordered(token_rans.op1_token_rans(spark, SF).collect()) == expected
+
+
+def test_samples_for_training_pass_few_rows_on(spark):
+    from hydrocal.llm.common import hashed_sample
+
+    df = spark.range(50_000).repartition(20)
+    want = sorted(r.id for r in df.orderBy(F.xxhash64("id"), "id").limit(500).collect())
+    got = hashed_sample(df, "id", 500)
+    assert sorted(r.id for r in got.collect()) == want
+    assert "xxhash64(id" in got._jdf.queryExecution().optimizedPlan().toString().split("Filter")[1].split("\n")[0]
+    assert hashed_sample(df, "id", 80_000).count() == 50_000
+    one = spark.range(10_000).select(F.lit(7).alias("id"))
+    assert hashed_sample(one, "id", 300).count() == 300
+
+
+def test_lines_over_the_limit_deplete_documents(spark):
+    """The rule rejects documents of a real table once its limit is below what the table holds; with the
+    columns in the order of the contract."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = quality_rules.quality_rules(docs, max_docs=1).collect()
+    depleted = [r for r in rows if not r.base_failed and not r.kept]
+    assert depleted and all(r.n_kept_words < max(quality_rules.MIN_WORDS, quality_rules.MIN_SHARE * r.n_words) for r in depleted)
+    assert list(rows[0].asDict())[:8] == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+
+
+def test_sets_are_compared_on_whole_hashes():
+    from hydrocal.llm.minhash_dedup import from_bytes, set_bytes
+
+    s = np.unique(np.random.default_rng(5).integers(0, 1 << 63, 100_000, np.uint64))
+    near = s ^ np.uint64(1 << 45)  # differ above the low 40 bits alone
+    assert (from_bytes(set_bytes(s)).view(np.uint64) == s).all()
+    assert not np.isin(from_bytes(set_bytes(near)), from_bytes(set_bytes(s))).any()

@@ -42,3 +42,18 @@ def test_stages_on_odd_rows(spark):
         for name, stage in corpus_pipeline.STAGES[1:]:
             here = corpus_pipeline.lazily_once(stage(spark, here, SF), "odd")
         assert (here.count() > 0) == (start is docs)
+
+
+def test_all_stages_on_odd_rows_and_column_names(spark):
+    """The classifier too; a column with a dot and one named like an inner column pass through all stages."""
+    rows = [(i, t, "en", None, None, n, "x", n, "y") for n, (i, t) in enumerate(texts())]
+    docs = spark.createDataFrame(rows, DOCS + ", `a.b` long, kept string")
+    for start in (docs, docs.limit(0)):
+        first = corpus_pipeline.lazily_once(corpus_pipeline.STAGES[0][1](spark, start, SF), "odd")
+        assert first.columns == docs.columns and first.count() <= start.count()
+        here = corpus_pipeline.lazily_once(start, "odd")
+        for name, stage in corpus_pipeline.STAGES[1:]:
+            out = corpus_pipeline.lazily_once(stage(spark, here, SF), "odd")
+            assert name == "best_fit_packing" or out.columns == docs.columns
+            here = out
+        assert (here.count() > 0) == (start is docs)
