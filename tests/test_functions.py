@@ -114,3 +114,21 @@ def test_report_ts_twelve_hour(spark):
 def test_strip_tags(spark):
     assert one(spark, strip_tags(F.col("s")), " <span> 1012.<b>5</b> </span>&nbsp;") == "1012.5"
     assert one(spark, strip_tags(F.col("s")), "a &amp;lt; b<!-- c -->") == "a &lt; b"
+
+
+def test_package_is_shipped_once_per_application(tmp_path):
+    import subprocess
+    import sys
+    from types import SimpleNamespace
+
+    from hydrocal.session import ship_package
+
+    sent = []
+    sc = SimpleNamespace(applicationId="app-x", master="yarn", addPyFile=sent.append)
+    for _ in range(2):
+        ship_package(SimpleNamespace(sparkContext=sc))
+    ship_package(SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app-y", master="local[8]", addPyFile=sent.append)))
+    assert len(sent) == 1
+    code = f"import sys; sys.path.insert(0, {sent[0]!r}); import hydrocal.sources.csv_text as m; print(m.__file__)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert sent[0] in out.stdout
