@@ -30,7 +30,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the positive-unlabelled classifier accepts."""
     out = scored(docs, table(spark, sf_dir, "labels"), carry=docs.columns)
-    return out.where("predicted = 1").select(*[F.col(f"carry_{c}").alias(c) for c in docs.columns])
+    return out.where("predicted = 1").select(*[F.col(f"`carry_{c}`").alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,14 +44,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     out = substring_dedup(docs, carry=docs.columns)
     out = out.where("n_removed = 0 or n_removed < n_words")
     changed = {"text": F.col("kept"), "n_chars": F.length("kept").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {"text": F.col("kept")}
-    return out.select(*[F.when(F.col("n_removed") > 0, changed[c]).otherwise(F.col(f"carry_{c}")).alias(c) if c in changed else F.col(f"carry_{c}").alias(c) for c in docs.columns])
+    return out.select(*[F.when(F.col("n_removed") > 0, changed[c]).otherwise(F.col(f"`carry_{c}`")).alias(c) if c in changed else F.col(f"`carry_{c}`").alias(c) for c in docs.columns])
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     out = mixture(docs, carry=docs.columns).where("copies > 0")
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return out.select(*[F.col(f"carry_{c}").alias(c) for c in docs.columns])
+    return out.select(*[F.col(f"`carry_{c}`").alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,8 @@ _SCRATCH: list[str] = []
 
 
 def _tidy(stage: Stage) -> Stage:
-    """The stage, which drops the scratch of earlier ones when it begins and records its own."""
+    """The stage, which drops the scratch of earlier ones when it begins and records its own. Columns whose
+    names hold a dot or backtick, which Spark's Arrow functions can't take in, have plain names inside."""
 
     @wraps(stage)
     def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,8 +72,11 @@ def _tidy(stage: Stage) -> Stage:
         for path in [p for p in _SCRATCH if not any(r.endswith(p.rpartition("/")[2]) for r in read)]:
             drop_path(spark, path)
             _SCRATCH.remove(path)
+        names = docs.columns
+        plain = [c if c.isidentifier() else f"column_{i}_" for i, c in enumerate(names)]
         with recorded(_SCRATCH):
-            return stage(spark, docs, sf_dir)
+            out = stage(spark, docs.toDF(*plain), sf_dir)
+        return out.toDF(*names) if out.columns == plain else out
 
     return call
 

@@ -18,7 +18,7 @@ with equal sets form one class, compared once. The steps:
 
 Both sides of these joins grow with the documents, so they are merge joins at every size.
 
-Shingles are 64-bit hashes, of which 40 bits are kept for the comparison of two sets. Null texts count
+Shingles are 64-bit hashes, compared whole. Null texts count
 as having no words. Rows with equal ids are separate documents with equal sets or not; null ids never
 become a component's id unless it has no other (then it is null and nothing is kept). Empty tables
 give no rows. Other columns are not read.
@@ -76,19 +76,17 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return key.view(np.int64)
 
 
-def short_hashes(s: np.ndarray) -> bytes:
-    """40 bits of each hash, sorted: the low 32 and, after them, the high 8 of every one."""
-    v = np.unique(s & U64(0xFFFFFFFFFF))
-    return v.astype("<u4").tobytes() + (v >> U64(32)).astype(np.uint8).tobytes()
+def set_bytes(s: np.ndarray) -> bytes:
+    """A set of hashes (sorted, distinct), all 64 bits of each."""
+    return s.astype("<u8").tobytes()
 
 
-def from_short(b: bytes) -> np.ndarray:
-    n = len(b) // 5
-    return np.frombuffer(b, "<u4", n).astype(np.int64) | (np.frombuffer(b, np.uint8, n, 4 * n).astype(np.int64) << 32)
+def from_bytes(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, "<i8")
 
 
 def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
-    more = [F.col(c).alias(f"carry_{c}") for c in carry]
+    more = [F.col(f"`{c}`").alias(f"carry_{c}") for c in carry]
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
     schema = docs.sparkSession.createDataFrame([], SETS).select("*", *[F.lit(None).cast(docs.schema[c].dataType).alias(f"carry_{c}") for c in carry]).schema
 
@@ -113,12 +111,12 @@ def document_sets(docs: DataFrame, shingle: int, id_col: str, text_col: str, car
 
 
 def shingles_of(sets: DataFrame, rows: DataFrame, size: int) -> DataFrame:
-    """row, shingles (short hashes) of the documents in ``rows`` (a column row), from their texts."""
+    """row, shingles (whole hashes) of the documents in ``rows`` (a column row), from their texts."""
 
     def again(batches):
         for b in slices(batches, size=1_000_000):
             own = shingle_sets([x.as_py() for x in b.column("text").cast(pa.binary())], size)
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([short_hashes(s) for s in own], pa.binary())], names=["row", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([set_bytes(s) for s in own], pa.binary())], names=["row", "shingles"])
 
     texts = sets.select("row", "text").hint("merge").join(rows.distinct(), "row")
     return lazily_once(texts.mapInArrow(again, "row long, shingles binary"), "shingles")
@@ -137,7 +135,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column("su"), batch.column("sr")):
-                x, y = from_short(x.as_py()), from_short(y.as_py())
+                x, y = from_bytes(x.as_py()), from_bytes(y.as_py())
                 if 5 * min(len(x), len(y)) < 4 * max(len(x), len(y)):
                     ok.append(False)
                     continue
@@ -152,7 +150,7 @@ def block_links(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links among two blocks of a bucket (or within one) with a member that is still loose; a spanning forest."""
     pdf = pdf.sort_values("u", ignore_index=True)
     ids, block, loose = pdf["u"].to_numpy(), pdf["block"].to_numpy(), pdf["loose"].to_numpy()
-    sets = [from_short(s) for s in pdf["shingles"]]
+    sets = [from_bytes(s) for s in pdf["shingles"]]
     sizes = np.array([len(s) for s in sets])
     values, at, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -239,8 +237,8 @@ def without_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str
     rows = sets.where("n_shingles > 0").select(*key, "row", "doc_id").join(of_class.select(*key, "root"), key)
     stays = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")).select("row")
     stays = stays.unionByName(sets.where("n_shingles = 0").select("row"))
-    out = sets.select("row", "text", *[f"carry_{c}" for c in others]).hint("merge").join(stays, "row", "left_semi")
-    return out.select(*[F.col("text" if c == text_col else f"carry_{c}").alias(c) for c in docs.columns])
+    out = sets.select("row", "text", *[f"`carry_{c}`" for c in others]).hint("merge").join(stays, "row", "left_semi")
+    return out.select(*[F.col("text" if c == text_col else f"`carry_{c}`").alias(c) for c in docs.columns])
 
 
 def op2_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
