@@ -62,7 +62,7 @@ def quality_rules(
     docs: DataFrame, max_docs: int = MAX_DOCS, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE,
     id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
 ) -> DataFrame:
-    """doc_id, the counts of ``base_counts``, n_kept_words (outside boilerplate lines), base_failed, kept."""
+    """doc_id, the counts of ``base_counts``, base_failed, kept, n_kept_words (outside boilerplate lines)."""
     base = base_counts(docs, id_col, text_col, host_col).withColumn("row", F.monotonically_increasing_id())
     base = lazily_once(base, "quality")  # written once, so that row numbers stay
     document = F.coalesce("doc_id", -1 - F.col("row"))
@@ -74,7 +74,7 @@ def quality_rules(
     out = base.drop("lines").join(gone, "row", "left").withColumn("n_kept_words", F.col("n_words") - F.coalesce("gone", F.lit(0)))
     depleted = (F.col("n_kept_words") < min_words) | (F.col("n_kept_words") < min_share * F.col("n_words"))
     out = out.withColumn("kept", ~F.col("base_failed") & ~depleted)
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_kept_words", "base_failed", "kept")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_kept_words")
 
 
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ m AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(length(array_to_stri
   len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
   (len(ws) - coalesce(gone.n, 0))::BIGINT AS n_kept_words
   FROM d JOIN w USING (r) LEFT JOIN cov USING (r) LEFT JOIN dup USING (r) LEFT JOIN gone USING (r))
-SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_kept_words >= {MIN_WORDS} AND n_kept_words >= {MIN_SHARE} * n_words AS kept
+SELECT * EXCLUDE (n_kept_words), (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_kept_words >= {MIN_WORDS} AND n_kept_words >= {MIN_SHARE} * n_words AS kept, n_kept_words
 FROM m
 """
